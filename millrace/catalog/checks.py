@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructType, TimestampType
 
 from millrace.catalog import tables as T
 from millrace.catalog.registry import query
@@ -28,17 +29,28 @@ def validate_record_rules(spark, sf):
 
 @query(
     "schema_check",
-    """SELECT * FROM (VALUES ('event_id', 'bigint', 'bigint', 'ok'), ('ts', 'timestamp', 'timestamp_ntz', 'type_mismatch'),
-       ('user_id', 'bigint', 'bigint', 'ok'), ('revenue', 'double', NULL, 'missing'), ('event_type', NULL, 'string', 'extra'),
-       ('value', NULL, 'double', 'extra'), ('props', NULL, 'string', 'extra')) t("column", expected, actual, status)""",
+    f"""SELECT * FROM (
+          SELECT unnest(['event_id', 'ts', 'value', 'props', 'revenue', 'user_id', 'event_type']) AS "column",
+                 unnest(['bigint', 'timestamp', 'double', 'string', 'double', NULL, NULL]) AS expected,
+                 unnest(['bigint', 'timestamp_ntz', 'double', 'string', NULL, 'bigint', 'string']) AS actual,
+                 unnest([n_id, n_ts, n_value, n_props, NULL, n_user, n_type]) AS null_count,
+                 unnest(['ok', 'type_mismatch', CASE WHEN n_value > 0 THEN 'unexpected_nulls' ELSE 'ok' END, 'ok', 'missing',
+                         'extra', 'extra']) AS status
+          FROM (SELECT count(*) FILTER (event_id IS NULL) AS n_id, count(*) FILTER (ts IS NULL) AS n_ts,
+                       count(*) FILTER (value IS NULL) AS n_value, count(*) FILTER (props IS NULL) AS n_props,
+                       count(*) FILTER (user_id IS NULL) AS n_user, count(*) FILTER (event_type IS NULL) AS n_type
+                FROM {T.DIRTY_SQL}))""",
 )
 def schema_check(spark, sf):
-    from pyspark.sql.types import DoubleType, LongType, StructType, TimestampType
-
     expected = (
-        StructType().add("event_id", LongType()).add("ts", TimestampType()).add("user_id", LongType()).add("revenue", DoubleType())
+        StructType()
+        .add("event_id", LongType(), False)
+        .add("ts", TimestampType(), False)
+        .add("value", DoubleType(), False)
+        .add("props", StringType())
+        .add("revenue", DoubleType())
     )
-    return quality.schema_check(T.events(spark, sf), expected)
+    return quality.schema_check(T.dirty_events(spark, sf), expected)
 
 
 @query(
@@ -380,7 +392,7 @@ def daily_trend(spark, sf):
     return quality.daily_trend(T.table(spark, sf, "orders"), F.col("o_orderdate"), "o_totalprice")
 
 
-def _failures() -> list[deadletter.Failure]:
+def event_failures() -> list[deadletter.Failure]:
     return [
         deadletter.Failure(F.col("value").isNull(), F.lit("Missing value"), "ValueError", V.VALIDATION_ERRORS),
         deadletter.Failure(
@@ -409,7 +421,7 @@ FAILURE_SQL = """
         CASE WHEN value IS NOT NULL AND value < 0 THEN 'true' END AS retryable FROM {T.DIRTY_SQL}""",
 )
 def dead_letter_split(spark, sf):
-    passed, entries = deadletter.dead_letter_split(T.dirty_events(spark, sf), _failures(), T.timestamp(AS_OF))
+    passed, entries = deadletter.dead_letter_split(T.dirty_events(spark, sf), event_failures(), T.timestamp(AS_OF))
     nothing = F.lit(None).cast("string")
     return entries.select(
         F.get_json_object("message", "$.event_id").cast("bigint").alias("event_id"),
@@ -435,13 +447,13 @@ def dead_letter_split(spark, sf):
 )
 def dead_letter_reprocess(spark, sf):
     rows = T.dirty_events(spark, sf).select("event_id", "user_id", "value", "props")
-    _, entries = deadletter.dead_letter_split(rows, _failures(), T.timestamp(AS_OF))
+    _, entries = deadletter.dead_letter_split(rows, event_failures(), T.timestamp(AS_OF))
     fixed, still = deadletter.dead_letter_reprocess(
         entries,
         V.PROCESSING_ERRORS,
         rows.schema,
         lambda df: df.withColumn("value", F.abs("value")),
-        _failures(),
+        event_failures(),
         T.timestamp(AS_OF),
     )
     return deadletter.reprocess_counts(fixed, still)
@@ -467,9 +479,9 @@ def run_summary(spark, sf):
 @query(
     "recommend_with_fallback",
     f"""WITH i AS {T.ITEMS_SQL},
-          m AS (SELECT user_id, item, count(*) AS n FROM i WHERE event_type = 'purchase' AND value > 60 GROUP BY ALL
+          m AS (SELECT user_id, item, count(*) AS n FROM i WHERE event_type = 'purchase' AND value > 60 GROUP BY user_id, item
                 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC, item) <= 3),
-          r AS (SELECT user_id, item, count(*) AS n FROM i WHERE event_type = 'view' AND value > 60 GROUP BY ALL
+          r AS (SELECT user_id, item, count(*) AS n FROM i WHERE event_type = 'view' AND value > 60 GROUP BY user_id, item
                 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC, item) <= 3),
           p AS (SELECT item, count(*) AS n FROM i GROUP BY item ORDER BY n DESC, item LIMIT 3),
           ml AS (SELECT user_id, array_to_string(list(item ORDER BY n DESC, item), ',') AS l FROM m GROUP BY user_id),

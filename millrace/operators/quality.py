@@ -63,23 +63,40 @@ def split_valid(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFr
 
 
 def schema_check(df: DataFrame, expected: StructType) -> DataFrame:
-    """One row per column: ``ok``, ``missing``, ``extra`` or ``type_mismatch``.
+    """One row per column with its NULL count and status.
 
-    Names and types are compared. Nullability is left to the null report: file
-    sources turn every column nullable.
+    Status is ``ok``, ``missing``, ``extra``, ``type_mismatch`` or
+    ``unexpected_nulls``. Names and types are compared as metadata, but
+    nullability by looking at the rows: file sources declare every column
+    nullable whatever it holds.
     """
-    wanted = {field.name: field.dataType.simpleString() for field in expected.fields}
+    wanted = {field.name: field for field in expected.fields}
     found = {field.name: field.dataType.simpleString() for field in df.schema.fields}
     rows = []
     for name in [*wanted, *[extra for extra in found if extra not in wanted]]:
-        if name not in found:
-            status = "missing"
-        elif name not in wanted:
-            status = "extra"
+        actual = found.get(name)
+        nulls = F.count_if(F.col(name).isNull()) if name in found else F.lit(None).cast("bigint")
+        kind = wanted[name].dataType.simpleString() if name in wanted else None
+        if actual is None:
+            status = F.lit("missing")
+        elif kind is None:
+            status = F.lit("extra")
+        elif kind != actual:
+            status = F.lit("type_mismatch")
+        elif wanted[name].nullable:
+            status = F.lit("ok")
         else:
-            status = "ok" if wanted[name] == found[name] else "type_mismatch"
-        rows.append((name, wanted.get(name), found.get(name), status))
-    return df.sparkSession.createDataFrame(rows, "column string, expected string, actual string, status string")
+            status = F.when(nulls > 0, "unexpected_nulls").otherwise("ok")
+        rows.append(
+            F.struct(
+                F.lit(name).alias("column"),
+                F.lit(kind).cast("string").alias("expected"),
+                F.lit(actual).cast("string").alias("actual"),
+                nulls.alias("null_count"),
+                status.alias("status"),
+            )
+        )
+    return df.agg(F.array(*rows).alias("rows")).selectExpr("inline(rows)")
 
 
 def null_report(df: DataFrame, columns: Sequence[str], threshold_pct: float = V.NULL_THRESHOLD_PCT) -> DataFrame:

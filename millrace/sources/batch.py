@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
 JSON_MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
@@ -23,28 +23,27 @@ def scan_parquet(spark: SparkSession, path: str, partition: Column | None = None
 def scan_json_modes(spark: SparkSession, path: str, schema: StructType, mode: str = "PERMISSIVE") -> DataFrame:
     """JSON lines under a declared schema.
 
-    ``PERMISSIVE`` keeps malformed rows with their text in ``_corrupt_record``,
-    which therefore has to be part of the read schema; ``DROPMALFORMED`` drops
-    them; ``FAILFAST`` fails the job.
+    ``PERMISSIVE`` keeps malformed rows with their text in ``_corrupt_record``;
+    ``DROPMALFORMED`` drops them; ``FAILFAST`` fails the job.
+
+    Lines are parsed by ``from_json`` and not by the JSON file format: that
+    one parses only the columns a query asks for, so whether a row counts as
+    malformed would change with the query.
     """
     if mode not in JSON_MODES:
         raise ValueError(f"mode must be one of {JSON_MODES}")
-    read_schema = StructType(list(schema.fields))
-    if mode == "PERMISSIVE":
-        read_schema = read_schema.add(CORRUPT, StringType())
-    return (
-        spark.read.schema(read_schema).option("mode", mode).option("columnNameOfCorruptRecord", CORRUPT).json(path)
-    )
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    if mode == "FAILFAST":
+        return lines.select(F.from_json("value", schema, {"mode": mode}).alias("_row")).select("_row.*")
+    read_schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    rows = lines.select(F.from_json("value", read_schema, options).alias("_row")).select("_row.*")
+    return rows if mode == "PERMISSIVE" else rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and the text of malformed ones.
-
-    Both sides read the data columns as well: Spark refuses a query on raw
-    JSON that asks for the corrupt column alone.
-    """
-    data = [name for name in df.columns if name != CORRUPT]
-    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), df.filter(F.col(CORRUPT).isNotNull()).select(*data, CORRUPT)
+    """Good rows, and malformed ones with their text."""
+    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), df.filter(F.col(CORRUPT).isNotNull())
 
 
 def jdbc_options(
