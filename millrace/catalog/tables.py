@@ -90,7 +90,7 @@ PEOPLE_SQL = """(
   SELECT c_custkey AS id, split_part(c_name, '#', 1) AS first_name, split_part(c_name, '#', 2) AS last_name,
          CASE WHEN c_custkey % 13 = 0 THEN '' ELSE lower(replace(c_name, '#', '.')) || '@' END
            || CASE WHEN c_custkey % 13 = 0 THEN lower(replace(c_name, '#', '.')) ELSE '' END
-           || lower(n_name) || '.com' AS email,
+           || lower(replace(n_name, '_', '-')) || '.com' AS email,
          CAST(c_custkey % 170 AS BIGINT) AS age, CAST(1940 + c_custkey % 70 AS BIGINT) AS birth_year,
          c_acctbal > 5000 AS is_premium, c_acctbal AS revenue, c_mktsegment AS segment,
          ['US','UK','CA','AU','DE','FR','BR','JP'][CAST(c_nationkey % 8 + 1 AS INTEGER)] AS country,
@@ -108,7 +108,7 @@ def people(spark: SparkSession, sf: str) -> DataFrame:
         F.col("c_custkey").alias("id"),
         F.split_part("c_name", F.lit("#"), F.lit(1)).alias("first_name"),
         F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"),
-        F.concat(local, at, F.lower("n_name"), F.lit(".com")).alias("email"),
+        F.concat(local, at, F.lower(F.replace("n_name", F.lit("_"), F.lit("-"))), F.lit(".com")).alias("email"),
         (F.col("c_custkey") % 170).alias("age"),
         (F.col("c_custkey") % 70 + 1940).alias("birth_year"),
         (F.col("c_acctbal") > 5000).alias("is_premium"),
