@@ -444,7 +444,7 @@ def _version_updates(spark, sf):
                    ELSE 'applied' END AS verdict FROM v WHERE rn > 0""",
 )
 def version_gated_update(spark, sf):
-    return versions.version_gated_update(_version_updates(spark, sf), "user_id", "expected", ["event_id"], max_rows=40)
+    return versions.version_gated_update(_version_updates(spark, sf), "user_id", "expected", ["event_id"])
 
 
 @query(

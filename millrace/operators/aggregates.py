@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import columns as C
+from millrace.operators import skew
 
 
 def daily_sales_summary(
@@ -139,7 +140,7 @@ def collect_recent_items(
     counts = windowed.groupBy("window_start", "user_id").agg(F.count("_e.item").alias("interaction_count"))
     parts = F.greatest(F.lit(1), F.ceil(F.col("interaction_count") / part_rows))
     return (
-        windowed.join(counts, ["window_start", "user_id"])
+        skew.lookup_join(windowed, counts, ["window_start", "user_id"], null_safe=True)
         .withColumn("part", C.hash_bucket("_e.event", parts))
         .repartition("window_start", "user_id", "part")
         .groupBy("window_start", "user_id", "part")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import columns as C
 from millrace.functions import values as V
-from millrace.operators import joins, ranking
+from millrace.operators import joins, ranking, skew
 
 
 def merge_upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -> DataFrame:
@@ -30,9 +30,12 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str], first_by: Sequence[str]) -> DataFrame:
-    """Add rows whose key is new; existing rows stay as they are."""
-    fresh = joins.anti_join_ledger(source, target, keys)
-    return target.unionByName(ranking.dedup_keep_first(fresh, keys, first_by), allowMissingColumns=True)
+    """Add rows whose key is new; existing rows stay as they are.
+
+    The source shrinks to one row per key before it meets the target.
+    """
+    firsts = ranking.dedup_keep_first(source, keys, first_by)
+    return target.unionByName(joins.anti_join_ledger(firsts, target, keys), allowMissingColumns=True)
 
 
 def latest_changes(changes: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -51,8 +54,8 @@ def cdc_apply(target: DataFrame, changes: DataFrame, key: str, order: Sequence[s
 
 def first_write_wins(requests: DataFrame, ledger: DataFrame | None, key: str, arrival: Sequence[str]) -> DataFrame:
     """Requests to carry out: the first of every key the ledger lacks."""
-    fresh = requests if ledger is None else joins.anti_join_ledger(requests, ledger, [key])
-    return ranking.dedup_keep_first(fresh, [key], arrival)
+    firsts = ranking.dedup_keep_first(requests, [key], arrival)
+    return firsts if ledger is None else joins.anti_join_ledger(firsts, ledger, [key])
 
 
 def replay_results(requests: DataFrame, ledger: DataFrame, key: str, request_id: str) -> DataFrame:
@@ -61,9 +64,8 @@ def replay_results(requests: DataFrame, ledger: DataFrame, key: str, request_id:
     ``ledger`` holds one row per key and carries the id of the winning request
     as ``first_<request_id>``.
     """
-    return requests.select(key, request_id).join(ledger, key).withColumn(
-        "replayed", F.col(request_id) != F.col(f"first_{request_id}")
-    )
+    answered = skew.lookup_join(requests.select(key, request_id), ledger, [key])
+    return answered.withColumn("replayed", F.col(request_id) != F.col(f"first_{request_id}"))
 
 
 def content_hash_dedup(df: DataFrame, content: Sequence[str], first_by: Sequence[str]) -> DataFrame:
@@ -90,26 +92,28 @@ def state_transition_check(
     idempotency_key: str | None = None,
     transitions: Mapping[str, Sequence[str]] = V.ORDER_TRANSITIONS,
     initial: str = V.INITIAL_STATUS,
-    salts: int = 32,
+    hot_rows: int = skew.HOT_ROWS,
 ) -> DataFrame:
     """Judge every requested transition against its entity's state at that point.
 
     Adds ``current_status`` and ``verdict``: ``applied``, ``same_state``,
     ``invalid`` or ``same_key`` (checked in that order of precedence: state,
-    validity, then the last applied key).
+    validity, then the last applied key). ``order`` is unique per entity.
 
     An entity can make no more transitions than the table's longest path, so
     instead of folding an entity's events one by one, each round finds the
-    earliest event that is valid in the entity's current state, by a minimum
-    that combines map-side and over ``salts`` sub-groups. What is known of an
-    entity is its short history of applied transitions; verdicts follow from
-    looking up that history. No entity's events are ever gathered.
+    earliest event that is valid in the entity's current state: a minimum per
+    entity and salt, then per entity. What is known of an entity is its short
+    history of applied transitions, and verdicts follow from looking that up.
+    No entity's events are ever gathered.
     """
     rounds = longest_path(transitions, initial)
     position = F.struct(*[F.col(name).alias(f"o{i}") for i, name in enumerate(order)])
     token = F.lit(None).cast("string") if idempotency_key is None else F.col(idempotency_key).cast("string")
-    facts = events.select(
-        F.col(key).alias("_key"), position.alias("_at"), F.col(status).alias("_to"), F.nullif(token, F.lit("")).alias("_token")
+    hot = skew.hot_keys(events, [key], min_rows=hot_rows)
+    salted = skew.add_salt(events, [key], hot).withColumn("_at", position)
+    facts = salted.select(
+        F.col(key).alias("_key"), "_salt", "_at", F.col(status).alias("_to"), F.nullif(token, F.lit("")).alias("_token")
     )
     candidate = F.struct("_at", "_to", "_token")
 
@@ -122,12 +126,12 @@ def state_transition_check(
         return F.coalesce(F.array_contains(options, wanted), F.lit(False))
 
     def earliest(joined: DataFrame, valid: Column) -> DataFrame:
-        salted = joined.groupBy("_key", F.pmod(F.xxhash64("_at"), F.lit(salts)).alias("_salt")).agg(
+        partial = joined.groupBy("_key", "_salt").agg(
             F.min(F.when(valid, candidate)).alias("_next"), F.any_value("_history").alias("_history")
         )
-        step = salted.groupBy("_key").agg(F.min("_next").alias("_next"), F.any_value("_history").alias("_history"))
+        step = partial.groupBy("_key").agg(F.min("_next").alias("_next"), F.any_value("_history").alias("_history"))
         grown = F.when(F.col("_next").isNotNull(), F.concat("_history", F.array("_next"))).otherwise(F.col("_history"))
-        return step.select("_key", grown.alias("_history"))
+        return skew.add_all_salts(step.select("_key", grown.alias("_history")), ["_key"], hot)
 
     nothing = F.filter(F.array(candidate), lambda _: F.lit(False))
     state = earliest(facts.withColumn("_history", nothing), allowed(F.lit(initial), F.col("_to")))
@@ -135,9 +139,9 @@ def state_transition_check(
     repeats_last = F.coalesce(F.col("_token") == last["_token"], F.lit(False))
     for _ in range(rounds - 1):
         valid = (F.size("_history") > 0) & (F.col("_at") > last["_at"]) & allowed(last["_to"], F.col("_to")) & ~repeats_last
-        state = earliest(facts.join(state, "_key"), valid)
+        state = earliest(skew.keyed_join(facts, state, ["_key", "_salt"], null_safe=True), valid)
 
-    judged = events.withColumn("_at", position).join(state.withColumnRenamed("_key", key), key)
+    judged = skew.keyed_join(salted, state.withColumnRenamed("_key", key), [key, "_salt"], null_safe=True)
     past = F.filter("_history", lambda step: step["_at"] < F.col("_at"))
     before = F.try_element_at(past, F.lit(-1))
     current = F.coalesce(before["_to"], F.lit(initial))
@@ -148,7 +152,7 @@ def state_transition_check(
         .when(~allowed(F.col("current_status"), F.col(status)), "invalid")
         .otherwise("same_key")
     )
-    return judged.withColumn("current_status", current).withColumn("verdict", verdict).drop("_at", "_history")
+    return judged.withColumn("current_status", current).withColumn("verdict", verdict).drop("_at", "_history", "_salt")
 
 
 def apply_one_update(target: DataFrame, updates: DataFrame, key: str, expected: str, values: Sequence[str]) -> DataFrame:

@@ -1,9 +1,8 @@
 """Joins against lookups, parents and ledgers.
 
-The right side of every join here holds one row per key, so a hot key only
-swells the left side. Left sides of inner, outer, semi and anti joins are what
-AQE splits at run time, and none of the results is grouped again on its join
-key without an exchange in between.
+A hot key only swells the left side of these joins. Where both sides are read
+as they are, AQE splits the left side's partition at run time; where the right
+side is an aggregate of the join key, ``skew.lookup_join`` spreads hot keys.
 """
 
 from __future__ import annotations
@@ -14,15 +13,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import columns as C
+from millrace.operators import skew
 
 
 def join_back_aggregate(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:
     """Attach each key's aggregates to its rows.
 
-    A join and not a window: the aggregate combines map-side and the row side
-    can be split, where a window would sort a hot key within one task.
+    A join and not a window: the aggregate combines map-side and hot keys can
+    be spread, where a window would sort a hot key within one task.
     """
-    return df.join(df.groupBy(*keys).agg(*aggregates), list(keys))
+    return skew.lookup_join(df, df.groupBy(*keys).agg(*aggregates), keys)
 
 
 def fraud_interval_join(
@@ -45,7 +45,7 @@ def fraud_interval_join(
         .agg(F.count("*").alias("recent_txn_count"), C.money_sum(amount).alias("recent_amount"))
         .filter(F.col("recent_txn_count") > min_count)
     )
-    return windowed.filter(suspicious).join(velocity, ["_window", user]).drop("_window")
+    return skew.lookup_join(windowed.filter(suspicious), velocity, ["_window", user]).drop("_window")
 
 
 def trailing_velocity(df: DataFrame, ts: str, user: str, seconds: int) -> DataFrame:
@@ -128,6 +128,4 @@ def broadcast_dim_join(
 
 def anti_join_ledger(df: DataFrame, ledger: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key the ledger has not recorded; NULL-safe on the key."""
-    seen = ledger.select(*[F.col(key).alias(f"_seen_{key}") for key in keys])
-    condition = C.all_of([F.col(key).eqNullSafe(F.col(f"_seen_{key}")) for key in keys])
-    return df.join(seen, condition, "left_anti")
+    return skew.keyed_join(df, ledger.select(*keys), keys, "left_anti", null_safe=True)

@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 from millrace.functions import columns as C
 from millrace.functions import values as V
 from millrace.operators import joins, ranking
+from millrace.session import materialize
 
 
 @dataclass(frozen=True)
@@ -358,48 +359,79 @@ def reconcile_tables(left: DataFrame, right: DataFrame, keys: Sequence[str], val
     return merged.withColumn("status", status).filter(F.col("status").isNotNull())
 
 
-def distribution_profile(df: DataFrame, column: str, quantiles: Sequence[float], buckets: int = 64) -> DataFrame:
+def _slice_number(value: Column, cuts: Sequence[float], first: int = 0) -> Column:
+    """How many cuts lie below a value, by halving the cuts."""
+    if not cuts:
+        return F.lit(first)
+    middle = len(cuts) // 2
+    return F.when(value <= cuts[middle], _slice_number(value, cuts[:middle], first)).otherwise(
+        _slice_number(value, cuts[middle + 1 :], first + middle + 1)
+    )
+
+
+def _ranked_values(values: DataFrame, ranks: Sequence[int], slices: int, limit: int) -> DataFrame:
+    """Values at the given zero-based ranks of a ``(value, copies)`` table.
+
+    Approximate quantiles cut the distinct values into slices; their totals,
+    one row per slice, tell the driver which slice holds a rank. A slice of at
+    most ``limit`` distinct values is ranked by a running sum, a larger one is
+    cut again.
+    """
+    shares = [i / slices for i in range(1, slices)]
+    cuts = values.agg(F.percentile_approx("value", shares, 10 * slices)).first()[0]
+    sliced = values.withColumn("_slice", _slice_number(F.col("value"), sorted(set(cuts))))
+    totals = sliced.groupBy("_slice").agg(F.sum("copies").alias("copies"), F.count("*").alias("distinct")).collect()
+    found, small, start = None, [], 0
+    for total in sorted(totals):
+        inside = [rank for rank in ranks if start <= rank < start + total.copies]
+        if inside and limit < total.distinct < sum(t.distinct for t in totals):
+            deeper = _ranked_values(
+                sliced.filter(F.col("_slice") == total["_slice"]).select("value", "copies"),
+                [rank - start for rank in inside], slices, limit,
+            ).withColumn("rank", F.col("rank") + start)
+            found = deeper if found is None else found.unionByName(deeper)
+        else:
+            small.extend((total["_slice"], rank, rank - start) for rank in inside)
+        start += total.copies
+    if small:
+        wanted = values.sparkSession.createDataFrame(small, "_slice int, rank bigint, _local bigint")
+        upto = F.sum("copies").over(Window.partitionBy("_slice").orderBy("value"))
+        ranked = sliced.filter(F.col("_slice").isin(*{entry[0] for entry in small})).withColumn("_upto", upto)
+        hit = (F.col("_local") < F.col("_upto")) & (F.col("_local") >= F.col("_upto") - F.col("copies"))
+        flat = ranked.join(F.broadcast(wanted), "_slice").filter(hit).select("rank", "value")
+        found = flat if found is None else found.unionByName(flat)
+    return found
+
+
+def distribution_profile(
+    df: DataFrame, column: str, quantiles: Sequence[float], slices: int = 64, limit: int = 1_000_000
+) -> DataFrame:
     """Exact quantiles with linear interpolation, one row each.
 
-    Equal values are counted first. Approximate quantiles of the distinct
-    values cut them into ``buckets`` slices; only slice totals (bounded by
-    ``buckets``) reach the driver, which then knows the slice and the rank
-    inside it for every quantile. The final ranking reads those slices only.
-    Runs two small jobs.
+    Equal values are counted first, into a table in the session's shared
+    folder, as several small jobs read it. Only slice totals reach the driver,
+    and no task ranks more than about ``limit`` distinct values.
     """
-    values = (
+    spark = df.sparkSession
+    values = materialize(
         df.filter(F.col(column).isNotNull())
         .groupBy(F.col(column).cast("double").alias("value"))
-        .agg(F.count("*").alias("copies"))
+        .agg(F.count("*").alias("copies")),
+        "value-counts",
     )
-    cuts = values.agg(
-        F.percentile_approx("value", [i / buckets for i in range(1, buckets)], 10_000).alias("cuts")
-    ).first()["cuts"]
-    if cuts is None:
-        return values.sparkSession.createDataFrame([(q, None) for q in quantiles], "quantile double, value double")
-    below = F.filter(F.array(*[F.lit(cut) for cut in sorted(set(cuts))]), lambda cut: cut < F.col("value"))
-    sliced = values.withColumn("slice", F.size(below))
-    totals = sorted(sliced.groupBy("slice").agg(F.sum("copies").alias("copies")).collect())
-    rows = sum(total.copies for total in totals)
-
-    targets = []
+    rows = values.agg(F.sum("copies")).first()[0]
+    if not rows:
+        return spark.createDataFrame([(float(q), None) for q in quantiles], "quantile double, value double")
+    parts = []
     for quantile in quantiles:
         position = quantile * (rows - 1)
         low = math.floor(position)
-        for rank, weight in ((low, 1 - (position - low)), (math.ceil(position), position - low)):
-            start = 0
-            for total in totals:
-                if rank < start + total.copies:
-                    targets.append((float(quantile), total["slice"], rank - start, weight))
-                    break
-                start += total.copies
-    wanted = values.sparkSession.createDataFrame(targets, "quantile double, slice int, rank bigint, weight double")
-    upto = F.sum("copies").over(Window.partitionBy("slice").orderBy("value"))
-    ranked = sliced.filter(F.col("slice").isin(*{target[1] for target in targets})).withColumn("upto", upto)
-    hit = (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("copies"))
+        parts += [(float(quantile), low, 1 - (position - low)), (float(quantile), low + 1, position - low)]
+    parts = [part for part in parts if part[2] > 0]
+    at_rank = _ranked_values(values, sorted({part[1] for part in parts}), slices, limit)
+    weights = spark.createDataFrame(parts, "quantile double, rank bigint, weight double")
     return (
-        ranked.join(F.broadcast(wanted), "slice")
-        .filter(hit)
+        at_rank.join(F.broadcast(weights), "rank")
         .groupBy("quantile")
         .agg(F.sum(F.col("value") * F.col("weight")).alias("value"))
     )

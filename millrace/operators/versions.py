@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from millrace.operators import skew
+
 
 def summarize_segment(expected: Sequence[int]) -> list[tuple[int, int, int]]:
     """What a segment does to the version it is entered with.
@@ -99,7 +101,7 @@ def version_gated_update(
         rows = rows.withColumn("_start", F.lit(0).cast("bigint"))
     else:
         versions = current.select(F.col(key).alias("_key"), F.col("version").cast("bigint").alias("_start"))
-        rows = rows.join(versions, "_key", "left").withColumn("_start", F.coalesce("_start", F.lit(0).cast("bigint")))
+        rows = skew.lookup_join(rows, versions, ["_key"], "left", null_safe=True).withColumn("_start", F.coalesce("_start", F.lit(0).cast("bigint")))
 
     hot = (
         rows.groupBy("_key")
@@ -111,9 +113,9 @@ def version_gated_update(
     else:
         width = F.floor((F.col("_high") - F.col("_low")) / F.ceil(F.col("_n") / max_rows)) + 1
         cut = F.floor((F.col("_position") - F.col("_low")) / width).cast("bigint")
-        rows = rows.join(hot, "_key", "left").withColumn("_segment", F.coalesce(cut, F.lit(0).cast("bigint")))
+        rows = skew.lookup_join(rows, hot, ["_key"], "left", null_safe=True).withColumn("_segment", F.coalesce(cut, F.lit(0).cast("bigint")))
         entries = _entry_versions(rows.filter(F.col("_n").isNotNull()))
-        rows = rows.join(entries, ["_key", "_segment"], "left").withColumn("_entry", F.coalesce("_entry", "_start"))
+        rows = skew.keyed_join(rows, entries, ["_key", "_segment"], "left", null_safe=True).withColumn("_entry", F.coalesce("_entry", "_start"))
 
     steps = F.array_sort(F.collect_list(F.struct(*[f"_o{i}" for i in range(len(order))], "_expected", "_row")))
     grouped = rows.repartition("_key", "_segment").groupBy("_key", "_segment").agg(

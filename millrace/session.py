@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_SETTINGS = {
     # Event times are compared across engines, so pin the zone.
@@ -52,6 +52,17 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared.rstrip('/')}/millrace/{label}-{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and read it back.
+
+    For results several jobs use: it survives the loss of an executor, where
+    cached blocks would have to be computed again.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on whichever file system its scheme names."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
