@@ -100,13 +100,12 @@ def schema_check(df: DataFrame, expected: StructType) -> DataFrame:
     return df.agg(F.array(*rows).alias("rows")).selectExpr("inline(rows)")
 
 
-def null_report(df: DataFrame, columns: Sequence[str], threshold_pct: float = V.NULL_THRESHOLD_PCT) -> DataFrame:
-    """NULL count and percent of every column, in one pass."""
-    rows = []
+def _null_entries(columns: Sequence[str], threshold_pct: float) -> list[Column]:
+    entries = []
     for name in columns:
         nulls = F.count_if(F.col(name).isNull())
         pct = C.percent(nulls, F.count("*"))
-        rows.append(
+        entries.append(
             F.struct(
                 F.lit(name).alias("column"),
                 nulls.alias("null_count"),
@@ -114,22 +113,22 @@ def null_report(df: DataFrame, columns: Sequence[str], threshold_pct: float = V.
                 F.when(pct.isNull(), "EMPTY").when(pct <= threshold_pct, "PASS").otherwise("FAIL").alias("status"),
             )
         )
-    return df.agg(F.array(*rows).alias("rows")).selectExpr("inline(rows)")
+    return entries
+
+
+def null_report(df: DataFrame, columns: Sequence[str], threshold_pct: float = V.NULL_THRESHOLD_PCT) -> DataFrame:
+    """NULL count and percent of every column, in one pass."""
+    return df.agg(F.array(*_null_entries(columns, threshold_pct)).alias("rows")).selectExpr("inline(rows)")
 
 
 def out_of_range(name: str, bounds: tuple[float, float]) -> Column:
     return (F.col(name) < bounds[0]) | (F.col(name) > bounds[1])
 
 
-def range_report(df: DataFrame, rules: Mapping[str, tuple[float, float]], stacked: bool = False) -> DataFrame:
-    """Out-of-range and NULL counts per column, in one pass.
-
-    ``stacked`` counts each column only over rows inside every earlier range,
-    as a chain of filters would.
-    """
-    rows, inside = [], F.lit(True)
+def _range_entries(rules: Mapping[str, tuple[float, float]], stacked: bool, counted: Column) -> list[Column]:
+    entries, inside = [], counted
     for name, (low, high) in rules.items():
-        rows.append(
+        entries.append(
             F.struct(
                 F.lit(name).alias("column"),
                 F.lit(float(low)).alias("min_allowed"),
@@ -140,7 +139,16 @@ def range_report(df: DataFrame, rules: Mapping[str, tuple[float, float]], stacke
         )
         if stacked:
             inside = inside & F.coalesce(F.col(name).between(low, high), F.lit(False))
-    return df.agg(F.array(*rows).alias("rows")).selectExpr("inline(rows)")
+    return entries
+
+
+def range_report(df: DataFrame, rules: Mapping[str, tuple[float, float]], stacked: bool = False) -> DataFrame:
+    """Out-of-range and NULL counts per column, in one pass.
+
+    ``stacked`` counts each column only over rows inside every earlier range,
+    as a chain of filters would.
+    """
+    return df.agg(F.array(*_range_entries(rules, stacked, F.lit(True))).alias("rows")).selectExpr("inline(rows)")
 
 
 def range_split(df: DataFrame, rules: Mapping[str, tuple[float, float]]) -> tuple[DataFrame, DataFrame]:
@@ -369,37 +377,32 @@ def _slice_number(value: Column, cuts: Sequence[float], first: int = 0) -> Colum
     )
 
 
-def _ranked_values(values: DataFrame, ranks: Sequence[int], slices: int, limit: int) -> DataFrame:
+def _ranked_values(values: DataFrame, distinct: int, ranks: Sequence[int], slices: int, limit: int) -> DataFrame:
     """Values at the given zero-based ranks of a ``(value, copies)`` table.
 
-    Approximate quantiles cut the distinct values into slices; their totals,
-    one row per slice, tell the driver which slice holds a rank. A slice of at
-    most ``limit`` distinct values is ranked by a running sum, a larger one is
-    cut again.
+    Up to ``limit`` distinct values are ranked by one running sum. More are
+    cut by approximate quantiles into slices; their totals, one row per slice,
+    tell the driver which slice holds a rank, and only that slice is ranked.
     """
-    shares = [i / slices for i in range(1, slices)]
-    cuts = values.agg(F.percentile_approx("value", shares, 10 * slices)).first()[0]
+    spark = values.sparkSession
+    if distinct <= limit:
+        upto = F.sum("copies").over(Window.partitionBy(F.lit(0)).orderBy("value"))
+        wanted = spark.createDataFrame([(rank,) for rank in ranks], "rank bigint")
+        hit = (F.col("rank") < F.col("_upto")) & (F.col("rank") >= F.col("_upto") - F.col("copies"))
+        return values.withColumn("_upto", upto).join(F.broadcast(wanted), hit).select("rank", "value")
+    cuts = values.agg(F.percentile_approx("value", [i / slices for i in range(1, slices)], 10 * slices)).first()[0]
     sliced = values.withColumn("_slice", _slice_number(F.col("value"), sorted(set(cuts))))
     totals = sliced.groupBy("_slice").agg(F.sum("copies").alias("copies"), F.count("*").alias("distinct")).collect()
-    found, small, start = None, [], 0
+    found, start = None, 0
     for total in sorted(totals):
-        inside = [rank for rank in ranks if start <= rank < start + total.copies]
-        if inside and limit < total.distinct < sum(t.distinct for t in totals):
-            deeper = _ranked_values(
-                sliced.filter(F.col("_slice") == total["_slice"]).select("value", "copies"),
-                [rank - start for rank in inside], slices, limit,
-            ).withColumn("rank", F.col("rank") + start)
-            found = deeper if found is None else found.unionByName(deeper)
-        else:
-            small.extend((total["_slice"], rank, rank - start) for rank in inside)
+        inside = [rank - start for rank in ranks if start <= rank < start + total.copies]
+        if inside:
+            part = sliced.filter(F.col("_slice") == total["_slice"]).select("value", "copies")
+            # A slice that did not shrink holds values the sketch cannot part.
+            room = max(limit, total.distinct) if total.distinct == distinct else limit
+            hits = _ranked_values(part, total.distinct, inside, slices, room).withColumn("rank", F.col("rank") + start)
+            found = hits if found is None else found.unionByName(hits)
         start += total.copies
-    if small:
-        wanted = values.sparkSession.createDataFrame(small, "_slice int, rank bigint, _local bigint")
-        upto = F.sum("copies").over(Window.partitionBy("_slice").orderBy("value"))
-        ranked = sliced.filter(F.col("_slice").isin(*{entry[0] for entry in small})).withColumn("_upto", upto)
-        hit = (F.col("_local") < F.col("_upto")) & (F.col("_local") >= F.col("_upto") - F.col("copies"))
-        flat = ranked.join(F.broadcast(wanted), "_slice").filter(hit).select("rank", "value")
-        found = flat if found is None else found.unionByName(flat)
     return found
 
 
@@ -419,16 +422,16 @@ def distribution_profile(
         .agg(F.count("*").alias("copies")),
         "value-counts",
     )
-    rows = values.agg(F.sum("copies")).first()[0]
-    if not rows:
+    size = values.agg(F.sum("copies").alias("rows"), F.count("*").alias("distinct")).first()
+    if not size["rows"]:
         return spark.createDataFrame([(float(q), None) for q in quantiles], "quantile double, value double")
     parts = []
     for quantile in quantiles:
-        position = quantile * (rows - 1)
+        position = quantile * (size["rows"] - 1)
         low = math.floor(position)
         parts += [(float(quantile), low, 1 - (position - low)), (float(quantile), low + 1, position - low)]
     parts = [part for part in parts if part[2] > 0]
-    at_rank = _ranked_values(values, sorted({part[1] for part in parts}), slices, limit)
+    at_rank = _ranked_values(values, size["distinct"], sorted({part[1] for part in parts}), slices, limit)
     weights = spark.createDataFrame(parts, "quantile double, rank bigint, weight double")
     return (
         at_rank.join(F.broadcast(weights), "rank")
@@ -532,70 +535,101 @@ class QualityError(ValueError):
     """A check configured to raise did not pass."""
 
 
-def run_all_checks(df: DataFrame, config: Mapping[str, object], as_of: Column) -> tuple[DataFrame, DataFrame]:
+def _report_rows(source: DataFrame, step: int, check: str, item: Column, measured: Column, status: Column) -> DataFrame:
+    return source.select(
+        F.lit(step).alias("step"),
+        F.lit(check).alias("check"),
+        item.cast("string").alias("item"),
+        measured.cast("double").alias("measured"),
+        status.alias("status"),
+    )
+
+
+def _verdict(failing: Column) -> Column:
+    return F.when(failing, "FAIL").otherwise("PASS")
+
+
+def run_all_checks(
+    df: DataFrame, config: Mapping[str, object], as_of: Column, keep_intermediate: bool = True
+) -> tuple[DataFrame, DataFrame]:
     """Run the configured checks in order; return ``(clean rows, report)``.
 
     Order: schema, NULLs, ranges, uniqueness, referential, freshness,
     anomalies, completeness. Ranges, uniqueness, referential integrity and
     freshness filter the rows the later checks see. ``on_fail`` is ``report``
     (default), ``filter`` to also drop rows with NULLs in critical columns, or
-    ``raise`` to stop on a failed report; only ``raise`` runs a job.
+    ``raise`` to stop on a failed report.
+
+    NULLs and ranges share one aggregation over the input. Deduplicated or
+    joined rows are written once to the session's shared folder when later
+    checks need them, unless ``keep_intermediate`` is off; otherwise every
+    check repeats that shuffle.
     """
     on_fail = config.get("on_fail", "report")
     parts: list[DataFrame] = []
-
-    def add(check: str, report: DataFrame, item: Column, measured: Column, status: Column) -> None:
-        parts.append(
-            report.select(
-                F.lit(len(parts) + 1).alias("step"),
-                F.lit(check).alias("check"),
-                item.cast("string").alias("item"),
-                measured.cast("double").alias("measured"),
-                status.alias("status"),
-            )
-        )
-
-    def verdict(failing: Column) -> Column:
-        return F.when(failing, "FAIL").otherwise("PASS")
+    step = 0
 
     if "schema" in config:
+        step += 1
         report = schema_check(df, config["schema"])
-        add("schema", report, F.col("column"), F.lit(None), verdict(F.col("status") != "ok"))
-    if "critical_columns" in config:
-        report = null_report(df, config["critical_columns"], config.get("null_threshold_pct", V.NULL_THRESHOLD_PCT))
-        add("nulls", report, F.col("column"), F.col("null_count"), F.col("status"))
-        if on_fail == "filter":
-            df = df.dropna(subset=list(config["critical_columns"]))
-    if "range_rules" in config:
-        rules = config["range_rules"]
-        report = range_report(df, rules, stacked=True)
-        add("ranges", report, F.col("column"), F.col("out_of_range"), verdict(F.col("out_of_range") > 0))
-        df = df.filter(C.all_of([F.col(name).between(low, high) for name, (low, high) in rules.items()]))
+        parts.append(_report_rows(report, step, "schema", F.col("column"), F.lit(None), _verdict(F.col("status") != "ok")))
+
+    critical, rules = list(config.get("critical_columns", ())), dict(config.get("range_rules", {}))
+    if critical or rules:
+        counted = C.all_of([F.col(name).isNotNull() for name in critical]) if on_fail == "filter" else F.lit(True)
+        nulls = _null_entries(critical, config.get("null_threshold_pct", V.NULL_THRESHOLD_PCT))
+        ranges = _range_entries(rules, True, counted)
+        totals = df.agg(*([F.array(*nulls).alias("nulls")] if nulls else []), *([F.array(*ranges).alias("ranges")] if ranges else []))
+        if nulls:
+            step += 1
+            report = totals.selectExpr("inline(nulls)")
+            parts.append(_report_rows(report, step, "nulls", F.col("column"), F.col("null_count"), F.col("status")))
+            df = df.dropna(subset=critical) if on_fail == "filter" else df
+        if ranges:
+            step += 1
+            report = totals.selectExpr("inline(ranges)")
+            bad = F.col("out_of_range")
+            parts.append(_report_rows(report, step, "ranges", F.col("column"), bad, _verdict(bad > 0)))
+            df = df.filter(C.all_of([F.col(name).between(low, high) for name, (low, high) in rules.items()]))
+
+    shuffled = False
     if "unique_columns" in config:
+        step += 1
         keys = list(config["unique_columns"])
-        report = uniqueness_report(df, keys)
-        add("uniqueness", report, F.lit(",".join(keys)), F.col("duplicate_rows"), verdict(F.col("duplicate_rows") > 0))
+        report, bad = uniqueness_report(df, keys), F.col("duplicate_rows")
+        parts.append(_report_rows(report, step, "uniqueness", F.lit(",".join(keys)), bad, _verdict(bad > 0)))
         df = ranking.dedup_keep_first(df, keys, config.get("first_by", [config.get("timestamp_column", keys[0])]))
+        shuffled = True
     if "referential" in config:
+        step += 1
         parent, foreign_key, primary_key = config["referential"]
-        report = referential_report(df, parent, foreign_key, primary_key)
-        add("referential", report, F.lit(foreign_key), F.col("orphan_rows"), verdict(F.col("orphan_rows") > 0))
+        report, bad = referential_report(df, parent, foreign_key, primary_key), F.col("orphan_rows")
+        parts.append(_report_rows(report, step, "referential", F.lit(foreign_key), bad, _verdict(bad > 0)))
         df = joins.valid_child_rows(df, parent, foreign_key, primary_key)
+        shuffled = True
+    if shuffled and keep_intermediate and {"timestamp_column", "numeric_columns", "date_column"} & set(config):
+        df = materialize(df, "checked-rows")
+
     if "timestamp_column" in config:
+        step += 1
         name, hours = config["timestamp_column"], config.get("max_age_hours", V.MAX_AGE_HOURS)
-        add("freshness", freshness_check(df, name, as_of, hours), F.lit(name), F.col("age_hours"), F.col("status"))
+        report = freshness_check(df, name, as_of, hours)
+        parts.append(_report_rows(report, step, "freshness", F.lit(name), F.col("age_hours"), F.col("status")))
         df = fresh_rows(df, name, as_of, hours)
     for name in config.get("numeric_columns", ()):
+        step += 1
         bounds = zscore_bounds(df, name, config.get("std_dev_threshold", V.STDDEV_THRESHOLD))
         outside = (F.col(name) < bounds["low"]) | (F.col(name) > bounds["high"])
-        report = df.filter(outside).agg(F.count("*").alias("anomalies"))
-        add("anomalies", report, F.lit(name), F.col("anomalies"), verdict(F.col("anomalies") > 0))
+        report, bad = df.agg(F.count_if(outside).alias("anomalies")), F.col("anomalies")
+        parts.append(_report_rows(report, step, "anomalies", F.lit(name), bad, _verdict(bad > 0)))
         if config.get("drop_anomalies", False):
             df = df.filter(~F.coalesce(outside, F.lit(False)))
     if "date_column" in config:
-        report = completeness_report(df, F.col(config["date_column"]), config.get("expected_count"))
-        incomplete = (F.col("missing_dates") > 0) | (F.coalesce(F.col("missing_pct"), F.lit(0.0)) > 0)
-        add("completeness", report, F.lit(config["date_column"]), F.col("missing_dates"), verdict(incomplete))
+        step += 1
+        name = config["date_column"]
+        report = completeness_report(df, F.col(name), config.get("expected_count"))
+        short = (F.col("missing_dates") > 0) | (F.coalesce(F.col("missing_pct"), F.lit(0.0)) > 0)
+        parts.append(_report_rows(report, step, "completeness", F.lit(name), F.col("missing_dates"), _verdict(short)))
 
     report = parts[0]
     for part in parts[1:]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,15 +58,33 @@ def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def tables_equal(*tables: DataFrame) -> DataFrame:
-    """One row: whether all tables hold the same rows the same number of times."""
-    first, *others = tables
-    differences = [row_differences(first, other).agg(F.count("*").alias("differing")) for other in others]
-    combined = differences[0]
-    for difference in differences[1:]:
-        combined = combined.unionByName(difference)
-    return combined.agg(
-        F.sum("differing").alias("differing_rows"), (F.sum("differing") == 0).alias("equal")
-    )
+    """One row: whether all tables hold the same rows the same number of times.
+
+    Every table is read once: rows are counted per table in one grouped union.
+    """
+    columns = tables[0].columns
+    marks = [f"_t{i}" for i in range(len(tables))]
+    combined = None
+    for mine, df in zip(marks, tables, strict=True):
+        marked = df.select(*columns, *[F.lit(int(mark == mine)).alias(mark) for mark in marks])
+        combined = marked if combined is None else combined.unionByName(marked)
+    counts = combined.groupBy(*columns).agg(*[F.sum(mark).alias(mark) for mark in marks])
+    differs = F.greatest(*[F.abs(F.col(mark) - F.col(marks[0])) for mark in marks]) > 0
+    return counts.agg(F.count_if(differs).alias("differing_rows"), (F.count_if(differs) == 0).alias("equal"))
+
+
+def runs_agree(job: Callable[[], DataFrame], folder: str, runs: int = 3) -> DataFrame:
+    """Run a job several times, keep every result below ``folder``, compare them.
+
+    Results are written before they are compared, so that each is a run of its
+    own and not one plan evaluated lazily at the end.
+    """
+    results = []
+    for number in range(runs):
+        result = job()
+        result.write.mode("overwrite").parquet(f"{folder}/run={number}")
+        results.append(result.sparkSession.read.parquet(f"{folder}/run={number}"))
+    return tables_equal(*results)
 
 
 def missing_dates(df: DataFrame, date: Column) -> DataFrame:

@@ -29,9 +29,9 @@ def customer_features(purchases: DataFrame, as_of: Column) -> DataFrame:
     """Features of every customer from purchases before ``as_of``.
 
     ``purchases`` has customer_id, order_id, purchased_at, amount, category.
-    The label is the spend in the month after. Distinct orders and categories
-    come from one pre-aggregation per (customer, order, category), so the two
-    distinct counts do not multiply the rows.
+    The label is the spend in the month after. Rows shrink to one per customer,
+    order and category first, so the two distinct counts copy those and not
+    the purchases.
     """
     before = F.col("purchased_at") < as_of
     after = (F.col("purchased_at") >= as_of) & (F.col("purchased_at") < F.add_months(as_of, 1).cast("timestamp_ntz"))
@@ -50,25 +50,17 @@ def customer_features(purchases: DataFrame, as_of: Column) -> DataFrame:
         F.sum("spent").cast("double").alias("total_lifetime_value"),
         F.sum("next").cast("double").alias("next"),
         F.count_distinct(F.when(seen, F.col("order_id"))).alias("purchase_frequency"),
+        F.count_distinct(F.when(seen, F.col("category"))).alias("num_categories_purchased"),
         F.max("last_at").alias("last_at"),
     )
-    categories = (
-        lines.filter(seen).select("customer_id", "category").distinct().groupBy("customer_id").agg(
-            F.count("category").alias("num_categories_purchased")
-        )
-    )
-    return (
-        totals.filter(F.col("purchase_frequency") > 0)
-        .join(categories, "customer_id")
-        .select(
-            "customer_id",
-            F.try_divide("total_lifetime_value", F.col("purchase_frequency").cast("double")).alias("avg_purchase_value"),
-            "purchase_frequency",
-            F.date_diff(as_of, F.col("last_at").cast("date")).cast("bigint").alias("days_since_last_purchase"),
-            "total_lifetime_value",
-            "num_categories_purchased",
-            F.coalesce("next", F.lit(0.0)).alias(LABEL),
-        )
+    return totals.filter(F.col("purchase_frequency") > 0).select(
+        "customer_id",
+        F.try_divide("total_lifetime_value", F.col("purchase_frequency").cast("double")).alias("avg_purchase_value"),
+        "purchase_frequency",
+        F.date_diff(as_of, F.col("last_at").cast("date")).cast("bigint").alias("days_since_last_purchase"),
+        "total_lifetime_value",
+        "num_categories_purchased",
+        F.coalesce("next", F.lit(0.0)).alias(LABEL),
     )
 
 

@@ -46,6 +46,17 @@ def incremental_sequence(source: DataFrame, column: str, last_id: int) -> tuple[
     return batch.orderBy(column), batch.agg(F.coalesce(F.max(column), F.lit(last_id)).alias("last_id"), F.count("*").alias("rows"))
 
 
+def pushed_incremental_query(table: str, column: str, last: datetime | int | None) -> str:
+    """The subquery a JDBC source runs for an incremental load.
+
+    Unordered: the order of a subquery is lost in a parallel read.
+    """
+    if isinstance(last, int):
+        return f"SELECT * FROM {table} WHERE {column} > {last}"
+    since = (FIRST_WATERMARK if last is None else last).isoformat(sep=" ")
+    return f"SELECT * FROM {table} WHERE {column} > TIMESTAMP '{since}'"
+
+
 class WatermarkLedger:
     """Append-only table of the watermark each load of a table reached."""
 

@@ -195,3 +195,10 @@ def test_tables_equal_counts_copies(spark):
     assert ranking.tables_equal(one, one, one).first().equal
     result = ranking.tables_equal(one, other).first()
     assert not result.equal and result.differing_rows == 2
+
+
+def test_three_runs_of_a_job_agree_or_not(spark, folder):
+    df = spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "k int, at int")
+    assert ranking.runs_agree(lambda: ranking.dedup_keep_latest(df, ["k"], ["at"]), folder + "/same").first().equal
+    drifting = iter(range(3))
+    assert not ranking.runs_agree(lambda: df.withColumn("n", F.lit(next(drifting))), folder + "/drift").first().equal

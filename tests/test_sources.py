@@ -53,6 +53,13 @@ def test_jdbc_options():
             batch.jdbc_options(url, **wrong)
 
 
+def test_incremental_query_is_pushed_to_the_database():
+    query = loads.pushed_incremental_query("orders", "updated_at", datetime(2024, 1, 1, 2))
+    assert query == "SELECT * FROM orders WHERE updated_at > TIMESTAMP '2024-01-01 02:00:00'"
+    assert loads.pushed_incremental_query("orders", "updated_at", None).endswith("'1970-01-01 00:00:00'")
+    assert loads.pushed_incremental_query("orders", "id", 7).endswith("id > 7")
+
+
 def test_kafka_options():
     assert kafka.kafka_source_options("h:1", "t", "earliest", 10_000, committed_only=True) == {
         "kafka.bootstrap.servers": "h:1",

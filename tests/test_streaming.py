@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import idempotent, joins, transform
 from millrace.plans import serving
-from millrace.streaming import sinks, transitions, views
+from millrace.streaming import health, sinks, transitions, views
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the test tables")
@@ -83,6 +83,17 @@ def test_sliding_users_are_close_to_exact(spark, staged, folder):
         assert got[row.window_start].unique_users == pytest.approx(row.unique_users, rel=0.1, abs=1)
 
 
+def test_progress_shows_the_watermark_lag(spark, staged, folder):
+    _, stream = staged(flush())
+    windows = views.tumbling_velocity(views.watermark(stream, "ts", "10 minutes"), "ts", "user_id", "value")
+    query = sinks.stream_file_sink(views.window_columns(windows), folder + "/out", folder + "/cp", None)
+    query.awaitTermination()
+    batches = health.stream_progress(query).collect()
+    assert sum(b.input_rows for b in batches) == 1001
+    assert any(b.watermark_lag_seconds and b.watermark_lag_seconds >= 600 for b in batches)
+    assert max(b.state_rows for b in batches) > 0
+
+
 def test_resume_adds_nothing(spark, staged, folder):
     _, stream = staged(flush())
     for _ in range(3):
