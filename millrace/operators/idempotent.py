@@ -187,10 +187,15 @@ def offset_ledger_apply(
     """Messages to record: unseen offsets, flagged where the event is new.
 
     ``ledger`` is the table this appends to, so data and offsets are one
-    write: rows with ``inserted`` are the data, all rows are the ledger.
+    write: rows with ``inserted`` are the data, all rows are the ledger. The
+    last offset key is a number; ledger rows below the batch's smallest one
+    cannot match and are left to the scan's statistics to skip.
     """
     offsets = list(offset_keys)
-    fresh = messages if ledger is None else joins.anti_join_ledger(messages, ledger, offsets)
+    fresh = messages
+    if ledger is not None:
+        smallest = messages.agg(F.min(offsets[-1])).scalar()
+        fresh = joins.anti_join_ledger(messages, ledger.filter(F.col(offsets[-1]) >= smallest), offsets)
     fresh = ranking.dedup_keep_first(fresh, offsets, [event_key])
     firsts = ranking.dedup_keep_first(fresh, [event_key], offsets)
     if ledger is not None:

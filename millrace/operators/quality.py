@@ -384,12 +384,13 @@ def _ranked_values(values: DataFrame, distinct: int, ranks: Sequence[int], slice
     cut by approximate quantiles into slices; their totals, one row per slice,
     tell the driver which slice holds a rank, and only that slice is ranked.
     """
-    spark = values.sparkSession
     if distinct <= limit:
         upto = F.sum("copies").over(Window.partitionBy(F.lit(0)).orderBy("value"))
-        wanted = spark.createDataFrame([(rank,) for rank in ranks], "rank bigint")
-        hit = (F.col("rank") < F.col("_upto")) & (F.col("rank") >= F.col("_upto") - F.col("copies"))
-        return values.withColumn("_upto", upto).join(F.broadcast(wanted), hit).select("rank", "value")
+        held = F.filter(
+            F.array(*[F.lit(rank).cast("bigint") for rank in ranks]),
+            lambda rank: (rank < F.col("_upto")) & (rank >= F.col("_upto") - F.col("copies")),
+        )
+        return values.withColumn("_upto", upto).select(F.explode(held).alias("rank"), "value")
     cuts = values.agg(F.percentile_approx("value", [i / slices for i in range(1, slices)], 10 * slices)).first()[0]
     sliced = values.withColumn("_slice", _slice_number(F.col("value"), sorted(set(cuts))))
     totals = sliced.groupBy("_slice").agg(F.sum("copies").alias("copies"), F.count("*").alias("distinct")).collect()

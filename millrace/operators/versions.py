@@ -49,25 +49,33 @@ def enter_segments(version: int, segments: Iterator[list[tuple[int, int, int]]])
 
 
 def _entry_versions(rows: DataFrame) -> DataFrame:
-    """Entry version per key and segment, for keys cut into segments."""
+    """Entry version per key and segment, for keys cut into segments.
+
+    Segments are summarised in parallel from three narrow columns. One record
+    then walks its summaries in order; clients that mostly expect consecutive
+    versions leave one run or a few per segment, so that walk is about as long
+    as the record has segments.
+    """
+    key_type = rows.schema["_key"].dataType.simpleString()
+    order = [name for name in rows.columns if name.startswith("_o")]
+
     def summarize(pdf: pd.DataFrame) -> pd.DataFrame:
-        ordered = pdf.sort_values([c for c in pdf.columns if c.startswith("_o")])
-        runs = summarize_segment(ordered["_expected"].tolist())
-        out = pd.DataFrame(runs, columns=["low", "high", "leave"])
-        return out.assign(_hash=pdf["_hash"].iloc[0], _key=pdf["_key"].iloc[0], _segment=pdf["_segment"].iloc[0], _start=pdf["_start"].iloc[0])
+        runs = summarize_segment(pdf.sort_values(order)["_expected"].tolist())
+        head = pdf.iloc[0]
+        return pd.DataFrame(runs, columns=["low", "high", "leave"]).assign(
+            _key=head["_key"], _segment=head["_segment"], _start=head["_start"]
+        )
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        groups = [(segment, group) for segment, group in pdf.sort_values("low").groupby("_segment")]
-        runs = [list(zip(g["low"], g["high"], g["leave"], strict=True)) for _, g in groups]
-        entries = list(enter_segments(int(pdf["_start"].iloc[0]), iter(runs)))
+        groups = list(pdf.sort_values("low").groupby("_segment"))
+        runs = (list(zip(g["low"], g["high"], g["leave"], strict=True)) for _, g in groups)
+        entries = list(enter_segments(int(pdf["_start"].iloc[0]), runs))
         return pd.DataFrame({"_key": pdf["_key"].iloc[0], "_segment": [s for s, _ in groups], "_entry": entries})
 
-    key_type = rows.schema["_key"].dataType.simpleString()
-    shape = f"low bigint, high bigint, leave bigint, _hash bigint, _key {key_type}, _segment bigint, _start bigint"
-    known = rows.filter(F.col("_expected").isNotNull()).withColumn("_hash", F.xxhash64("_key"))
-    order = [name for name in rows.columns if name.startswith("_o")]
-    narrow = known.select("_hash", "_key", "_segment", "_start", "_expected", *order)
-    summaries = narrow.groupBy("_key", "_segment").applyInPandas(summarize, shape)
+    known = rows.filter(F.col("_expected").isNotNull()).select("_key", "_segment", "_start", "_expected", *order)
+    summaries = known.groupBy("_key", "_segment").applyInPandas(
+        summarize, f"low bigint, high bigint, leave bigint, _key {key_type}, _segment bigint, _start bigint"
+    )
     return summaries.groupBy("_key").applyInPandas(walk, f"_key {key_type}, _segment bigint, _entry bigint")
 
 

@@ -63,12 +63,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists on whichever file system its scheme names."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder; empty when it does not exist."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -76,3 +70,8 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(hadoop_path):
         return []
     return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+
+
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder holds anything beside hidden files and markers."""
+    return any(not name.startswith(("_", ".")) for name in child_names(spark, path))

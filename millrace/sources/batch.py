@@ -20,7 +20,9 @@ def scan_parquet(spark: SparkSession, path: str, partition: Column | None = None
     return df if partition is None else df.filter(partition)
 
 
-def scan_json_modes(spark: SparkSession, path: str, schema: StructType, mode: str = "PERMISSIVE") -> DataFrame:
+def scan_json_modes(
+    spark: SparkSession, path: str | list[str], schema: StructType, mode: str = "PERMISSIVE"
+) -> DataFrame:
     """JSON lines under a declared schema.
 
     ``PERMISSIVE`` keeps malformed rows with their text in ``_corrupt_record``;

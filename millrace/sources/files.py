@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.operators import joins
-from millrace.session import path_exists
+from millrace.session import has_data
 from millrace.sources.batch import CORRUPT, scan_json_modes
 from millrace.sources.tables import partition_overwrite
 
 
+LEDGER = "source_file string, run int, rows_ok bigint, rows_bad bigint"
+
+
 @dataclass(frozen=True)
 class Inbox:
     """Where arriving files lie, and where their rows and the ledger go."""
@@ -23,27 +26,34 @@ class Inbox:
     ledger: str
 
 
-def read_new_files(spark: SparkSession, incoming: str, schema: StructType, ledger: DataFrame | None) -> DataFrame:
-    """Rows of the files the ledger lacks, tagged with ``source_file``.
+def new_file_paths(spark: SparkSession, incoming: str, ledger: DataFrame | None) -> list[str]:
+    """Paths of the files the ledger lacks.
 
-    One read over all files and one anti-join on the path, however many files
-    there are.
+    Only names are read, not content. The driver gets the new names, a part of
+    the listing Spark's file index keeps there anyway.
     """
-    rows = scan_json_modes(spark, incoming, schema).withColumn("source_file", F.col("_metadata.file_path"))
-    return rows if ledger is None else joins.anti_join_ledger(rows, ledger, ["source_file"])
+    listed = spark.read.format("binaryFile").load(incoming)
+    names = listed.select("path", F.col("_metadata.file_path").alias("source_file"))
+    fresh = names if ledger is None else joins.anti_join_ledger(names, ledger, ["source_file"])
+    return [row.path for row in fresh.select("path").collect()]
 
 
 def batch_file_ingest(spark: SparkSession, inbox: Inbox, schema: StructType, ingested_at: Column) -> DataFrame:
-    """Ingest new files; return the ledger rows of this run, one per file.
+    """Ingest new files; return the ledger rows of this run, one per file with rows.
 
+    Old files are not opened: one read covers all new ones, however many.
     One write separates good rows (``state=ok``) from malformed ones
     (``state=error``). It replaces the run's own partitions, and the ledger is
     written after it: a run that dies in between is simply repeated.
     """
-    ledger = spark.read.parquet(inbox.ledger) if path_exists(spark, inbox.ledger) else None
+    ledger = spark.read.parquet(inbox.ledger) if has_data(spark, inbox.ledger) else None
     run = 0 if ledger is None else ledger.agg(F.max("run")).first()[0] + 1
-    rows = read_new_files(spark, inbox.incoming, schema, ledger).withColumns(
+    paths = new_file_paths(spark, inbox.incoming, ledger)
+    if not paths:
+        return spark.createDataFrame([], LEDGER)
+    rows = scan_json_modes(spark, paths, schema).withColumns(
         {
+            "source_file": F.col("_metadata.file_path"),
             "ingestion_time": ingested_at,
             "state": F.when(F.col(CORRUPT).isNull(), "ok").otherwise("error"),
             "ingestion_date": ingested_at.cast("date"),
@@ -53,7 +63,7 @@ def batch_file_ingest(spark: SparkSession, inbox: Inbox, schema: StructType, ing
     seen = Observation("ingest")
     partition_overwrite(rows.observe(seen, F.count("*").alias("rows")), inbox.output, ["state", "ingestion_date", "run"])
     if seen.get["rows"] == 0:
-        return spark.createDataFrame([], "source_file string, run int, rows_ok bigint, rows_bad bigint")
+        return spark.createDataFrame([], LEDGER)
     done = (
         spark.read.parquet(inbox.output)
         .filter(F.col("run") == run)

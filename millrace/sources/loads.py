@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import ranking
-from millrace.session import path_exists
+from millrace.session import has_data
 from millrace.sources import tables
 
 # Fixed value: where a first timestamp load starts.
@@ -65,7 +65,7 @@ class WatermarkLedger:
         self.path = path
 
     def last(self, table: str) -> object | None:
-        if not path_exists(self.spark, self.path):
+        if not has_data(self.spark, self.path):
             return None
         rows = self.spark.read.parquet(self.path).filter(F.col("table") == table)
         return rows.agg(F.max("watermark")).first()[0]
@@ -95,7 +95,7 @@ def run_incremental_load(
     batch, _ = incremental_timestamp(source, column, None if last is None else F.lit(last), inclusive=bool(keys))
     if keys:
         batch = ranking.dedup_keep_latest(batch, keys, [column])
-        if path_exists(ledger.spark, path):
+        if has_data(ledger.spark, path):
             loaded = ledger.spark.read.parquet(path).select(*keys, column)
             batch = batch.join(loaded, [*keys, column], "left_anti")
     seen = Observation("load")

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from millrace.operators import idempotent, ranking
-from millrace.session import path_exists
+from millrace.session import has_data
 from millrace.sources.tables import VersionedTable, partition_overwrite
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -73,7 +73,7 @@ class ChangeLog:
         partition_overwrite(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")), self.path, ["batch_id"])
 
     def exists(self) -> bool:
-        return path_exists(self.spark, self.path)
+        return has_data(self.spark, self.path)
 
     def read(self) -> DataFrame:
         return self.spark.read.option("basePath", self.path).parquet(self.path)
