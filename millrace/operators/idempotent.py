@@ -135,7 +135,7 @@ def state_transition_check(
 
     nothing = F.filter(F.array(candidate), lambda _: F.lit(False))
     state = earliest(facts.withColumn("_history", nothing), allowed(F.lit(initial), F.col("_to")))
-    last = F.element_at("_history", -1)
+    last = F.try_element_at("_history", F.lit(-1))
     repeats_last = F.coalesce(F.col("_token") == last["_token"], F.lit(False))
     for _ in range(rounds - 1):
         valid = (F.size("_history") > 0) & (F.col("_at") > last["_at"]) & allowed(last["_to"], F.col("_to")) & ~repeats_last

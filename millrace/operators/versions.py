@@ -13,7 +13,7 @@ from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -85,7 +85,7 @@ def version_gated_update(
     expected: str,
     order: Sequence[str],
     current: DataFrame | None = None,
-    max_rows: int = 5_000,
+    max_rows: int = 2_000,
 ) -> DataFrame:
     """Judge updates in order; add ``current_version`` and ``verdict``.
 
@@ -125,28 +125,32 @@ def version_gated_update(
         entries = _entry_versions(rows.filter(F.col("_n").isNotNull()))
         rows = skew.keyed_join(rows, entries, ["_key", "_segment"], "left", null_safe=True).withColumn("_entry", F.coalesce("_entry", "_start"))
 
-    steps = F.array_sort(F.collect_list(F.struct(*[f"_o{i}" for i in range(len(order))], "_expected", "_row")))
-    grouped = rows.repartition("_key", "_segment").groupBy("_key", "_segment").agg(
-        steps.alias("_steps"), F.first("_entry").alias("_entry")
+    ordered = F.array_sort(F.collect_list(F.struct(*[f"_o{i}" for i in range(len(order))], "_expected", "_row")))
+    segments = (
+        rows.repartition("_key", "_segment")
+        .groupBy("_key", "_segment")
+        .agg(ordered.alias("_steps"), F.first("_entry").alias("_entry"))
     )
 
-    def judged(step, version):
-        verdict = (
-            F.when(step["_expected"].isNull(), "conflict")
-            .when(version > step["_expected"], "already_updated")
-            .when(version < step["_expected"], "conflict")
-            .otherwise("applied")
+    def follow(state: Column, step: Column) -> Column:
+        applies = F.coalesce(state["version"] == step["_expected"], F.lit(False))
+        return F.struct(
+            (state["version"] + applies.cast("bigint")).alias("version"),
+            F.concat(state["trace"], F.when(applies, "1").otherwise("0")).alias("trace"),
         )
-        return F.struct(step["_row"].alias("_row"), version.alias("current_version"), verdict.alias("verdict"))
-
-    nothing = F.transform(F.filter("_steps", lambda _: F.lit(False)), lambda step: judged(step, F.col("_entry")))
-    folded = F.aggregate(
-        "_steps",
-        F.struct(F.col("_entry").alias("version"), nothing.alias("done")),
-        lambda state, step: F.struct(
-            F.when(state["version"] == step["_expected"], state["version"] + 1).otherwise(state["version"]).alias("version"),
-            F.concat(state["done"], F.array(judged(step, state["version"]))).alias("done"),
-        ),
-        lambda state: state["done"],
+
+    # The fold leaves one character per update; an array would be copied whole
+    # at every step.
+    start = F.struct(F.col("_entry").alias("version"), F.lit("").alias("trace"))
+    traced = segments.withColumn("_trace", F.aggregate("_steps", start, follow, lambda state: state["trace"]))
+    steps = traced.select("_key", "_segment", "_entry", "_trace", F.posexplode("_steps").alias("_at", "_step"))
+    applied = F.substring("_trace", F.col("_at") + 1, F.lit(1)).cast("bigint")
+    earlier = Window.partitionBy("_key", "_segment").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    version = F.col("_entry") + F.coalesce(F.sum(applied).over(earlier), F.lit(0).cast("bigint"))
+    verdict = (
+        F.when(F.col("current_version") > F.col("_step._expected"), "already_updated")
+        .when(F.col("current_version") == F.col("_step._expected"), "applied")
+        .otherwise("conflict")
     )
-    return grouped.select(F.explode(folded).alias("_r")).select("_r._row.*", "_r.current_version", "_r.verdict")
+    judged = steps.withColumn("current_version", version).withColumn("verdict", verdict)
+    return judged.select("_step._row.*", "current_version", "verdict")

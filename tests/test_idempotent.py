@@ -49,6 +49,13 @@ def test_shorter_transition_table_is_an_argument(spark, rows):
     assert rows(judged, "p", "verdict") == [(1, "applied"), (2, "applied"), (3, "invalid")]
 
 
+@pytest.mark.parametrize("hot_rows", [10**6, 5])
+def test_entities_that_never_start_are_all_invalid(spark, rows, hot_rows):
+    df = spark.createDataFrame([(n % 9, n, "returned") for n in range(90)], "e int, p int, w string").repartition(4)
+    judged = idempotent.state_transition_check(df, "e", "w", ["p"], hot_rows=hot_rows)
+    assert set(rows(judged, "current_status", "verdict")) == {("pending", "invalid")}
+
+
 def test_cyclic_transition_table_is_rejected():
     with pytest.raises(ValueError, match="cycle"):
         idempotent.longest_path({"a": ["b"], "b": ["a"]}, "a")
