@@ -72,7 +72,7 @@ def train_test_split(spark, sf):
 @query("train_revenue_model")
 def train_revenue_model(spark, sf):
     train, test = training.train_test_split(_features(spark, sf), "customer_id")
-    model = training.train_revenue_model(train, num_trees=20)
+    model = training.train_revenue_model(train)
     return model.transform(test).select("customer_id", training.LABEL, "prediction")
 
 

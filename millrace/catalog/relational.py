@@ -369,5 +369,5 @@ def sliding_activity(spark, sf):
 def late_data_split(spark, sf):
     moved = F.when(F.col("event_id") % 31 == 0, F.col("ts") - F.expr("interval 1 hour")).otherwise(F.col("ts"))
     rows = T.events(spark, sf).select("event_id", moved.alias("ts"))
-    on_time, late = lateness.late_data_split(rows, "ts", "event_id", "10 minutes", chunk_rows=256)
+    on_time, late = lateness.late_data_split(rows, "ts", "event_id", "10 minutes")
     return on_time.withColumn("late", F.lit(False)).unionByName(late.withColumn("late", F.lit(True)))

@@ -29,6 +29,13 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str
     return kept.unionByName(updates, allowMissingColumns=True)
 
 
+def merge_into(table: str, source: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -> None:
+    """The same upsert as a row-level MERGE, for catalogs whose tables allow it."""
+    updates = ranking.dedup_keep_latest(source, keys, latest_by).alias("source")
+    matched = C.all_of([F.expr(f"{table}.{key} = source.{key}") for key in keys])
+    updates.mergeInto(table, matched).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+
+
 def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str], first_by: Sequence[str]) -> DataFrame:
     """Add rows whose key is new; existing rows stay as they are.
 

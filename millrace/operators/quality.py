@@ -636,7 +636,17 @@ def run_all_checks(
     for part in parts[1:]:
         report = report.unionByName(part)
     if on_fail == "raise":
-        failures = report.filter(F.col("status") != "PASS").select("check", "item", "status").collect()
-        if failures:
-            raise QualityError("; ".join(f"{row.check}({row.item}): {row.status}" for row in failures))
+        require_pass(report, ["check", "item"])
     return df, report
+
+
+def require_pass(report: DataFrame, labels: Sequence[str] = ()) -> None:
+    """Stop with a :class:`QualityError` when a report row is not ``PASS``."""
+    failures = report.filter(~F.col("status").isin("PASS", "ok")).select(*labels, "status").collect()
+    if failures:
+        raise QualityError("; ".join(" ".join(str(value) for value in row) for row in failures))
+
+
+def record_report(report: DataFrame, path: str, run_at: Column) -> None:
+    """Append a report or a metrics row to its history."""
+    report.withColumn("run_at", run_at).write.mode("append").parquet(path)

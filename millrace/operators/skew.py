@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.functions.columns import all_of
 
@@ -51,11 +52,18 @@ def add_salt(df: DataFrame, keys: Sequence[str], hot: DataFrame | None) -> DataF
     return marked.withColumn("_salt", F.coalesce(part, F.lit(0).cast("bigint"))).drop("_hash", "_parts")
 
 
-def add_all_salts(lookup: DataFrame, keys: Sequence[str], hot: DataFrame | None) -> DataFrame:
-    """Repeat lookup rows of hot keys once per part."""
+def add_all_salts(
+    lookup: DataFrame, keys: Sequence[str], hot: DataFrame | None, types: StructType | None = None
+) -> DataFrame:
+    """Repeat lookup rows of hot keys once per part.
+
+    ``types`` is the schema of the rows where the lookup's key types may
+    differ: equal numbers of different types have different hashes.
+    """
     if hot is None:
         return lookup.withColumn("_salt", F.lit(0).cast("bigint"))
-    marked = lookup.withColumn("_hash", F.xxhash64(*keys)).join(F.broadcast(hot), "_hash", "left")
+    alike = [F.col(name) if types is None else F.col(name).try_cast(types[name].dataType) for name in keys]
+    marked = lookup.withColumn("_hash", F.xxhash64(*alike)).join(F.broadcast(hot), "_hash", "left")
     parts = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1).cast("bigint")) - 1)
     return marked.withColumn("_salt", F.explode(parts)).drop("_hash", "_parts")
 
@@ -79,7 +87,7 @@ def lookup_join(
     hot = hot_keys(rows, keys, share, min_rows)
     if hot is None:
         return keyed_join(rows, lookup, keys, how, null_safe)
-    salted, repeated = add_salt(rows, keys, hot), add_all_salts(lookup, keys, hot)
+    salted, repeated = add_salt(rows, keys, hot), add_all_salts(lookup, keys, hot, rows.schema)
     return keyed_join(salted, repeated, [*keys, "_salt"], how, null_safe).drop("_salt")
 
 

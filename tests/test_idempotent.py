@@ -209,3 +209,14 @@ def test_three_runs_of_a_job_agree_or_not(spark, folder):
     assert ranking.runs_agree(lambda: ranking.dedup_keep_latest(df, ["k"], ["at"]), folder + "/same").first().equal
     drifting = iter(range(3))
     assert not ranking.runs_agree(lambda: df.withColumn("n", F.lit(next(drifting))), folder + "/drift").first().equal
+
+
+def test_merge_reaches_the_catalog(spark):
+    """Plain Parquet tables refuse a row-level merge; the statement itself resolves."""
+    spark.range(2).withColumn("v", F.lit("a")).createOrReplaceTempView("merge_target_rows")
+    spark.sql("DROP TABLE IF EXISTS merge_target")
+    spark.sql("CREATE TABLE merge_target USING parquet AS SELECT * FROM merge_target_rows")
+    source = spark.createDataFrame([(1, "b", 1)], "id bigint, v string, at int")
+    with pytest.raises(Exception, match="(?i)merge"):
+        idempotent.merge_into("merge_target", source.drop("at"), ["id"], ["v"])
+    spark.sql("DROP TABLE merge_target")

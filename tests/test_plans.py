@@ -162,3 +162,11 @@ def test_equal_rows_of_a_hot_key_are_spread(spark):
     copies = spark.range(0, 4000, 1, 16).select(F.lit(1).alias("k"), F.lit("x").alias("v"))
     salted = skew.add_salt(copies, ["k"], skew.hot_keys(copies, ["k"], min_rows=100))
     assert salted.select("_salt").distinct().count() > 5
+
+
+@pytest.mark.parametrize(("left", "right"), [("int", "bigint"), ("bigint", "int"), ("string", "int"), ("double", "int")])
+def test_spread_join_across_key_types(spark, left, right):
+    facts = spark.range(300).select((F.col("id") % 3).cast(left).alias("k"), "id")
+    lookup = spark.range(5).select(F.col("id").cast(right).alias("k"), F.lit("x").alias("w"))
+    assert skew.hot_keys(facts, ["k"], min_rows=20) is not None
+    assert skew.lookup_join(facts, lookup, ["k"], min_rows=20).count() == 300

@@ -158,3 +158,14 @@ def test_dead_letters_are_written_by_category(spark, folder):
     )
     assert [tuple(r) for r in fixed.collect()] == [(1, 1.0)]
     assert deadletter.reprocess_counts(fixed, still).first().asDict() == {"reprocessed": 1, "failed": 0}
+
+
+def test_stale_data_can_stop_a_run_and_reports_are_kept(spark, folder):
+    df = spark.createDataFrame([(datetime(2023, 12, 1),)], "ts timestamp_ntz")
+    report = quality.freshness_check(df, "ts", as_of())
+    with pytest.raises(quality.QualityError, match="STALE"):
+        quality.require_pass(report)
+    quality.require_pass(quality.freshness_check(df, "ts", as_of(), max_age_hours=10_000))
+    for _ in range(2):
+        quality.record_report(report, folder + "/history", as_of())
+    assert spark.read.parquet(folder + "/history").count() == 2
