@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
+from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -14,6 +18,10 @@ from millrace.sources.batch import CORRUPT, scan_json_modes
 from millrace.sources.tables import partition_overwrite
 
 
+# Largest file hashed as one value, and the step in which larger ones are read.
+HASH_BYTES = 256 * 1024 * 1024
+CHUNK_BYTES = 8 * 1024 * 1024
+
 LEDGER = "source_file string, run int, rows_ok bigint, rows_bad bigint"
 
 
@@ -75,14 +83,44 @@ def batch_file_ingest(spark: SparkSession, inbox: Inbox, schema: StructType, ing
     return spark.read.parquet(inbox.ledger).filter(F.col("run") == run)
 
 
-def file_hash_ingest(spark: SparkSession, incoming: str, ledger: DataFrame | None) -> DataFrame:
+def _hash_in_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """SHA-256 of whole files, a few megabytes at a time."""
+    for batch in batches:
+        digests = []
+        for uri in batch["uri"]:
+            source, name = FileSystem.from_uri(uri)
+            digest = hashlib.sha256()
+            with source.open_input_stream(name) as stream:
+                while chunk := stream.read(CHUNK_BYTES):
+                    digest.update(chunk)
+            digests.append(digest.hexdigest())
+        yield pd.DataFrame({"path": batch["path"], "file_hash": digests})
+
+
+def file_hashes(spark: SparkSession, incoming: str, max_bytes: int = HASH_BYTES) -> DataFrame:
+    """Path and content digest of every file.
+
+    Files up to ``max_bytes`` are hashed inside the JVM, where a file is one
+    value in memory. Larger ones are read in chunks, one file per task slot;
+    the workers reach them through Arrow's file systems.
+    """
+    files = spark.read.format("binaryFile").load(incoming)
+    small = files.filter(F.col("length") <= max_bytes).select("path", F.sha2("content", 256).alias("file_hash"))
+    large = files.filter(F.col("length") > max_bytes).select("path", F.col("_metadata.file_path").alias("uri"))
+    hashed = large.repartition("path").mapInPandas(_hash_in_chunks, "path string, file_hash string")
+    return small.unionByName(hashed)
+
+
+def file_hash_ingest(
+    spark: SparkSession, incoming: str, ledger: DataFrame | None, max_bytes: int = HASH_BYTES
+) -> DataFrame:
     """Status of every file by path and SHA-256 of its content.
 
     ``processed`` files are new or changed, ``already_processed`` ones are in
     the ledger, a table of ``(path, file_hash)``. Only the digest leaves the
     scan.
     """
-    files = spark.read.format("binaryFile").load(incoming).select("path", F.sha2("content", 256).alias("file_hash"))
+    files = file_hashes(spark, incoming, max_bytes)
     if ledger is None:
         return files.withColumn("status", F.lit("processed"))
     seen = ledger.select("path", "file_hash").distinct().withColumn("_seen", F.lit(True))

@@ -97,6 +97,7 @@ def run_incremental_load(
         batch = ranking.dedup_keep_latest(batch, keys, [column])
         if has_data(ledger.spark, path):
             loaded = ledger.spark.read.parquet(path).select(*keys, column)
+            loaded = loaded if last is None else loaded.filter(F.col(column) >= F.lit(last))
             batch = batch.join(loaded, [*keys, column], "left_anti")
     seen = Observation("load")
     observed = batch.observe(seen, F.count("*").alias("rows"), F.max(column).alias("watermark"))

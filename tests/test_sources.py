@@ -141,6 +141,15 @@ def test_changed_content_is_processed_again(spark, folder, rows):
     assert rows(second, F.substring_index("path", "/", -1), "status") == [("a.txt", "already_processed"), ("b.txt", "processed")]
 
 
+def test_large_files_hash_like_small_ones(spark, folder, rows):
+    write_lines(folder, "a b.txt", *["line"] * 5000)
+    write_lines(folder, "b.txt", "x")
+    whole = files.file_hashes(spark, folder + "/*.txt")
+    assert whole.count() == 2
+    assert rows(files.file_hashes(spark, folder + "/*.txt", max_bytes=0)) == rows(whole)
+    assert rows(files.file_hashes(spark, folder + "/*.txt", max_bytes=100)) == rows(whole)
+
+
 def test_snapshot_and_evolution(spark, rows):
     versions = spark.createDataFrame([("k", 1, "a"), ("k", 2, "b"), ("j", 2, "c")], "k string, n int, v string")
     assert rows(stored.snapshot_as_of(versions, ["k"], "n", 1)) == [("k", 1, "a")]
