@@ -117,38 +117,58 @@ def max_event_time(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.max(column).alias("max_event_time"))
 
 
-def collect_recent_items(
-    events: DataFrame,
-    ts: str,
-    user: str,
-    item: str,
-    event: str,
-    size: str = "30 minutes",
-    part_rows: int = 10_000,
+def item_entries(
+    events: DataFrame, ts: str, user: str, item: str, event: str, size: str = "30 minutes", part_rows: int = 10_000
 ) -> DataFrame:
-    """Items and their count per window and user, in parts of about ``part_rows``.
+    """``(ts, event, item)`` entries per window and user, in numbered parts.
 
-    A group below the limit is one row. A larger one becomes several numbered
-    parts, chosen by a hash of the event id, so no array grows with a hot user
-    and no item is dropped.
+    A group up to ``part_rows`` is one part. A larger one is spread over parts
+    of about that size by a hash of the event id, so no array grows with a hot
+    user and no item is dropped. Entries are in event order within a part.
     """
+    entry = F.struct(F.col(ts).alias("ts"), F.col(event).alias("event"), F.col(item).cast("string").alias("item"))
     windowed = events.select(
         F.window(ts, size)["start"].alias("window_start"),
         F.col(user).alias("user_id"),
-        F.struct(F.col(ts).alias("ts"), F.col(event).alias("event"), F.col(item).cast("string").alias("item")).alias("_e"),
+        F.col(event).alias("_event"),
+        F.when(F.col(item).isNotNull(), entry).alias("_entry"),
     )
-    counts = windowed.groupBy("window_start", "user_id").agg(F.count("_e.item").alias("interaction_count"))
+    counts = windowed.groupBy("window_start", "user_id").agg(F.count("_entry").alias("interaction_count"))
     parts = F.greatest(F.lit(1), F.ceil(F.col("interaction_count") / part_rows))
     return (
         skew.lookup_join(windowed, counts, ["window_start", "user_id"], null_safe=True)
-        .withColumn("part", C.hash_bucket("_e.event", parts))
+        .withColumn("part", C.hash_bucket("_event", parts))
         .repartition("window_start", "user_id", "part")
         .groupBy("window_start", "user_id", "part")
-        .agg(
-            F.transform(F.array_sort(F.collect_list("_e")), lambda entry: entry["item"]).alias("recent_items"),
-            F.first("interaction_count").alias("interaction_count"),
-        )
+        .agg(F.array_sort(F.collect_list("_entry")).alias("entries"), F.first("interaction_count").alias("interaction_count"))
+    )
+
+
+def collect_recent_items(
+    events: DataFrame, ts: str, user: str, item: str, event: str, size: str = "30 minutes", part_rows: int = 10_000
+) -> DataFrame:
+    """Items per window and user in parts, with the group's item count."""
+    parts = item_entries(events, ts, user, item, event, size, part_rows)
+    items = F.transform("entries", lambda entry: entry["item"])
+    return parts.withColumn("entries", items).withColumnRenamed("entries", "recent_items")
+
+
+def first_of_entries(parts: DataFrame, limit: int = 5) -> DataFrame:
+    """Per window and user, the first items over all parts and their count.
+
+    Every part offers its first ``limit`` entries, and ranking keeps ``limit``
+    per group before the exchange.
+    """
+    counts = parts.groupBy("window_start", "user_id").agg(F.sum(F.size("entries")).alias("interaction_count"))
+    offered = parts.select("window_start", "user_id", F.explode(F.slice("entries", 1, limit)).alias("_entry"))
+    rank = F.row_number().over(Window.partitionBy("window_start", "user_id").orderBy("_entry"))
+    first = (
+        offered.withColumn("_rank", rank)
+        .filter(F.col("_rank") <= limit)
+        .groupBy("window_start", "user_id")
+        .agg(F.transform(F.array_sort(F.collect_list("_entry")), lambda entry: entry["item"]).alias("items"))
     )
+    return skew.keyed_join(counts, first, ["window_start", "user_id"], "left", null_safe=True)
 
 
 def first_items(events: DataFrame, ts: str, user: str, item: str, event: str, size: str, limit: int = 5) -> DataFrame:

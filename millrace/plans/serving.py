@@ -95,16 +95,18 @@ def start_recommendations(
     item: str,
     event: str,
     size: str = "30 minutes",
-    delay: str = "5 minutes",
     processing_time: str | None = "10 seconds",
+    part_rows: int = 10_000,
 ) -> StreamingQuery:
-    """Keep recent items per window and user in a change log, in parts."""
-    parts = views.recent_item_parts(views.watermark(stream, ts, delay), ts, user, item, event, size)
-    return sinks.foreach_batch_sink(views.window_columns(parts), log.write, checkpoint, "update", processing_time)
+    """Log recent items per window and user as they arrive, late ones included."""
+    write = sinks.items_writer(log, ts, user, item, event, size, part_rows)
+    return sinks.foreach_batch_sink(stream, write, checkpoint, "append", processing_time)
 
 
-def served_recommendations(log: sinks.ChangeLog) -> DataFrame:
-    return views.merge_item_parts(log.current(["window_start", "user_id", "part"]))
+def served_recommendations(log: sinks.ChangeLog, limit: int = 5) -> DataFrame:
+    """Item count and recommendations per window and user, over all batches."""
+    first = aggregates.first_of_entries(log.read(), limit)
+    return first.withColumn("recommended_items", C.similar_items("items", limit)).drop("items")
 
 
 def online_features(features: DataFrame, key: str, version: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from millrace.operators import idempotent, ranking
+from millrace.operators import aggregates, idempotent, ranking
 from millrace.session import has_data
 from millrace.sources.tables import VersionedTable, partition_overwrite
 
@@ -99,6 +99,18 @@ def upsert_writer(table: VersionedTable, keys: Sequence[str], latest_by: Sequenc
     return write
 
 
+def items_writer(log: ChangeLog, ts: str, user: str, item: str, event: str, size: str, part_rows: int = 10_000) -> BatchWriter:
+    """Log every batch's items per window and user, in parts.
+
+    What accumulates is in the log and not in the stream's state, where the
+    list of a hot user would be one value.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        log.write(aggregates.item_entries(batch, ts, user, item, event, size, part_rows), batch_id)
+
+    return write
+
+
 def cdc_writer(log: ChangeLog, key: str, order: Sequence[str]) -> BatchWriter:
     """Log the last change of every key in the batch."""
     def write(batch: DataFrame, batch_id: int) -> None:

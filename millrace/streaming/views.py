@@ -68,37 +68,6 @@ def speed_layer_view(df: DataFrame, ts: str, user: str, revenue: str, event: str
     )
 
 
-def recent_item_parts(
-    df: DataFrame, ts: str, user: str, item: str, event: str, size: str = "30 minutes", parts: int = 8
-) -> DataFrame:
-    """Items per window and user, spread over ``parts`` arrays by event id.
-
-    The parts keep a hot user's state in several groups. Each part also has
-    its first items, from which a reader gets the group's first ones.
-    """
-    entry = F.struct(F.col(ts).alias("ts"), F.col(event).alias("event"), F.col(item).cast("string").alias("item"))
-    ordered = F.array_sort(F.collect_list(entry))
-    return df.groupBy(
-        F.window(ts, size), F.col(user).alias("user_id"), C.hash_bucket(event, parts).alias("part")
-    ).agg(ordered.alias("entries"), F.count(item).alias("interaction_count"))
-
-
-def merge_item_parts(parts: DataFrame, limit: int = 5) -> DataFrame:
-    """Per window and user: item count and recommendations from the first items.
-
-    Every part passes on its first ``limit`` entries only, so the merge is
-    bounded by parts times limit.
-    """
-    heads = F.flatten(F.collect_list(F.slice("entries", 1, limit)))
-    first = F.transform(F.slice(F.array_sort(heads), 1, limit), lambda e: e["item"])
-    return (
-        parts.groupBy("window_start", "window_end", "user_id")
-        .agg(F.sum("interaction_count").alias("interaction_count"), first.alias("_first"))
-        .withColumn("recommended_items", C.similar_items("_first", limit))
-        .drop("_first")
-    )
-
-
 def fraud_alerts(
     stream: DataFrame, suspicious: Column, ts: str, user: str, amount: str, size: str = "5 minutes", min_count: int = 5
 ) -> DataFrame:

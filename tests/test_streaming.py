@@ -114,7 +114,7 @@ def test_recommendations_equal_batch(spark, staged, folder, rows):
     events, stream = staged(flush())
     log = sinks.ChangeLog(spark, folder + "/log")
     serving.start_recommendations(
-        stream, log, folder + "/cp", "ts", "user_id", "event_type", "event_id", "1 day", processing_time=None
+        stream, log, folder + "/cp", "ts", "user_id", "event_type", "event_id", "1 day", None, part_rows=2
     ).awaitTermination()
     from millrace.operators import aggregates
 
