@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog import tables as T
 from millrace.catalog.registry import query
-from millrace.operators import idempotent, ranking, versions
+from millrace.operators import idempotent, ranking, transitions, versions
 from millrace.session import scratch_dir
 from millrace.sources import batch, files, kafka, loads, paged
 from millrace.sources import tables as stored
@@ -412,7 +412,7 @@ def content_hash_dedup(spark, sf):
         SELECT entity, position, wanted, current_status, verdict FROM v WHERE rn > 0""",
 )
 def state_transition_check(spark, sf):
-    judged = idempotent.state_transition_check(T.transitions(spark, sf), "entity", "wanted", ["position"], "token")
+    judged = transitions.state_transition_check(T.transitions(spark, sf), "entity", "wanted", ["position"], "token")
     return judged.drop("token")
 
 
@@ -449,7 +449,7 @@ def version_gated_update(spark, sf):
 
 @query(
     "apply_one_update",
-    """WITH t AS (SELECT c_custkey AS id, c_name AS name, c_nationkey % 3 AS version FROM customer),
+    """WITH t AS (SELECT c_custkey AS id, c_name AS name, CAST(c_nationkey % 3 AS BIGINT) AS version FROM customer),
             u AS (SELECT user_id AS id, event_type AS name, event_id % 3 AS expected FROM events
                   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1),
             j AS (SELECT coalesce(t.id, u.id) AS id, coalesce(t.version, 0) AS version, t.name AS old, u.name AS new, expected

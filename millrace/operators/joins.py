@@ -57,7 +57,7 @@ def trailing_velocity(df: DataFrame, ts: str, user: str, seconds: int) -> DataFr
     """
     per_second = (
         df.filter(F.col(user).isNotNull() & F.col(ts).isNotNull())
-        .groupBy(F.col(user).alias(user), F.date_trunc("second", F.col(ts)).alias("_second"))
+        .groupBy(F.col(user).alias(user), F.date_trunc("second", F.col(ts)).cast(df.schema[ts].dataType).alias("_second"))
         .agg(F.count("*").alias("_n"))
         .withColumn("_epoch", F.unix_seconds(F.col("_second").cast("timestamp")))
     )

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import values as V
-from millrace.operators import idempotent, ranking, versions
+from millrace.operators import idempotent, ranking, transitions, versions
 from millrace.sources.tables import VersionedTable, partition_overwrite
 
 
@@ -28,8 +28,10 @@ def judge_transitions(events, table, initial):
     return out
 
 
-@pytest.mark.parametrize(("seed", "hot_rows"), [(0, 10**6), (1, 10**6), (2, 20), (3, 20)])
-def test_transitions_agree_with_brute_force(spark, seed, hot_rows):
+@pytest.mark.parametrize(
+    ("seed", "max_rows", "hot_rows"), [(0, 2000, 10**6), (1, 2000, 10**6), (2, 0, 10**6), (3, 0, 20), (4, 60, 10**6), (5, 60, 20)]
+)
+def test_transitions_agree_with_brute_force(spark, seed, max_rows, hot_rows):
     rng = random.Random(seed)
     statuses = [*V.ORDER_TRANSITIONS, "unknown"]
     events = [
@@ -37,7 +39,7 @@ def test_transitions_agree_with_brute_force(spark, seed, hot_rows):
         for position in range(300)
     ]
     df = spark.createDataFrame(events, "entity int, position int, wanted string, token string")
-    judged = idempotent.state_transition_check(df, "entity", "wanted", ["position"], "token", hot_rows=hot_rows)
+    judged = transitions.state_transition_check(df, "entity", "wanted", ["position"], "token", max_rows=max_rows, hot_rows=hot_rows)
     got = {(r.entity, r.position): (r.current_status, r.verdict) for r in judged.collect()}
     assert got == judge_transitions(events, V.ORDER_TRANSITIONS, "pending")
 
@@ -45,20 +47,24 @@ def test_transitions_agree_with_brute_force(spark, seed, hot_rows):
 def test_shorter_transition_table_is_an_argument(spark, rows):
     table = {"pending": ["confirmed", "cancelled"], "confirmed": ["shipped", "cancelled"], "shipped": ["delivered"]}
     df = spark.createDataFrame([(1, 1, "confirmed"), (1, 2, "shipped"), (1, 3, "returned")], "e int, p int, w string")
-    judged = idempotent.state_transition_check(df, "e", "w", ["p"], transitions=table)
+    judged = transitions.state_transition_check(df, "e", "w", ["p"], transitions=table)
     assert rows(judged, "p", "verdict") == [(1, "applied"), (2, "applied"), (3, "invalid")]
 
 
-@pytest.mark.parametrize("hot_rows", [10**6, 5])
-def test_entities_that_never_start_are_all_invalid(spark, rows, hot_rows):
+@pytest.mark.parametrize("max_rows", [2000, 0])
+def test_entities_that_never_start_are_all_invalid(spark, rows, max_rows):
     df = spark.createDataFrame([(n % 9, n, "returned") for n in range(90)], "e int, p int, w string").repartition(4)
-    judged = idempotent.state_transition_check(df, "e", "w", ["p"], hot_rows=hot_rows)
+    judged = transitions.state_transition_check(df, "e", "w", ["p"], max_rows=max_rows, hot_rows=5)
     assert set(rows(judged, "current_status", "verdict")) == {("pending", "invalid")}
 
 
-def test_cyclic_transition_table_is_rejected():
+def test_cyclic_transition_table_needs_small_entities(spark, rows):
+    cyclic = {"a": ["b"], "b": ["a"]}
+    df = spark.createDataFrame([(1, n, "ba"[n % 2]) for n in range(6)], "e int, p int, w string")
+    judged = transitions.state_transition_check(df, "e", "w", ["p"], transitions=cyclic, initial="a")
+    assert set(rows(judged, "verdict")) == {("applied",)}
     with pytest.raises(ValueError, match="cycle"):
-        idempotent.longest_path({"a": ["b"], "b": ["a"]}, "a")
+        transitions.state_transition_check(df, "e", "w", ["p"], transitions=cyclic, initial="a", max_rows=5)
 
 
 def judge_versions(updates, start):

@@ -8,7 +8,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import idempotent, joins, transform
+from millrace.operators import joins, transform
+from millrace.operators import transitions as bounded
 from millrace.plans import serving
 from millrace.streaming import health, sinks, transitions, views
 
@@ -191,6 +192,6 @@ def test_streamed_transitions_equal_batch(spark, staged, folder, rows):
         .start(folder + "/out")
     )
     query.awaitTermination()
-    expected = idempotent.state_transition_check(shaped(events), "user_id", "wanted", ["event_id"], "token")
+    expected = bounded.state_transition_check(shaped(events), "user_id", "wanted", ["event_id"], "token")
     got = spark.read.parquet(folder + "/out").filter("entity <> '-1'")
     assert rows(got, "position", "current_status", "verdict") == rows(expected, "event_id", "current_status", "verdict")
