@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import columns as C
 from millrace.operators import joins, ranking, skew
+from millrace.session import materialize
 
 
 def merge_upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -> DataFrame:
@@ -114,15 +115,16 @@ def offset_ledger_apply(
     ``ledger`` is the table this appends to, so data and offsets are one
     write: rows with ``inserted`` are the data, all rows are the ledger. The
     last offset key is a number; ledger rows below the batch's smallest one
-    cannot match and are left to the scan's statistics to skip.
+    cannot match and are left to the scan's statistics to skip. The unseen
+    messages, needed twice, are written once to the session's shared folder.
     """
     offsets = list(offset_keys)
     fresh = messages
     if ledger is not None:
         smallest = messages.agg(F.min(offsets[-1])).scalar()
         fresh = joins.anti_join_ledger(messages, ledger.filter(F.col(offsets[-1]) >= smallest), offsets)
-    fresh = ranking.dedup_keep_first(fresh, offsets, [event_key])
-    firsts = ranking.dedup_keep_first(fresh, [event_key], offsets)
+    fresh = materialize(ranking.dedup_keep_first(fresh, offsets, [event_key]), "fresh-messages")
+    firsts = ranking.dedup_keep_first(fresh.select(event_key, *offsets), [event_key], offsets)
     if ledger is not None:
         firsts = joins.anti_join_ledger(firsts, ledger.filter("inserted"), [event_key])
     winners = firsts.select(*offsets).withColumn("inserted", F.lit(True))
