@@ -101,12 +101,15 @@ def file_hashes(spark: SparkSession, incoming: str, max_bytes: int = HASH_BYTES)
     """Path and content digest of every file.
 
     Files up to ``max_bytes`` are hashed inside the JVM, where a file is one
-    value in memory. Larger ones are read in chunks, one file per task slot;
-    the workers reach them through Arrow's file systems.
+    value in memory. Larger ones, which a look at the lengths finds, are read
+    in chunks, one file at a time per task; the workers reach them through
+    Arrow's file systems.
     """
     files = spark.read.format("binaryFile").load(incoming)
     small = files.filter(F.col("length") <= max_bytes).select("path", F.sha2("content", 256).alias("file_hash"))
     large = files.filter(F.col("length") > max_bytes).select("path", F.col("_metadata.file_path").alias("uri"))
+    if large.isEmpty():
+        return small
     hashed = large.repartition("path").mapInPandas(_hash_in_chunks, "path string, file_hash string")
     return small.unionByName(hashed)
 
