@@ -110,13 +110,16 @@ def orphan_placeholder(
     return parent.unionByName(filled)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast when the table has at most ``max_rows`` rows.
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 * 1024 * 1024) -> DataFrame:
+    """Hint a broadcast when the table is small in rows and, as JSON, in bytes.
 
     Reads at most ``max_rows + 1`` rows to find out; a larger table comes back
     without the hint and joins by shuffle.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    size = df.limit(max_rows + 1).agg(
+        F.count("*").alias("rows"), F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")
+    ).first()
+    return F.broadcast(df) if size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes else df
 
 
 def broadcast_dim_join(

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import values as V
 from millrace.operators import skew
+from millrace.session import materialize
 
 Transitions = Mapping[str, Sequence[str]]
 
@@ -125,7 +126,8 @@ def state_transition_check(
     ``invalid`` or ``same_key`` (checked in that order of precedence: state,
     validity, then the last applied key). ``order`` is unique per entity. One
     counting job finds entities with more than ``max_rows`` events; those need
-    a transition table without cycles.
+    a transition table without cycles, and their events, which every round
+    reads, are written once to the session's shared folder.
     """
     token = F.lit(None).cast("string") if idempotency_key is None else F.col(idempotency_key).cast("string")
     facts = events.select(
@@ -140,5 +142,5 @@ def state_transition_check(
         return _fold(facts, transitions, initial)
     sized = skew.lookup_join(facts, large, ["_key"], "left", null_safe=True, min_rows=hot_rows)
     few = sized.filter(F.col("_n").isNull()).drop("_n")
-    many = sized.filter(F.col("_n").isNotNull()).drop("_n")
+    many = materialize(sized.filter(F.col("_n").isNotNull()).drop("_n"), "large-entities")
     return _fold(few, transitions, initial).unionByName(_rounds(many, transitions, initial, hot_rows))

@@ -66,6 +66,9 @@ def test_broadcast_only_behind_the_size_check(spark):
         large = joins.broadcast_dim_join(facts, dim, "id", max_rows=49)
         assert "BroadcastHashJoin" not in plan(large, "simple")
         assert large.count() == 50
+        wide = dim.withColumn("text", F.repeat(F.lit("x"), 1000))
+        hinted = joins.broadcast_if_small(wide, max_bytes=10_000)
+        assert "BroadcastHashJoin" not in plan(facts.join(hinted, "id"), "simple")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
