@@ -40,16 +40,36 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
     return configure(spark)
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder for this run, below the shared folder the session names.
+_LOCAL_DIRS: dict[str, str] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder for intermediate tables, as ``spark.checkpoint.dir`` names it.
 
-    ``spark.checkpoint.dir`` is what a cluster sets to storage every executor
-    reaches. Only a session without it (a local test) falls back to ``/tmp``.
+    Where it is unset, a session of one JVM (``local[n]``: tests, benchmarks)
+    gets a new folder below ``/tmp``. Executors of a cluster do not share that,
+    so there the setting is required.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    return f"{shared.rstrip('/')}/millrace/{label}-{uuid.uuid4().hex}"
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured.rstrip("/")
+    context = spark.sparkContext
+    if context.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if context.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _LOCAL_DIRS[context.applicationId]
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A new folder for this run, below the shared folder."""
+    return f"{shared_dir(spark)}/millrace/{label}-{uuid.uuid4().hex}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing reads any more."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
