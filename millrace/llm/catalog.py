@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import oracles, packing, quality, simhash, toxicity, urls
+from millrace.llm import decontaminate, html, lines, oracles, packing, pii, quality, simhash, suffixes, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = oracles.SQL
@@ -22,11 +22,34 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs).select("doc_id", "text", "n_lines", "n_removed_lines")
+
+
 @query
 def op2_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+@query
+def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffixes.dedup_substrings(table(spark, sf, "documents"))
+
+
+@query
+def op4_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    items = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", items, "contaminated")
+
+
+@query
+def op5_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.digest(pii.find_personal_data(table(spark, sf, "documents")))
+
+
 @query
 def op6_length_bucket_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), ["doc_id"])
@@ -40,6 +63,11 @@ def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op8_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    return html.extract(table(spark, sf, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @query
 def op9_url_link_graph(spark: SparkSession, sf: str) -> DataFrame:
     return urls.url_filter(table(spark, sf, "pages")).select("page_id", "host", "path", "rule", "verdict")

@@ -24,8 +24,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def lower_ascii(text: Column) -> Column:
-    """A-Z in lower case, every other letter as it is."""
-    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    """A-Z in lower case, every other letter as it is; a text of ASCII takes the faster function."""
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
 
 
 def space_words(text: Column) -> Column:

@@ -1,5 +1,6 @@
 """DuckDB SQL for the operators that SQL can express."""
 
+from millrace.llm.lines import BASE, DIVISOR, MODULUS, WINDOW
 from millrace.llm.quality import STOP_WORDS, THRESHOLDS
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -40,4 +41,79 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM based
 """
 
-SQL = {"op7_quality_rules": QUALITY}
+
+
+def _rolling() -> str:
+    value = "0"
+    for back in range(WINDOW - 1, -1, -1):
+        value = f"(({value} * {BASE} + CASE WHEN i > {back} THEN hashes[i - {back}] ELSE 0 END) % {MODULUS})"
+    return value
+
+
+def line_dedup(source: str) -> str:
+    """Line dedup of a table with ``doc_id`` (unique) and ``text``, as common table expressions up to ``deduped``."""
+    return rf"""
+line_rows AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM {source}),
+line_hashes AS (
+  SELECT doc_id, lines, list_transform(lines, lambda x: ('0x' || substr(md5(x), 1, 7))::BIGINT) AS hashes FROM line_rows),
+line_ends AS (
+  SELECT doc_id, lines, list_filter(range(1, len(lines) + 1), lambda i: i = len(lines) OR {_rolling()} % {DIVISOR} = 0) AS ends
+  FROM line_hashes),
+line_chunks AS (
+  SELECT doc_id, unnest(list_transform(range(1, len(ends) + 1), lambda k: {{
+           'first': CASE WHEN k = 1 THEN 1 ELSE ends[k - 1] + 1 END, 'last': ends[k],
+           'held': lines[(CASE WHEN k = 1 THEN 1 ELSE ends[k - 1] + 1 END):ends[k]]}})) AS c FROM line_ends),
+line_places AS (
+  SELECT doc_id, c.first AS first, c.last AS last, array_to_string(c.held, chr(10)) AS bytes FROM line_chunks
+  WHERE len(list_filter(c.held, lambda x: regexp_matches(x, '[^ 	-
+]'))) >= 2),
+line_removed AS (
+  SELECT doc_id, flatten(list(range(first, last + 1))) AS gone FROM (
+    SELECT *, row_number() OVER (PARTITION BY bytes ORDER BY doc_id, first) AS n FROM line_places) WHERE n > 1 GROUP BY doc_id),
+deduped AS (
+  SELECT line_rows.doc_id, len(lines)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_removed_lines,
+         CASE WHEN gone IS NULL THEN text ELSE array_to_string(list_transform(
+           list_filter(range(1, len(lines) + 1), lambda i: NOT list_contains(gone, i)), lambda i: lines[i]), chr(10)) END AS text
+  FROM line_rows LEFT JOIN line_removed USING (doc_id))"""
+
+
+LINE_DEDUP = f"WITH {line_dedup('documents')} SELECT doc_id, text, n_lines, n_removed_lines FROM deduped"
+
+TERMS = r"""list_filter(string_split_regex(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+
+def decontamination(source: str) -> str:
+    """Benchmark hits of a table with ``doc_id`` (unique) and ``text``, as common table expressions up to ``hits``."""
+    return rf"""
+item_words AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {TERMS} AS words FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item, len(words) AS m, array_to_string(words, ' ') AS phrase FROM (
+    SELECT item, words[i:i + 9] AS words FROM (
+      SELECT item, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM item_words WHERE len(words) > 0))),
+doc_words AS (SELECT doc_id, {TERMS} AS words FROM {source}),
+doc_windows AS (
+  SELECT doc_id, m, i, array_to_string(words[i:i + m - 1], ' ') AS phrase FROM (
+    SELECT doc_id, words, m, unnest(range(1, len(words) - m + 2)) AS i
+    FROM doc_words, (SELECT DISTINCT m FROM item_windows))),
+found AS (SELECT doc_id, i, m, item FROM doc_windows JOIN item_windows USING (m, phrase)),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT place)::BIGINT AS n_hit FROM (
+    SELECT doc_id, unnest(range(i, i + m)) AS place FROM (SELECT DISTINCT doc_id, i, m FROM found)) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id),
+hits AS (
+  SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+         sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+  FROM doc_words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id))"""
+
+
+DECONTAMINATION = f"WITH {decontamination('documents')} SELECT doc_id, n_words, n_hit, n_items, items_sha256, contaminated FROM hits"
+
+SQL = {
+    "op1_line_dedup": LINE_DEDUP,
+    "op4_benchmark_decontamination": DECONTAMINATION,
+    "op7_quality_rules": QUALITY,
+}
