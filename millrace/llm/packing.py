@@ -35,7 +35,7 @@ def count_tokens(text: Column) -> Column:
 
 def grid(length: Column) -> Column:
     """The length rounded up to the grid; at most ``EXACT / 2`` values per doubling."""
-    step = F.greatest(F.lit(1), F.expr("1") * F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(length - 1, F.lit(1)))) - int(np.log2(EXACT)) + 1)).cast("bigint")
+    step = F.greatest(F.lit(1), F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(length - 1, F.lit(1)))) - int(np.log2(EXACT)) + 1)).cast("bigint")
     return F.when(length <= EXACT, length).otherwise(F.ceil(length / step).cast("bigint") * step).cast("bigint")
 
 
@@ -82,13 +82,18 @@ def pack(
     token_budget: int = TOKEN_BUDGET,
     part_rows: int = PART_ROWS,
     tokens: Column | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """``keys`` with ``n_tokens``, ``bucket`` (its padded length), ``batch_id``, ``slot`` and ``padding``.
+    """``keys`` and ``carry`` with ``n_tokens``, ``bucket`` (its padded length), ``batch_id``, ``slot`` and ``padding``.
 
-    ``tokens`` may give the count, for example a tokenizer's; it should be a
-    column of the input then. Runs the histogram job. Texts do not move.
+    ``tokens`` may give the count, for example a tokenizer's. Runs the histogram
+    job. Texts move only if they are carried. Columns of the input that are
+    named like a result must not be among ``keys`` and are replaced in ``carry``.
     """
-    counted = docs.select(*keys, (count_tokens(F.col(text)) if tokens is None else F.coalesce(tokens, F.lit(0))).cast("bigint").alias("n_tokens"))
+    results = ("n_tokens", "bucket", "batch_id", "slot", "padding", "_capacity", "_part", "_place")
+    carry = [name for name in carry if name.lower() not in results]
+    count = count_tokens(F.col(text)) if tokens is None else F.coalesce(tokens, F.lit(0))
+    counted = docs.select(*keys, *carry, count.cast("bigint").alias("n_tokens"))
     histogram = length_histogram(counted)
     bounds = optimal_boundaries(histogram, buckets)
     held = {bound: 0 for bound in bounds}
@@ -107,6 +112,7 @@ def pack(
     batch = F.concat_ws("-", "bucket", "_part", F.floor(F.col("_place") / F.col("_capacity")))
     return placed.withColumn("_place", place.cast("bigint")).select(
         *keys,
+        *carry,
         "n_tokens",
         "bucket",
         batch.alias("batch_id"),

@@ -61,8 +61,8 @@ class Layout:
     """Where anchors and cores lie for a window of ``length`` bytes."""
 
     def __init__(self, length: int = LENGTH, gram: int = GRAM, spread: int = SPREAD) -> None:
-        if length < gram + spread:
-            raise ValueError("the window must hold the n-grams among which its anchor is chosen")
+        if gram & (gram - 1) or length < gram + spread:
+            raise ValueError("the n-gram must be a power of two and the window hold all among which its anchor is chosen")
         self.length, self.gram, self.spread = length, gram, spread
         self.skip = (length - gram - spread + 1) // 2  # bytes before the first n-gram
         self.core = length - spread + 1
@@ -79,10 +79,10 @@ class Layout:
 
     def _anchors(self, part: np.ndarray) -> np.ndarray:
         """The anchor's place for each window of the part."""
-        hashes, factor, width = _TABLE[part], np.uint64(_FACTOR), 1
+        hashes, width = _TABLE[part], 1
         while width < self.gram:
-            hashes = hashes[:-width] * factor + hashes[width:]
-            factor, width = factor * factor, width * 2
+            hashes = hashes[:-width] * np.uint64(pow(_FACTOR, width, 1 << 64)) + hashes[width:]
+            width *= 2
         hashes ^= hashes >> np.uint64(31)
         hashes *= np.uint64(0xBF58476D1CE4E5B9)
         places = np.arange(len(hashes), dtype=np.uint64)
