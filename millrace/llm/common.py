@@ -39,6 +39,17 @@ def total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores added until no column of ``df`` has it."""
+    taken = {name.lower() for name in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 class Scratch:
     """Intermediate tables of one operator call in the shared folder.
 
@@ -66,3 +77,43 @@ class Scratch:
     def drop(self, *names: str) -> None:
         for name in names:
             remove_dir(self.spark, self.paths.pop(name))
+
+
+ROW_BITS = 1 << 26  # slots of the row filter; its bitmaps take 8 MB at most
+
+
+def attach(
+    rows: DataFrame, key: str, version: Column, found: DataFrame, scratch: Scratch, inner: bool = False
+) -> tuple[DataFrame, list[str]]:
+    """Join rows (mostly long texts) with what was found for some of them.
+
+    ``found`` has ``key``, ``version`` and further columns, once per key and
+    version; it must be a written table. They come back under the returned
+    names, NULL where nothing was found; ``inner`` leaves those rows out.
+
+    Few rows usually have a match, and rows with texts are dear to exchange. So
+    the matches' hashes set bits in bitmaps of fixed total size, which are
+    broadcast; a row without its bit has no match and does not move. With more
+    matches than bits every row moves, and the result is the same.
+    """
+    payload = [name for name in found.columns if name not in ("key", "version")]
+    slot, bucket, bitmap, other_key, other_version, *names = fresh(rows, "_slot", "_bucket", "_bitmap", "_key", "_version", *[f"_{n}" for n in payload])
+
+    def slot_of(row_key: Column, row_version: Column) -> Column:
+        return F.pmod(F.xxhash64(row_key, row_version), F.lit(ROW_BITS)) + 1
+
+    slots = found.select(slot_of(F.col("key"), F.col("version")).alias("slot"))
+    bits = slots.groupBy(F.bitmap_bucket_number("slot").alias(bucket)).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias(bitmap))
+    bits = F.broadcast(scratch.write("bits", bits))
+    placed = rows.withColumn(slot, slot_of(F.col(key), version)).withColumn(bucket, F.bitmap_bucket_number(slot)).join(bits, bucket, "left")
+    at = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring(F.col(bitmap), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = F.coalesce(F.floor(byte / F.pow(F.lit(2), at % 8)) % 2 == 1, F.lit(False))
+    may_match = placed.where(marked).select(*rows.columns)
+    renamed = found.select(F.col("key").alias(other_key), F.col("version").alias(other_version), *[F.col(o).alias(n) for o, n in zip(payload, names)])
+    same = F.col(key).eqNullSafe(F.col(other_key)) & (version == F.col(other_version))
+    joined = may_match.join(renamed, same, "inner" if inner else "left").drop(other_key, other_version)
+    if inner:
+        return joined, names
+    nothing = [F.lit(None).cast(found.schema[o].dataType).alias(n) for o, n in zip(payload, names)]
+    return joined.unionByName(placed.where(~marked).select(*rows.columns, *nothing)), names

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Scratch, let, lower_ascii
+from millrace.llm.common import Scratch, attach, let, lower_ascii
 from millrace.operators.joins import broadcast_if_small
 
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -124,14 +124,12 @@ def decontaminate(
     postings = scratch.write("postings", positional_index(docs, scratch.write("wanted", wanted), key, text))
     starts = scratch.write("starts", phrase_starts(postings, ranked, rarest))
     possible = starts.join(windows, "window").groupBy("key", "version").agg(F.collect_list(F.struct("start", "window", "words")).alias("possible"))
-    possible = possible.select(F.col("key").alias("_key"), F.col("version").alias("_version"), "possible")
-
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("version"), F.col(text).alias("text"))
-    rows = rows.join(possible, F.col("key").eqNullSafe(F.col("_key")) & (F.col("version") == F.col("_version")), "left")
+    rows, (held,) = attach(rows, "key", F.col("version"), scratch.write("possible", possible), scratch)
     none = F.array().cast("array<struct<start:int,window:string,words:array<string>>>")
 
     def verified(words: Column) -> Column:
-        exact = F.filter(F.coalesce("possible", none), lambda p: F.slice(words, p["start"] + 1, F.size(p["words"])) == p["words"])
+        exact = F.filter(F.coalesce(held, none), lambda p: F.slice(words, p["start"] + 1, F.size(p["words"])) == p["words"])
         return F.struct(F.size(words).cast("bigint").alias("n_words"), exact.alias("exact"))
 
     checked = rows.select("key", "version", let(terms(F.col("text")), verified).alias("found")).select("key", "version", "found.*")
@@ -143,16 +141,17 @@ def decontaminate(
     summary = scratch.write("summary", summary)
     named = summary.where(F.size("hit") > 0).select("key", "version", F.explode("hit").alias("window")).distinct()
     named = named.join(listed.select("window", "item").distinct(), "window").groupBy("key", "version").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    named = named.select(F.col("key").alias("_key"), F.col("version").alias("_version"), "items")
-    joined = summary.join(named, F.col("key").eqNullSafe(F.col("_key")) & (F.col("version") == F.col("_version")), "left")
-    held = F.coalesce("items", F.array().cast("array<string>"))
+    joined, (held,) = attach(summary, "key", F.col("version"), scratch.write("named", named), scratch)
+    items = F.coalesce(held, F.array().cast("array<string>"))
     return joined.select(
-        F.col("key").alias(key), "version", "n_words", "n_hit", F.size(held).cast("bigint").alias("n_items"), held.alias("items"),
+        F.col("key").alias(key), "version", "n_words", "n_hit", F.size(items).cast("bigint").alias("n_items"), items.alias("items"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows without any benchmark window, all columns as they were."""
-    found = decontaminate(docs, items, key, text, **options).where("contaminated").select(F.col(key).alias("_key"), F.col("version").alias("_version"))
-    return docs.join(found, F.col(key).eqNullSafe(F.col("_key")) & (F.xxhash64(text) == F.col("_version")), "left_anti")
+    scratch = Scratch(docs.sparkSession, "leaks")
+    found = decontaminate(docs, items, key, text, **options).where("contaminated").select(F.col(key).alias("key"), "version", "contaminated")
+    joined, (leaks,) = attach(docs, key, F.xxhash64(text), scratch.write("found", found.distinct()), scratch)
+    return joined.where(F.col(leaks).isNull()).drop(leaks)

@@ -194,13 +194,14 @@ def blocks(page: str) -> list[Block]:
 def surging(weights: list[int], window: int = WINDOW, surge: int = SURGE) -> list[tuple[int, int]]:
     """(first, last) lines of the texts: from a surge of the window's sum to its dive.
 
-    The window starts at its line. A text begins at the first weighty line of a
-    window that reaches ``surge`` and ends before the first that holds nothing.
+    The window starts at its line. A text begins where the window reaches
+    ``surge`` at a line that brings a quarter of it or more, so a short line
+    before the text stays outside. It ends before the first window that holds nothing.
     """
     texts, begin = [], None
     for i, weight in enumerate(weights):
         ahead = sum(weights[i : i + window])
-        if begin is None and ahead >= surge and weight:
+        if begin is None and ahead >= surge and weight >= max(1, surge // 4):
             begin = i
         elif begin is not None and not ahead:
             texts.append((begin, i - 1))

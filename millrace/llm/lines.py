@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import NOT_SPACE, Scratch, let
+from millrace.llm.common import NOT_SPACE, Scratch, attach, let
 
 WINDOW = 2  # lines the rolling hash spans
 DIVISOR = 2  # a chunk has this many lines on average
@@ -86,26 +86,26 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", window
     chunks = scratch.write("chunks", found)
     many = chunks.groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low != high")
     suspects = chunks.join(scratch.write("many", many.select("hash")), "hash", "left_semi")
-    by_row = suspects.groupBy("key", "version").agg(F.collect_set(F.struct("first", "last")).alias("chunks"))
+    by_row = scratch.write("suspects", suspects.groupBy("key", "version").agg(F.collect_set(F.struct("first", "last")).alias("chunks")))
 
-    matched = [F.col("r.key").eqNullSafe(F.col("s.key")), F.col("r.version") == F.col("s.version")]
-    texts = rows.alias("r").join(by_row.alias("s"), matched).select("r.key", "r.version", F.explode(
-        F.transform("chunks", lambda c: F.struct(c["first"].alias("first"), c["last"].alias("last"), chunk_text(F.col("lines"), c).alias("bytes")))
+    matched, (held,) = attach(rows, "key", F.col("version"), by_row, scratch, inner=True)
+    texts = matched.select("key", "version", F.explode(
+        F.transform(held, lambda c: F.struct(c["first"].alias("first"), c["last"].alias("last"), chunk_text(F.col("lines"), c).alias("bytes")))
     ).alias("chunk")).select("key", "version", "chunk.*")
     texts = scratch.write("texts", texts)
     equal = texts.groupBy("bytes").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low != high")
     equal = scratch.write("equal", equal.select("bytes", "low"))
     removed = texts.join(equal, "bytes").where(place != F.col("low"))
-    removed = removed.groupBy("key", "version").agg(F.collect_set(F.struct("first", "last")).alias("chunks"))
-    removed = scratch.write("removed", removed.select(F.col("key").alias("_key"), F.col("version").alias("_version"), F.col("chunks").alias("_chunks")))
+    removed = scratch.write("removed", removed.groupBy("key", "version").agg(F.collect_set(F.struct("first", "last")).alias("chunks")))
+    joined, (gone,) = attach(docs, key, F.xxhash64(text), removed, scratch)
 
     def rest(lines: Column) -> Column:
-        gone = F.flatten(F.transform("_chunks", lambda c: F.sequence(c["first"], c["last"])))
-        left = F.array_except(F.sequence(F.lit(1), F.size(lines)), gone)
+        numbers = F.flatten(F.transform(gone, lambda c: F.sequence(c["first"], c["last"])))
+        left = F.array_except(F.sequence(F.lit(1), F.size(lines)), numbers)
         return F.array_join(F.transform(left, lambda i: F.get(lines, i - 1)), "\n")
 
-    n_removed = F.aggregate(F.coalesce("_chunks", F.array().cast("array<struct<first:int,last:int>>")), F.lit(0), lambda n, c: n + c["last"] - c["first"] + 1)
-    cut = F.when(F.col("_chunks").isNull(), F.col(text)).otherwise(let(split_lines(F.col(text)), rest))
-    joined = docs.join(removed, F.col(key).eqNullSafe(F.col("_key")) & (F.xxhash64(text) == F.col("_version")), "left")
+    none = F.array().cast("array<struct<first:int,last:int>>")
+    n_removed = F.aggregate(F.coalesce(gone, none), F.lit(0), lambda n, c: n + c["last"] - c["first"] + 1)
+    cut = F.when(F.col(gone).isNull(), F.col(text)).otherwise(let(split_lines(F.col(text)), rest))
     counts = {"n_lines": F.size(split_lines(F.col(text))).cast("bigint"), "n_removed_lines": n_removed.cast("bigint"), text: cut}
-    return joined.withColumns(counts).drop("_key", "_version", "_chunks")
+    return joined.withColumns(counts).drop(gone)

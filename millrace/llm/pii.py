@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Scratch, let, total
+from millrace.llm.common import Scratch, attach, let, total
 
 # Quantifiers are possessive where giving back never helps, so that scanning is
 # linear and long runs do not nest; a match starts where its run does or where
@@ -272,8 +272,11 @@ def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def mask(docs: DataFrame, key: str = "doc_id", text: str = "text", placeholder: str = "[{}]") -> DataFrame:
-    """The rows with every span replaced by its kind; rows of one key with different texts must not occur."""
-    found = find_personal_data(docs, key, text).select(F.col(key).alias("_key"), F.col("spans").alias("_spans"))
+    """The rows with every span replaced by its kind; of overlapping ones the first."""
+    scratch = Scratch(docs.sparkSession, "pii-mask")
+    numbered = docs.select(F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("version")).alias("row"), F.col(text).alias("text"))
+    found = find_personal_data(numbered, "row", "text").where(F.size("spans") > 0).select("row.key", "row.version", "spans").distinct()
+    joined_rows, (spans,) = attach(docs, key, F.xxhash64(text), scratch.write("found", found), scratch)
 
     def replaced(held: Column) -> Column:
         start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
@@ -285,8 +288,7 @@ def mask(docs: DataFrame, key: str = "doc_id", text: str = "text", placeholder:
             out = F.concat(acc["out"], gap, F.lit(before), s["kind"], F.lit(after))
             return F.struct(F.greatest(s["end"], acc["at"]).alias("at"), F.when(covered, acc["out"]).otherwise(out).alias("out"))
 
-        done = F.aggregate("_spans", start, step)
+        done = F.aggregate(spans, start, step)
         return let(done, lambda d: F.concat(d["out"], F.substr(held, d["at"] + 1, F.length(held))))
 
-    joined_rows = docs.join(found.distinct(), F.col(key).eqNullSafe(F.col("_key")), "left")
-    return joined_rows.withColumn(text, F.when(F.col(text).isNotNull(), replaced(F.col(text)))).drop("_key", "_spans")
+    return joined_rows.withColumn(text, F.when(F.col(spans).isNull(), F.col(text)).otherwise(replaced(F.col(text)))).drop(spans)

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import NOT_SPACE, let, space_words, total
+from millrace.llm.common import NOT_SPACE, fresh, let, space_words, total
 
 GRAM = 8
 MIN_WORDS = 20
@@ -90,19 +90,20 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows with the counts the rules are about, from the whole text."""
     held = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(held, "\n"), lambda line: line.rlike(NOT_SPACE))
-    words = F.col("_words")
-    split = docs.withColumn("_words", space_words(held)).withColumn("_lines", lines)
+    word_list, line_list = fresh(docs, "_words", "_lines")
+    words, lined = F.col(word_list), F.col(line_list)
+    split = docs.withColumn(word_list, space_words(held)).withColumn(line_list, lines)
     counts = {
         "n_words": F.size(words),
         "word_chars": F.char_length(F.array_join(words, "")),
         "n_symbols": F.size(F.split(held, SYMBOLS)) - 1,
-        "n_lines": F.size("_lines"),
-        "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
+        "n_lines": F.size(lined),
+        "n_dup_lines": F.size(lined) - F.size(F.array_distinct(lined)),
         "n_repeat_words": repeated_word_count(words),
         "n_stop_words": F.size(F.filter(words, lambda word: F.lower(word).isin(STOP_WORDS))),
         "n_letter_words": F.size(F.filter(words, lambda word: word.rlike(r"\p{L}"))),
     }
-    return split.withColumns({name: count.cast("bigint") for name, count in counts.items()}).drop("_words", "_lines")
+    return split.withColumns({name: count.cast("bigint") for name, count in counts.items()}).drop(word_list, line_list)
 
 
 def base_failed() -> Column:

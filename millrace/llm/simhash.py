@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Scratch
+from millrace.llm.common import Scratch, attach
 from millrace.llm.components import connected_components
 
 SEED = 42
@@ -159,6 +159,9 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     Rows that repeat the kept id are all kept; rows without an id are kept only
     where their whole group has none.
     """
-    found = near_duplicates(docs, key, text, shingle)
-    kept = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_kept")).distinct()
-    return docs.join(kept, F.col(key).eqNullSafe(F.col("_kept")), "left_semi")
+    scratch = Scratch(docs.sparkSession, "simhash-kept")
+    found = near_duplicates(docs, key, text, shingle).select(F.col(key).alias("key"), "component_id")
+    kept = found.groupBy("key").agg(F.bool_or(F.col("key").eqNullSafe(F.col("component_id"))).alias("kept"))
+    dropped = kept.where("NOT kept").select("key", F.lit(0).cast("bigint").alias("version"), "kept")
+    joined, (mark,) = attach(docs, key, F.lit(0).cast("bigint"), scratch.write("dropped", dropped), scratch)
+    return joined.where(F.col(mark).isNull()).drop(mark)

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.llm import bwt
-from millrace.llm.common import Scratch
+from millrace.llm.common import Scratch, attach
 
 LENGTH = 400
 GRAM = 16
@@ -129,14 +129,13 @@ def anchor_runs(docs: DataFrame, layout: Layout) -> DataFrame:
     return docs.mapInArrow(found, schema)
 
 
-def _context_strings(docs: DataFrame, places: DataFrame, layout: Layout) -> DataFrame:
+def _context_strings(docs: DataFrame, places: DataFrame, layout: Layout, scratch: Scratch) -> DataFrame:
     """The places with ``left`` and ``right``, the bytes of their context around the core."""
     wanted = [f for f in places.columns if f not in ("key", "version")]
-    grouped = places.groupBy("key", "version").agg(F.collect_list(F.struct(*wanted)).alias("places"))
-    grouped = grouped.select(F.col("key").alias("_key"), F.col("version").alias("_version"), "places")
-    joined = docs.join(grouped, F.col("key").eqNullSafe(F.col("_key")) & (F.col("version") == F.col("_version")))
+    grouped = scratch.write("places", places.groupBy("key", "version").agg(F.collect_list(F.struct(*wanted)).alias("places")))
+    joined, (held,) = attach(docs, "key", F.col("version"), grouped, scratch, inner=True)
     # Rows equal in key and text both come: their contexts occur twice then and serve as witnesses only.
-    one = joined.select("key", "version", "data", F.explode("places").alias("p"))
+    one = joined.select("key", "version", "data", F.explode(held).alias("p"))
     core_end = F.col("p.at") + layout.core
     return one.select(
         "key", "version", "p.*",
@@ -243,7 +242,7 @@ def repeated_runs(
     ends = contexts.groupBy("core").agg(F.count("*").alias("m"), F.min("n").alias("fewest")).where("m > 1 AND fewest = 1")
     ends = scratch.write("ends", ends.select("core", "m"))
     places = contexts.join(ends, "core").select("core", "m", F.least("n", F.lit(2)).alias("n"), "place.*")
-    strings = _context_strings(docs, places, layout).withColumns(
+    strings = _context_strings(docs, places, layout, scratch).withColumns(
         {"most": F.col("at") - F.col("lo"), "least": F.col("at") - F.col("hi")}
     )
     strings = scratch.write("strings", strings)
@@ -270,8 +269,7 @@ def dedup_substrings(
     long_rows = rows.where(F.length("data") >= length)
     runs = repeated_runs(long_rows, layout, scratch, **sizes)
     spans = runs.groupBy("key", "version").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
-    spans = spans.select(F.col("key").alias("_key"), F.col("version").alias("_version"), "runs")
-    joined = rows.join(spans, F.col("key").eqNullSafe(F.col("_key")) & (F.col("version") == F.col("_version")), "left")
+    joined, (held,) = attach(rows, "key", F.col("version"), scratch.write("spans", spans), scratch)
     schema = StructType(rows.select("key").schema.fields)
     for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string"), ("kept", "binary")):
         schema = schema.add(name, kind)
@@ -291,7 +289,7 @@ def dedup_substrings(
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("key"), *[pa.array(c, k) for c, k in zip(columns, kinds)]], names=schema.names)
 
-    result = joined.select("key", "data", "runs").mapInArrow(cut, schema)
+    result = joined.select("key", "data", F.col(held).alias("runs")).mapInArrow(cut, schema)
     return result.select(F.col("key").alias(key), *schema.names[1 : None if keep_bytes else -1])
 
 

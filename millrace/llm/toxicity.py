@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import fresh
+
 SENTENCE_END = r"[.!?\n]+"
 LETTERS = r"\p{L}+"
 STEM = 4
@@ -190,7 +192,8 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     judged = F.pandas_udf(scored, added)  # type: ignore[call-overload]
     held = docs.drop("score", "predicted", "worst_sentence", "n_offending")
-    return held.withColumn("_judged", judged(F.col(text))).select(*held.columns, "_judged.*")
+    (name,) = fresh(held, "_judged")
+    return held.withColumn(name, judged(F.col(text))).select(*held.columns, f"{name}.*")
 
 
 def offending_sentences(docs: DataFrame, model: Model, key: str, text: str = "text", least: float = 0.5) -> DataFrame:

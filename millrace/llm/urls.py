@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Scratch, lower_ascii
+from millrace.llm.common import Scratch, fresh, lower_ascii
 
 
 @dataclass(frozen=True)
@@ -133,6 +133,7 @@ def url_filter(
     )
     scores = link_scores(host_links(ruled), scratch.write("seeds", seeds), rounds, damping, scratch)
     doubted = scratch.write("doubted", scores.where(F.col("distrust") > F.col("trust") * threshold).select("host"))
-    verdicts = ruled.join(doubted.withColumn("_doubted", F.lit(True)), "host", "left")
-    judged = F.when(F.col("_doubted"), F.lit("block")).otherwise(F.lit("allow"))
-    return verdicts.withColumn("verdict", F.coalesce("ruled", judged)).drop("_doubted", "ruled")
+    (mark,) = fresh(ruled, "_doubted")
+    verdicts = ruled.join(doubted.withColumn(mark, F.lit(True)), "host", "left")
+    judged = F.when(F.col(mark), F.lit("block")).otherwise(F.lit("allow"))
+    return verdicts.withColumn("verdict", F.coalesce("ruled", judged)).drop(mark, "ruled")
