@@ -391,11 +391,20 @@ def content_hash_dedup(spark, sf):
     return unique.select("doc_id", "lang", F.length("text").cast("bigint").alias("chars"))
 
 
-@query(
-    "state_transition_check",
-    f"""WITH RECURSIVE e AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY position) AS rn FROM {T.TRANSITIONS_SQL}),
-        allowed(a, b) AS (VALUES ('pending','confirmed'), ('pending','cancelled'), ('confirmed','shipped'),
-          ('confirmed','cancelled'), ('shipped','delivered'), ('shipped','returned'), ('delivered','returned')),
+# The default table, and the same with ways back.
+ALLOWED = {
+    "pending": ["confirmed", "cancelled"],
+    "confirmed": ["shipped", "cancelled"],
+    "shipped": ["delivered", "returned"],
+    "delivered": ["returned"],
+}
+CYCLIC = ALLOWED | {"delivered": ["returned", "shipped"], "cancelled": ["confirmed"], "returned": ["confirmed"]}
+
+
+def _transition_sql(table):
+    pairs = ", ".join(f"('{a}','{b}')" for a, targets in table.items() for b in targets)
+    return f"""WITH RECURSIVE e AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY position) AS rn FROM {T.TRANSITIONS_SQL}),
+        allowed(a, b) AS (VALUES {pairs}),
         v AS (
           SELECT entity, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS position, CAST(NULL AS VARCHAR) AS wanted,
                  CAST(NULL AS VARCHAR) AS current_status, CAST(NULL AS VARCHAR) AS verdict,
@@ -409,13 +418,30 @@ def content_hash_dedup(spark, sf):
                             WHEN (v.status, e.wanted) NOT IN (SELECT a, b FROM allowed) THEN 'invalid'
                             WHEN e.token = v.last_token THEN 'same_key' ELSE 'applied' END AS verdict
                 FROM v JOIN e ON e.entity = v.entity AND e.rn = v.rn + 1))
-        SELECT entity, position, wanted, current_status, verdict FROM v WHERE rn > 0""",
-)
-def state_transition_check(spark, sf):
-    judged = transitions.state_transition_check(T.transitions(spark, sf), "entity", "wanted", ["position"], "token")
+        SELECT entity, position, wanted, current_status, verdict FROM v WHERE rn > 0"""
+
+
+def _judged_transitions(spark, sf, **options):
+    judged = transitions.state_transition_check(T.transitions(spark, sf), "entity", "wanted", ["position"], "token", **options)
     return judged.drop("token")
 
 
+@query("state_transition_check", _transition_sql(ALLOWED))
+def state_transition_check(spark, sf):
+    return _judged_transitions(spark, sf)
+
+
+@query("state_transition_segments", _transition_sql(ALLOWED))
+def state_transition_segments(spark, sf):
+    """Segments so small that entities span several, in a tree of several levels."""
+    return _judged_transitions(spark, sf, max_rows=3, fanout=2)
+
+
+@query("state_transition_cycle", _transition_sql(CYCLIC))
+def state_transition_cycle(spark, sf):
+    return _judged_transitions(spark, sf, transitions=CYCLIC, max_rows=4, fanout=3)
+
+
 def _version_updates(spark, sf):
     """Events as updates of their user's record; some expect a wrong version.
 

@@ -5,27 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.session import materialize
 
-def late_data_split(
-    df: DataFrame, ts: str, arrival: str, delay: str, chunk_rows: int = 1_000_000
-) -> tuple[DataFrame, DataFrame]:
-    """Split rows into on time and late, in order of a numeric ``arrival``.
+
+def late_data_split(df: DataFrame, ts: str, arrival: str, delay: str) -> tuple[DataFrame, DataFrame]:
+    """Split rows into on time and late, in order of ``arrival``.
 
     A row is late when its event time lies more than ``delay`` before the
-    latest event time that arrived earlier. The running maximum is taken per
-    chunk of ``chunk_rows`` arrivals, plus one maximum per earlier chunk, so
-    only the short list of chunks is ever ordered as a whole.
+    latest event time that arrived earlier. The rows are dealt into ranges of
+    arrival by rank and written to the session's shared folder; the running
+    maximum is taken inside each range, plus one maximum per earlier range, so
+    only one row per range is ever ordered as a whole. Rows without an arrival
+    have no place in the order: they are on time, with no watermark, and make
+    no other row late.
     """
-    chunked = df.withColumn("_chunk", F.floor(F.col(arrival) / chunk_rows))
-    peaks = chunked.groupBy("_chunk").agg(F.max(ts).alias("_peak"))
-    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = peaks.select("_chunk", F.max("_peak").over(before).alias("_carried"))
-    within = Window.partitionBy("_chunk").orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
+    ranged = df.repartitionByRange(F.col(arrival).asc_nulls_first()).withColumn("_range", F.spark_partition_id())
+    rows = materialize(ranged, "arrivals")
+    known = F.when(F.col(arrival).isNotNull(), F.col(ts))
+    peaks = rows.groupBy("_range").agg(F.max(known).alias("_peak"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = peaks.select("_range", F.max("_peak").over(before).alias("_carried"))
+    within = Window.partitionBy("_range").orderBy(F.col(arrival).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    seen = F.greatest(F.max(known).over(within), F.col("_carried"))
     tagged = (
-        chunked.join(carried, "_chunk")
-        .withColumn("_seen", F.greatest(F.max(ts).over(within), F.col("_carried")))
-        .withColumn("watermark", F.col("_seen") - F.expr(f"interval {delay}"))
-        .drop("_chunk", "_carried", "_seen")
+        rows.join(carried, "_range")
+        .withColumn("_seen", seen)
+        .withColumn("watermark", F.when(F.col(arrival).isNotNull(), F.col("_seen") - F.expr(f"interval {delay}")))
+        .drop("_range", "_carried", "_seen")
     )
     late = F.coalesce(F.col(ts) < F.col("watermark"), F.lit(False))
     return tagged.filter(~late), tagged.filter(late)

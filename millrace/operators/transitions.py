@@ -1,9 +1,10 @@
 """Status transitions judged against each entity's state at that point.
 
-An entity with few events is folded over its sorted events. One with many is
-never gathered: it can make no more transitions than the longest path of the
-transition table, so as many rounds of "earliest valid event after the last
-transition", each a minimum, find its whole history.
+An entity's events are cut into segments of bounded size by rank. What a
+segment does to the state it is entered with is a map of bounded size: per
+status, the outcome for a token equal to that of the segment's first valid
+event, and the outcome for any other token. Maps compose, so entry states
+follow by composing them in a tree, and then every segment folds on its own.
 """
 
 from __future__ import annotations
@@ -15,32 +16,148 @@ from pyspark.sql import functions as F
 
 from millrace.functions import values as V
 from millrace.operators import skew
-from millrace.session import materialize
+from millrace.operators.segments import cut_segments
 
 Transitions = Mapping[str, Sequence[str]]
+FANOUT = 256
 
 
-def longest_path(transitions: Transitions, start: str) -> int:
-    """Most transitions any entity can make; a cyclic table is an error."""
-    def depth(status: str, above: tuple[str, ...]) -> int:
-        if status in above:
-            raise ValueError(f"transition table has a cycle through {status!r}")
-        return max((1 + depth(target, (*above, status)) for target in transitions.get(status, ())), default=0)
+class _Table:
+    """A transition table with its statuses numbered; any table, cyclic ones too."""
 
-    return depth(start, ())
+    def __init__(self, transitions: Transitions, initial: str) -> None:
+        self.names = list(dict.fromkeys([initial, *transitions, *(t for targets in transitions.values() for t in targets)]))
+        self._matrix = F.array(*[F.array(*[F.lit(b in transitions.get(a, ())) for b in self.names]) for a in self.names])
 
+    def number(self, status: Column) -> Column:
+        """The status's number; -1 for a status the table lacks."""
+        return F.coalesce(*[F.when(status == name, i) for i, name in enumerate(self.names)], F.lit(-1))
 
-def _allowed(transitions: Transitions, current: Column, wanted: Column) -> Column:
-    cases = [F.when(current == source, wanted.isin(*targets)) for source, targets in transitions.items() if targets]
-    return F.coalesce(*cases, F.lit(False))
+    def name(self, number: Column) -> Column:
+        return F.get(F.array(*map(F.lit, self.names)), number)
 
+    def valid(self, status: Column, to: Column) -> Column:
+        """Whether a transition between numbered statuses is in the table and not a stay."""
+        return (status != to) & F.coalesce(F.get(F.get(self._matrix, status), to), F.lit(False))
 
-def _fold(facts: DataFrame, transitions: Transitions, initial: str) -> DataFrame:
-    """Judge entities with few events, one sorted array each."""
+
+def _outcome(token: Column, moved: Column, status: Column, held: Column, same_moved: Column, same_status: Column, same_held: Column) -> Column:
+    """A status's entry of a map: the first valid event's token, and what becomes of another and of an equal token."""
+    return F.struct(
+        token.alias("token"), moved.alias("moved"), status.alias("status"), held.alias("held"),
+        same_moved.alias("same_moved"), same_status.alias("same_status"), same_held.alias("same_held"),
+    )
+
+
+def _enter(segment: Column, status: Column, held: Column) -> Column:
+    """State after a segment that is entered with a status and a token, and whether an event applied."""
+    entry = F.get(segment, status)
+    same = F.coalesce(entry["token"] == held, F.lit(False))
+    moved = F.when(same, entry["same_moved"]).otherwise(entry["moved"])
+    return F.struct(
+        moved.alias("moved"),
+        F.when(~moved, status).when(same, entry["same_status"]).otherwise(entry["status"]).alias("status"),
+        F.when(~moved, held).when(same, entry["same_held"]).otherwise(entry["held"]).alias("held"),
+    )
+
+
+def _compose(first: Column, second: Column) -> Column:
+    """The map of two segments in a row."""
+    def both(entry: Column, status: Column) -> Column:
+        other = _enter(second, entry["status"], entry["held"])
+        same = _enter(
+            second,
+            F.when(entry["same_moved"], entry["same_status"]).otherwise(status),
+            F.when(entry["same_moved"], entry["same_held"]).otherwise(entry["token"]),
+        )
+        moved = _outcome(
+            entry["token"], F.lit(True), other["status"], other["held"],
+            entry["same_moved"] | same["moved"], same["status"], same["held"],
+        )
+        return F.when(entry["moved"], moved).otherwise(F.get(second, status))
+
+    return F.transform(first, both)
+
+
+def _unmoved(table: _Table) -> Column:
+    nothing, no = F.lit(None).cast("string"), F.lit(False)
+    return F.array(*[_outcome(nothing, no, F.lit(i), nothing, no, F.lit(i), nothing) for i in range(len(table.names))])
+
+
+def _segment_map(steps: Column, table: _Table) -> Column:
+    """Fold (``_number``, ``_token``) steps into the segment's map."""
+    def follow(segment: Column, step: Column) -> Column:
+        to, token = step["_number"], step["_token"]
+
+        def grown(entry: Column, status: Column) -> Column:
+            begins = ~entry["moved"] & table.valid(status, to)
+            goes_on = entry["moved"] & table.valid(entry["status"], to) & ~F.coalesce(token == entry["held"], F.lit(False))
+            same_status = F.when(entry["same_moved"], entry["same_status"]).otherwise(status)
+            same_held = F.when(entry["same_moved"], entry["same_held"]).otherwise(entry["token"])
+            same_on = entry["moved"] & table.valid(same_status, to) & ~F.coalesce(token == same_held, F.lit(False))
+            applies, same_applies = begins | goes_on, same_on | (begins & token.isNull())
+            return _outcome(
+                F.when(begins, token).otherwise(entry["token"]),
+                entry["moved"] | applies,
+                F.when(applies, to).otherwise(entry["status"]),
+                F.when(applies, token).otherwise(entry["held"]),
+                entry["same_moved"] | same_applies,
+                F.when(same_applies, to).otherwise(entry["same_status"]),
+                F.when(same_applies, token).otherwise(entry["same_held"]),
+            )
+
+        return F.transform(segment, grown)
+
+    return F.aggregate(steps, _unmoved(table), follow)
+
+
+def _entry_states(maps: DataFrame, table: _Table, fanout: int) -> DataFrame:
+    """Status and token that each segment is entered with, from the maps of all segments of a key in order.
+
+    ``maps`` has ``_key``, ``_segment`` and ``_map``. Neighbours compose up a
+    tree of ``fanout`` children; states then descend it. No group exceeds the
+    fanout, however many segments a key has.
+    """
+    place = F.row_number().over(Window.partitionBy("_key").orderBy("_segment")).cast("bigint") - 1
+    numbered = maps.withColumn("_place", place)
+    deepest = numbered.agg(F.max("_place")).first()[0] or 0
+    level, children = numbered.select("_key", "_place", "_map"), []
+    while True:
+        listed = F.array_sort(F.collect_list(F.struct("_place", "_map")))
+        grouped = level.groupBy("_key", F.floor(F.col("_place") / fanout).alias("_parent")).agg(listed.alias("_children"))
+        children.append(grouped)
+        if deepest < fanout:
+            break
+        composed = F.aggregate("_children", _unmoved(table), lambda whole, child: _compose(whole, child["_map"]))
+        level = grouped.select("_key", F.col("_parent").alias("_place"), composed.alias("_map"))
+        deepest //= fanout
+    root = F.struct(F.lit(0).alias("status"), F.lit(None).cast("string").alias("held"))
+    states = children[-1].select("_key", F.col("_parent").alias("_place"), root.alias("_state"))
+
+    def descend(before: Column, child: Column) -> Column:
+        after = _enter(child["_map"], before["now"]["status"], before["now"]["held"])
+        now = F.struct(after["status"].alias("status"), after["held"].alias("held"))
+        entered = F.struct(child["_place"].alias("_place"), before["now"].alias("_state"))
+        return F.struct(now.alias("now"), F.concat(before["list"], F.array(entered)).alias("list"))
+
+    none = "array<struct<_place:bigint,_state:struct<status:int,held:string>>>"
+    for grouped in reversed(children):
+        parents = states.withColumnRenamed("_place", "_parent")
+        start = F.struct(F.col("_state").alias("now"), F.array().cast(none).alias("list"))
+        met = skew.keyed_join(grouped, parents, ["_key", "_parent"], null_safe=True)
+        states = met.select("_key", F.explode(F.aggregate("_children", start, descend, lambda s: s["list"])).alias("_e")).select("_key", "_e.*")
+    return skew.keyed_join(numbered.select("_key", "_segment", "_place"), states, ["_key", "_place"], null_safe=True).select(
+        "_key", "_segment", table.name(F.col("_state.status")).alias("_status"), F.col("_state.held").alias("_held")
+    )
+
+
+def _fold(segments: DataFrame, table: _Table, initial: str) -> DataFrame:
+    """Judge each segment's sorted events from its entry state."""
     def follow(state: Column, step: Column) -> Column:
+        status = table.number(state["status"])
         mark = (
             F.when(state["status"] == step["_to"], "s")
-            .when(~_allowed(transitions, state["status"], step["_to"]), "i")
+            .when(~table.valid(status, step["_number"]), "i")
             .when(state["token"] == step["_token"], "k")
             .otherwise("a")
         )
@@ -51,15 +168,12 @@ def _fold(facts: DataFrame, transitions: Transitions, initial: str) -> DataFrame
             F.concat(state["trace"], mark).alias("trace"),
         )
 
-    start = F.struct(
-        F.lit(initial).alias("status"), F.lit(None).cast("string").alias("token"), F.lit("").alias("trace")
-    )
-    ordered = F.array_sort(F.collect_list(F.struct("_at", "_to", "_token", "_row")))
-    entities = facts.groupBy("_key").agg(ordered.alias("_steps"))
-    traced = entities.withColumn("_trace", F.aggregate("_steps", start, follow, lambda state: state["trace"]))
-    steps = traced.select("_key", "_trace", F.posexplode("_steps").alias("_index", "_step"))
+    # The fold leaves one character per event; an array would be copied whole at every step.
+    start = F.struct(F.col("_status").alias("status"), F.col("_held").alias("token"), F.lit("").alias("trace"))
+    traced = segments.withColumn("_trace", F.aggregate("_steps", start, follow, lambda state: state["trace"]))
+    steps = traced.select("_key", "_segment", "_status", "_trace", F.posexplode("_steps").alias("_index", "_step"))
     marked = steps.withColumn("_mark", F.substring("_trace", F.col("_index") + 1, F.lit(1)))
-    earlier = Window.partitionBy("_key").orderBy("_index").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("_key", "_segment").orderBy("_index").rowsBetween(Window.unboundedPreceding, -1)
     applied = F.last(F.when(F.col("_mark") == "a", F.col("_step._to")), ignorenulls=True).over(earlier)
     verdict = (
         F.when(F.col("_mark") == "a", "applied")
@@ -67,48 +181,10 @@ def _fold(facts: DataFrame, transitions: Transitions, initial: str) -> DataFrame
         .when(F.col("_mark") == "i", "invalid")
         .otherwise("same_key")
     )
-    judged = marked.withColumn("current_status", F.coalesce(applied, F.lit(initial))).withColumn("verdict", verdict)
+    judged = marked.withColumn("current_status", F.coalesce(applied, "_status", F.lit(initial))).withColumn("verdict", verdict)
     return judged.select("_step._row.*", "current_status", "verdict")
 
 
-def _rounds(facts: DataFrame, transitions: Transitions, initial: str, hot_rows: int) -> DataFrame:
-    """Judge entities with many events, by rounds of minima."""
-    rounds = longest_path(transitions, initial)
-    hot = skew.hot_keys(facts, ["_key"], min_rows=hot_rows)
-    salted = skew.add_salt(facts, ["_key"], hot)
-    narrow = salted.select("_key", "_salt", "_at", "_to", "_token")
-    candidate = F.struct("_at", "_to", "_token")
-
-    def earliest(joined: DataFrame, valid: Column) -> DataFrame:
-        partial = joined.groupBy("_key", "_salt").agg(
-            F.min(F.when(valid, candidate)).alias("_next"), F.any_value("_history").alias("_history")
-        )
-        step = partial.groupBy("_key").agg(F.min("_next").alias("_next"), F.any_value("_history").alias("_history"))
-        grown = F.when(F.col("_next").isNotNull(), F.concat("_history", F.array("_next"))).otherwise(F.col("_history"))
-        return skew.add_all_salts(step.select("_key", grown.alias("_history")), ["_key"], hot)
-
-    nothing = F.filter(F.array(candidate), lambda _: F.lit(False))
-    state = earliest(narrow.withColumn("_history", nothing), _allowed(transitions, F.lit(initial), F.col("_to")))
-    last = F.try_element_at("_history", F.lit(-1))
-    repeats_last = F.coalesce(F.col("_token") == last["_token"], F.lit(False))
-    later = (F.size("_history") > 0) & (F.col("_at") > last["_at"])
-    for _ in range(rounds - 1):
-        joined = skew.keyed_join(narrow, state, ["_key", "_salt"], null_safe=True)
-        state = earliest(joined, later & _allowed(transitions, last["_to"], F.col("_to")) & ~repeats_last)
-
-    judged = skew.keyed_join(salted, state, ["_key", "_salt"], null_safe=True)
-    before = F.try_element_at(F.filter("_history", lambda step: step["_at"] < F.col("_at")), F.lit(-1))
-    is_applied = F.exists("_history", lambda step: step["_at"] == F.col("_at"))
-    verdict = (
-        F.when(is_applied, "applied")
-        .when(F.col("current_status") == F.col("_to"), "same_state")
-        .when(~_allowed(transitions, F.col("current_status"), F.col("_to")), "invalid")
-        .otherwise("same_key")
-    )
-    judged = judged.withColumn("current_status", F.coalesce(before["_to"], F.lit(initial))).withColumn("verdict", verdict)
-    return judged.select("_row.*", "current_status", "verdict")
-
-
 def state_transition_check(
     events: DataFrame,
     key: str,
@@ -118,29 +194,41 @@ def state_transition_check(
     transitions: Transitions = V.ORDER_TRANSITIONS,
     initial: str = V.INITIAL_STATUS,
     max_rows: int = 2_000,
-    hot_rows: int = skew.HOT_ROWS,
+    fanout: int = FANOUT,
 ) -> DataFrame:
     """Judge every requested transition.
 
     Adds ``current_status`` and ``verdict``: ``applied``, ``same_state``,
     ``invalid`` or ``same_key`` (checked in that order of precedence: state,
-    validity, then the last applied key). ``order`` is unique per entity. One
-    counting job finds entities with more than ``max_rows`` events; those need
-    a transition table without cycles, and their events, which every round
-    reads, are written once to the session's shared folder.
+    validity, then the last applied key). ``order`` is unique per entity; rows
+    whose order repeats are taken in an order of Spark's choice.
+
+    Runs jobs: the ranged events are written to the session's shared folder,
+    and whether any entity has several segments of ``max_rows`` is looked up;
+    only those segments that another follows need a map. ``max_rows`` and
+    ``fanout`` bound groups and do not change the result.
     """
+    table = _Table(transitions, initial)
     token = F.lit(None).cast("string") if idempotency_key is None else F.col(idempotency_key).cast("string")
     facts = events.select(
         F.col(key).alias("_key"),
         F.struct(*[F.col(name).alias(f"o{i}") for i, name in enumerate(order)]).alias("_at"),
         F.col(status).alias("_to"),
+        table.number(F.col(status)).alias("_number"),
         F.nullif(token, F.lit("")).alias("_token"),
         F.struct(*events.columns).alias("_row"),
     )
-    large = facts.groupBy("_key").agg(F.count("*").alias("_n")).filter(F.col("_n") > max_rows)
-    if large.isEmpty():
-        return _fold(facts, transitions, initial)
-    sized = skew.lookup_join(facts, large, ["_key"], "left", null_safe=True, min_rows=hot_rows)
-    few = sized.filter(F.col("_n").isNull()).drop("_n")
-    many = materialize(sized.filter(F.col("_n").isNotNull()).drop("_n"), "large-entities")
-    return _fold(few, transitions, initial).unionByName(_rounds(many, transitions, initial, hot_rows))
+    cut = cut_segments(facts, ["_key"], ["_at"], max_rows, "transition-events")
+    own = ["_key", "_segment"]
+    steps = F.array_sort(F.collect_list(F.struct("_at", "_to", "_number", "_token", "_row")))
+    segments = cut.groupBy(*own).agg(steps.alias("_steps"))
+    pieces = cut.groupBy(*own).agg(F.lit(1).alias("_one")).groupBy("_key").agg(F.count("*").alias("_n")).where("_n > 1").select("_key")
+    if pieces.isEmpty():
+        entered = segments.withColumns({"_status": F.lit(initial), "_held": F.lit(None).cast("string")})
+    else:
+        several = skew.keyed_join(cut.select(*own, "_at", "_number", "_token"), pieces, ["_key"], "left_semi", null_safe=True)
+        narrow = F.array_sort(F.collect_list(F.struct("_at", "_number", "_token")))
+        maps = several.groupBy(*own).agg(narrow.alias("_steps")).select(*own, _segment_map(F.col("_steps"), table).alias("_map"))
+        states = _entry_states(maps, table, fanout)
+        entered = skew.keyed_join(segments, states, own, "left", null_safe=True).withColumn("_status", F.coalesce("_status", F.lit(initial)))
+    return _fold(entered, table, initial)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import values as V
-from millrace.operators import idempotent, ranking, transitions, versions
+from millrace.operators import segments, idempotent, ranking, transitions, versions
 from millrace.sources.tables import VersionedTable, partition_overwrite
 
 
@@ -29,9 +29,10 @@ def judge_transitions(events, table, initial):
 
 
 @pytest.mark.parametrize(
-    ("seed", "max_rows", "hot_rows"), [(0, 2000, 10**6), (1, 2000, 10**6), (2, 0, 10**6), (3, 0, 20), (4, 60, 10**6), (5, 60, 20)]
+    ("seed", "max_rows", "fanout"), [(0, 2000, 256), (1, 2000, 256), (2, 1, 2), (3, 5, 3), (4, 60, 256), (5, 7, 4)]
 )
-def test_transitions_agree_with_brute_force(spark, seed, max_rows, hot_rows):
+@pytest.mark.parametrize("cyclic", [False, True])
+def test_transitions_agree_with_brute_force(spark, seed, max_rows, fanout, cyclic):
     rng = random.Random(seed)
     statuses = [*V.ORDER_TRANSITIONS, "unknown"]
     events = [
@@ -39,9 +40,14 @@ def test_transitions_agree_with_brute_force(spark, seed, max_rows, hot_rows):
         for position in range(300)
     ]
     df = spark.createDataFrame(events, "entity int, position int, wanted string, token string")
-    judged = transitions.state_transition_check(df, "entity", "wanted", ["position"], "token", max_rows=max_rows, hot_rows=hot_rows)
+    table = dict(V.ORDER_TRANSITIONS)
+    if cyclic:
+        table |= {"delivered": ["shipped", "returned"], "returned": ["pending"], "cancelled": ["confirmed"]}
+    judged = transitions.state_transition_check(
+        df, "entity", "wanted", ["position"], "token", transitions=table, max_rows=max_rows, fanout=fanout
+    )
     got = {(r.entity, r.position): (r.current_status, r.verdict) for r in judged.collect()}
-    assert got == judge_transitions(events, V.ORDER_TRANSITIONS, "pending")
+    assert got == judge_transitions(events, table, "pending")
 
 
 def test_shorter_transition_table_is_an_argument(spark, rows):
@@ -51,20 +57,26 @@ def test_shorter_transition_table_is_an_argument(spark, rows):
     assert rows(judged, "p", "verdict") == [(1, "applied"), (2, "applied"), (3, "invalid")]
 
 
-@pytest.mark.parametrize("max_rows", [2000, 0])
+@pytest.mark.parametrize("max_rows", [2000, 2])
 def test_entities_that_never_start_are_all_invalid(spark, rows, max_rows):
     df = spark.createDataFrame([(n % 9, n, "returned") for n in range(90)], "e int, p int, w string").repartition(4)
-    judged = transitions.state_transition_check(df, "e", "w", ["p"], max_rows=max_rows, hot_rows=5)
+    judged = transitions.state_transition_check(df, "e", "w", ["p"], max_rows=max_rows)
     assert set(rows(judged, "current_status", "verdict")) == {("pending", "invalid")}
 
 
-def test_cyclic_transition_table_needs_small_entities(spark, rows):
+@pytest.mark.parametrize("max_rows", [10, 5, 1])
+def test_cyclic_transition_tables_work_at_every_segment_size(spark, rows, max_rows):
     cyclic = {"a": ["b"], "b": ["a"]}
-    df = spark.createDataFrame([(1, n, "ba"[n % 2]) for n in range(6)], "e int, p int, w string")
-    judged = transitions.state_transition_check(df, "e", "w", ["p"], transitions=cyclic, initial="a")
+    df = spark.createDataFrame([(1, n, "ba"[n % 2]) for n in range(8)], "e int, p int, w string")
+    judged = transitions.state_transition_check(df, "e", "w", ["p"], transitions=cyclic, initial="a", max_rows=max_rows)
     assert set(rows(judged, "verdict")) == {("applied",)}
-    with pytest.raises(ValueError, match="cycle"):
-        transitions.state_transition_check(df, "e", "w", ["p"], transitions=cyclic, initial="a", max_rows=5)
+
+
+def test_segments_are_cut_by_rank(spark, rows):
+    df = spark.createDataFrame([("k", n if n < 500 else 10**12) for n in range(501)], "k string, p bigint")
+    cut = segments.cut_segments(df, ["k"], ["p"], 50, "test")
+    sizes = cut.groupBy("_segment").count().collect()
+    assert max(r["count"] for r in sizes) <= 50 and len(sizes) >= 11
 
 
 def judge_versions(updates, start):

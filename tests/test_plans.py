@@ -120,17 +120,24 @@ def test_trailing_velocity_of_a_hot_user(hot):
         assert got[(user, ts)] == expected
 
 
-def test_late_rows_do_not_depend_on_the_chunk_size(hot, rows):
+def test_late_rows_do_not_depend_on_the_partitions(spark, hot, rows):
     data, df = hot
     seen, late = None, set()
     for event, ts, _, _ in data:
         if seen is not None and ts < seen - timedelta(minutes=10):
             late.add(event)
         seen = ts if seen is None else max(seen, ts)
-    for size in (1, 7, 10**6):
-        on_time, rejected = lateness.late_data_split(df, "ts", "event", "10 minutes", size)
-        assert {r.event for r in rejected.collect()} == late
-        assert on_time.count() == len(data) - len(late)
+    on_time, rejected = lateness.late_data_split(df, "ts", "event", "10 minutes")
+    assert {r.event for r in rejected.collect()} == late
+    assert on_time.count() == len(data) - len(late)
+
+
+def test_rows_without_an_arrival_are_kept(spark, rows):
+    data = [(1, "2024-01-01 12:00:00"), (None, "2024-01-02 00:00:00"), (2, "2024-01-01 11:00:00"), (None, None)]
+    df = spark.createDataFrame(data, "arrival int, at string").withColumn("ts", F.col("at").cast("timestamp_ntz"))
+    on_time, late = lateness.late_data_split(df, "ts", "arrival", "10 minutes")
+    assert rows(late, "arrival") == [(2,)]
+    assert len(rows(on_time, "arrival", "watermark")) == 3 and (None, None) in rows(on_time, "arrival", "watermark")
 
 
 def test_orphans_with_a_hot_null_key(spark, rows):
