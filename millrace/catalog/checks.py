@@ -105,7 +105,7 @@ def uniqueness_report(spark, sf):
 
 @query(
     "referential_report",
-    f"""WITH o AS (SELECT o_custkey, o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) AS known
+    f"""WITH o AS (SELECT o_custkey, o_custkey IN (SELECT sign(c_acctbal) * c_custkey FROM customer) AS known
                    FROM {T.UNKEYED_ORDERS_SQL})
         SELECT count(*) AS child_rows, count(*) FILTER (NOT coalesce(known, false)) AS orphan_rows,
                count(*) FILTER (o_custkey IS NULL) AS null_key_rows,
@@ -113,7 +113,7 @@ def uniqueness_report(spark, sf):
         FROM o""",
 )
 def referential_report(spark, sf):
-    solvent = T.table(spark, sf, "customer").filter("c_acctbal > 0")
+    solvent = T.signed_customers(spark, sf)
     return quality.referential_report(T.unkeyed_orders(spark, sf), solvent, "o_custkey", "c_custkey")
 
 
@@ -176,13 +176,13 @@ def baseline_drift(spark, sf):
 
 @query(
     "completeness_report",
-    """WITH d AS (SELECT CAST(o_orderdate AS DATE) AS d FROM orders WHERE day(o_orderdate) <> 13)
+    """WITH d AS (SELECT CAST(o_orderdate AS DATE) + CAST(day(o_orderdate) = 13 AS INTEGER) AS d FROM orders)
        SELECT CAST(20000 AS BIGINT) AS expected_count, count(*) AS actual_count,
               round(greatest(20000 - count(*), 0) / 20000.0 * 100.0, 1) AS missing_pct, min(d) AS first_date,
               max(d) AS last_date, datediff('day', min(d), max(d)) + 1 - count(DISTINCT d) AS missing_dates FROM d""",
 )
 def completeness_report(spark, sf):
-    orders = T.table(spark, sf, "orders").filter(F.dayofmonth("o_orderdate") != 13)
+    orders = T.moved_orders(spark, sf)
     return quality.completeness_report(orders, F.col("o_orderdate"), 20_000)
 
 
@@ -275,10 +275,10 @@ def _chain(spark, sf):
         SELECT 1 AS step, 'nulls' AS "check", 'event_id' AS item, 0.0::DOUBLE AS measured, 'PASS' AS status
         UNION ALL SELECT 1, 'nulls', 'value', count(*) FILTER (value IS NULL),
                CASE WHEN count(*) FILTER (value IS NULL) / count(*) * 100.0 <= 5 THEN 'PASS' ELSE 'FAIL' END FROM raw
-        UNION ALL SELECT 2, 'ranges', 'user_id', count(*) FILTER (user_id NOT BETWEEN 1 AND 100000),
-               CASE WHEN count(*) FILTER (user_id NOT BETWEEN 1 AND 100000) > 0 THEN 'FAIL' ELSE 'PASS' END FROM raw
-        UNION ALL SELECT 2, 'ranges', 'value', count(*) FILTER (value NOT BETWEEN 0 AND 400),
-               CASE WHEN count(*) FILTER (value NOT BETWEEN 0 AND 400) > 0 THEN 'FAIL' ELSE 'PASS' END
+        UNION ALL SELECT 2, 'ranges', 'user_id', count(*) FILTER ((user_id BETWEEN 1 AND 100000) IS NOT TRUE),
+               CASE WHEN count(*) FILTER ((user_id BETWEEN 1 AND 100000) IS NOT TRUE) > 0 THEN 'FAIL' ELSE 'PASS' END FROM raw
+        UNION ALL SELECT 2, 'ranges', 'value', count(*) FILTER ((value BETWEEN 0 AND 400) IS NOT TRUE),
+               CASE WHEN count(*) FILTER ((value BETWEEN 0 AND 400) IS NOT TRUE) > 0 THEN 'FAIL' ELSE 'PASS' END
                FROM raw WHERE user_id BETWEEN 1 AND 100000
         UNION ALL SELECT 3, 'uniqueness', 'user_id,event_id', (SELECT count(*) FROM ranged) - count(*),
                CASE WHEN (SELECT count(*) FROM ranged) > count(*) THEN 'FAIL' ELSE 'PASS' END FROM deduped
@@ -345,10 +345,11 @@ def run_health(spark, sf):
 
 @query(
     "reconcile_tables",
-    f"""WITH a AS (SELECT event_id, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS v FROM events
-                   WHERE event_type <> 'view' GROUP BY event_id),
-             b AS (SELECT event_id, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS v FROM {T.DIRTY_SQL}
-                   WHERE event_type <> 'click' GROUP BY event_id)
+    f"""WITH a AS (SELECT CASE WHEN event_type = 'view' THEN -1 - event_id ELSE event_id END AS event_id, count(*) AS n,
+                          CAST(sum(CAST(value AS DECIMAL(28,9)) + CAST(0.001 AS DECIMAL(28,9))) AS DOUBLE) AS v FROM events GROUP BY 1),
+             b AS (SELECT CASE WHEN event_type = 'click' THEN -1 - event_id ELSE event_id END AS event_id, count(*) AS n,
+                          CAST(sum(CAST(value AS DECIMAL(28,9)) + CAST(CASE WHEN event_id % 3 = 0 THEN 0.004 ELSE 0.001 END AS DECIMAL(28,9)))
+                               AS DOUBLE) AS v FROM {T.DIRTY_SQL} GROUP BY 1)
         SELECT * FROM (
           SELECT coalesce(a.event_id, b.event_id) AS event_id, coalesce(a.n, 0) AS left_rows, coalesce(b.n, 0) AS right_rows,
                  a.v AS left_value, b.v AS right_value,
@@ -357,8 +358,15 @@ def run_health(spark, sf):
           FROM a FULL OUTER JOIN b ON a.event_id = b.event_id) WHERE status IS NOT NULL""",
 )
 def reconcile_tables(spark, sf):
-    left = T.events(spark, sf).filter("event_type <> 'view'")
-    right = T.dirty_events(spark, sf).filter("event_type <> 'click'")
+    """Some ids exist on one side only, some values differ below a cent."""
+    def side(events, kind, extra):
+        moved = F.when(F.col("event_type") == kind, -1 - F.col("event_id")).otherwise(F.col("event_id"))
+        value = F.col("value").cast("decimal(28,9)") + extra.cast("decimal(28,9)")
+        return events.select(moved.alias("event_id"), value.cast("double").alias("value"))
+
+    cents = F.when(F.col("event_id") % 3 == 0, 0.004).otherwise(0.001)
+    left = side(T.events(spark, sf), "view", F.lit(0.001))
+    right = side(T.dirty_events(spark, sf), "click", cents)
     return quality.reconcile_tables(left, right, ["event_id"], ["value"])
 
 
@@ -479,9 +487,10 @@ def run_summary(spark, sf):
 @query(
     "recommend_with_fallback",
     f"""WITH i AS {T.ITEMS_SQL},
-          m AS (SELECT user_id, item, count(*) AS n FROM i WHERE event_type = 'purchase' AND value > 60 GROUP BY user_id, item
+          w AS (SELECT CASE WHEN value > 60 THEN user_id ELSE -user_id END AS user_id, item, event_type FROM i),
+          m AS (SELECT user_id, item, count(*) AS n FROM w WHERE event_type = 'purchase' GROUP BY user_id, item
                 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC, item) <= 3),
-          r AS (SELECT user_id, item, count(*) AS n FROM i WHERE event_type = 'view' AND value > 60 GROUP BY user_id, item
+          r AS (SELECT user_id, item, count(*) AS n FROM w WHERE event_type = 'view' GROUP BY user_id, item
                 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC, item) <= 3),
           p AS (SELECT item, count(*) AS n FROM i GROUP BY item ORDER BY n DESC, item LIMIT 3),
           ml AS (SELECT user_id, array_to_string(list(item ORDER BY n DESC, item), ',') AS l FROM m GROUP BY user_id),
@@ -493,7 +502,8 @@ def run_summary(spark, sf):
 )
 def recommend_with_fallback(spark, sf):
     items = T.items(spark, sf)
-    strong = items.filter("value > 60")
+    # Weak events count for users that nobody serves, so that some users lack a level.
+    strong = items.withColumn("user_id", F.when(F.col("value") > 60, F.col("user_id")).otherwise(-F.col("user_id")))
     model = deadletter.top_items_per_user(strong.filter("event_type = 'purchase'"), "user_id", "item")
     rules = deadletter.top_items_per_user(strong.filter("event_type = 'view'"), "user_id", "item")
     users = T.table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"))

@@ -53,6 +53,17 @@ def items(spark: SparkSession, sf: str) -> DataFrame:
     return events(spark, sf).withColumn("item", F.get_json_object("props", "$.k")).drop("props")
 
 
+def moved_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders of the 13th a day later, so that every 13th is missing."""
+    late = (F.dayofmonth("o_orderdate") == 13).cast("int")
+    return table(spark, sf, "orders").withColumn("o_orderdate", F.date_add("o_orderdate", late))
+
+
+def signed_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers whose key carries the sign of their balance: orders of the others lack a parent."""
+    return table(spark, sf, "customer").withColumn("c_custkey", (F.signum("c_acctbal") * F.col("c_custkey")).cast("bigint"))
+
+
 DIRTY_SQL = """(
   SELECT event_id, ts, user_id, event_type,
          CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 23 = 0 THEN -value ELSE value END AS value,

@@ -100,12 +100,9 @@ def incremental_timestamp(spark, sf):
 )
 def incremental_watermark(spark, sf):
     orders = T.table(spark, sf, "orders")
-    end = orders.agg(F.max("o_orderdate")).scalar()
     later = loads.incremental_timestamp(orders, "o_orderdate", T.timestamp("1998-01-01 00:00:00"))[1]
     first = loads.incremental_timestamp(orders, "o_orderdate", None)[1]
-    empty = orders.filter(F.col("o_orderdate") > end).agg(
-        F.coalesce(F.max("o_orderdate"), end).alias("watermark"), F.count("*").alias("rows")
-    )
+    empty = loads.incremental_timestamp(orders, "o_orderdate", F.lit(first.first()["watermark"]))[1]
     return (
         later.select(F.lit("later").alias("load"), "*")
         .unionByName(first.select(F.lit("first").alias("load"), "*"))
@@ -473,19 +470,16 @@ def version_gated_update(spark, sf):
     return versions.version_gated_update(_version_updates(spark, sf), "user_id", "expected", ["event_id"])
 
 
-@query(
-    "apply_one_update",
-    """WITH t AS (SELECT c_custkey AS id, c_name AS name, CAST(c_nationkey % 3 AS BIGINT) AS version FROM customer),
+ONE_UPDATE_SQL = """WITH t AS (SELECT c_custkey AS id, c_name AS name, CAST(c_nationkey % 3 AS BIGINT) AS version FROM customer),
             u AS (SELECT user_id AS id, event_type AS name, event_id % 3 AS expected FROM events
                   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1),
-            j AS (SELECT coalesce(t.id, u.id) AS id, coalesce(t.version, 0) AS version, t.name AS old, u.name AS new, expected
-                  FROM t FULL OUTER JOIN u ON t.id = u.id),
+            j AS (SELECT coalesce(t.id, u.id) AS id, t.id IS NOT NULL AS known, coalesce(t.version, 0) AS version,
+                         t.name AS old, u.name AS new, expected FROM t FULL OUTER JOIN u ON t.id = u.id),
             r AS (SELECT *, CASE WHEN expected IS NULL THEN 'untouched' WHEN version > expected THEN 'already_updated'
-                                 WHEN version < expected THEN 'conflict' ELSE 'applied' END AS verdict FROM j)
-       SELECT id, CASE WHEN verdict = 'applied' THEN version + 1 ELSE version END AS version,
-              CASE WHEN verdict = 'applied' THEN new ELSE old END AS name, verdict FROM r""",
-)
-def apply_one_update(spark, sf):
+                                 WHEN version < expected THEN 'conflict' ELSE 'applied' END AS verdict FROM j)"""
+
+
+def _one_update(spark, sf):
     target = T.table(spark, sf, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), (F.col("c_nationkey") % 3).cast("bigint").alias("version")
     )
@@ -495,6 +489,20 @@ def apply_one_update(spark, sf):
     return idempotent.apply_one_update(target, latest, "id", "expected", ["name"])
 
 
+@query(
+    "apply_one_update",
+    f"""{ONE_UPDATE_SQL} SELECT id, CASE WHEN verdict = 'applied' THEN version + 1 ELSE version END AS version,
+              CASE WHEN verdict = 'applied' THEN new ELSE old END AS name FROM r WHERE known OR verdict = 'applied'""",
+)
+def apply_one_update(spark, sf):
+    return _one_update(spark, sf)[0]
+
+
+@query("apply_one_update_verdicts", f"{ONE_UPDATE_SQL} SELECT id, verdict FROM r WHERE verdict <> 'untouched'")
+def apply_one_update_verdicts(spark, sf):
+    return _one_update(spark, sf)[1]
+
+
 @query(
     "offset_ledger_apply",
     f"""WITH seen AS (SELECT event_id, "partition", "offset" FROM {T.MESSAGES_SQL} WHERE event_type = 'view'),

@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
+SCALE = 9  # decimals kept by exact sums of columns that need not be money
 
 
 def as_column(value: Column | str) -> Column:
@@ -20,6 +21,11 @@ def money_sum(value: Column | str) -> Column:
     return F.sum(as_column(value).cast(MONEY)).cast("double")
 
 
+def exact(value: Column | str, scale: int = SCALE) -> Column:
+    """A number as a decimal, so that its sums do not depend on row order."""
+    return as_column(value).cast(f"decimal(28,{scale})")
+
+
 def money_avg(value: Column | str) -> Column:
     """Mean of amounts from an exact sum."""
     column = as_column(value)

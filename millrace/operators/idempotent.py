@@ -18,21 +18,22 @@ from millrace.session import materialize
 def merge_upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -> DataFrame:
     """Update matched keys, insert the others; without a target, create it.
 
-    The source shrinks to one row per key. Untouched target rows pass through
+    NULL matches NULL in a key, so that repeating a merge changes nothing. The
+    source shrinks to one row per key. Untouched target rows pass through
     an anti-join against the source's keys: when those are few the join
     broadcasts them and the target is not shuffled.
     """
     updates = ranking.dedup_keep_latest(source, keys, latest_by)
     if target is None:
         return updates
-    kept = target.join(updates.select(*keys), list(keys), "left_anti")
+    kept = skew.keyed_join(target, updates.select(*keys), keys, "left_anti", null_safe=True)
     return kept.unionByName(updates, allowMissingColumns=True)
 
 
 def merge_into(table: str, source: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -> None:
     """The same upsert as a row-level MERGE, for catalogs whose tables allow it."""
     updates = ranking.dedup_keep_latest(source, keys, latest_by).alias("source")
-    matched = C.all_of([F.expr(f"{table}.{key} = source.{key}") for key in keys])
+    matched = C.all_of([F.expr(f"{table}.{key} <=> source.{key}") for key in keys])
     updates.mergeInto(table, matched).whenMatched().updateAll().whenNotMatched().insertAll().merge()
 
 
@@ -52,9 +53,9 @@ def latest_changes(changes: DataFrame, key: str, order: Sequence[str]) -> DataFr
 
 
 def cdc_apply(target: DataFrame, changes: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """Apply create, update, snapshot-read and delete events to a table."""
+    """Apply create, update, snapshot-read and delete events to a table; NULL matches NULL in the key."""
     last = latest_changes(changes, key, order)
-    kept = target.join(last.select(F.col("_key").alias(key)), key, "left_anti")
+    kept = skew.keyed_join(target, last.select(F.col("_key").alias(key)), [key], "left_anti", null_safe=True)
     upserts = last.filter(F.col("op").isin("c", "u", "r")).select("after.*")
     return kept.unionByName(upserts, allowMissingColumns=True)
 
@@ -81,17 +82,21 @@ def content_hash_dedup(df: DataFrame, content: Sequence[str], first_by: Sequence
     return ranking.dedup_keep_first(hashed, ["content_hash"], first_by)
 
 
-def apply_one_update(target: DataFrame, updates: DataFrame, key: str, expected: str, values: Sequence[str]) -> DataFrame:
-    """Version-gated update with at most one update per key.
+def apply_one_update(
+    target: DataFrame, updates: DataFrame, key: str, expected: str, values: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """Version-gated update with at most one update per key; return the new table and the verdicts.
 
-    ``target`` has ``version``; a key it lacks is at version 0. Adds
-    ``verdict``: ``applied``, ``already_updated`` (current is newer),
-    ``conflict`` (current is older), or ``untouched``.
+    ``target`` has ``version``; a key it lacks is at version 0. A verdict, one
+    per update, is ``applied``, ``already_updated`` (current is newer) or
+    ``conflict`` (current is older). A rejected update changes nothing, also
+    for a key that the target lacks.
     """
     proposed = updates.select(
         key, F.col(expected).alias("_expected"), *[F.col(name).alias(f"_new_{name}") for name in values]
     )
-    joined = target.join(proposed, key, "full_outer").withColumn("version", F.coalesce("version", F.lit(0).cast("bigint")))
+    known = target.withColumn("_known", F.lit(True))
+    joined = known.join(proposed, key, "full_outer").withColumn("version", F.coalesce("version", F.lit(0).cast("bigint")))
     verdict = (
         F.when(F.col("_expected").isNull(), "untouched")
         .when(F.col("version") > F.col("_expected"), "already_updated")
@@ -99,12 +104,13 @@ def apply_one_update(target: DataFrame, updates: DataFrame, key: str, expected:
         .otherwise("applied")
     )
     applied = F.col("verdict") == "applied"
-    return joined.withColumn("verdict", verdict).select(
+    judged = joined.withColumn("verdict", verdict)
+    table = judged.filter(applied | F.col("_known")).select(
         key,
         F.when(applied, F.col("version") + 1).otherwise(F.col("version")).alias("version"),
         *[F.when(applied, F.col(f"_new_{name}")).otherwise(F.col(name)).alias(name) for name in values],
-        "verdict",
     )
+    return table, judged.filter(F.col("verdict") != "untouched").select(key, "verdict")
 
 
 def offset_ledger_apply(

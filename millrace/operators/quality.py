@@ -332,15 +332,18 @@ def run_health(run_log: DataFrame, keys: Sequence[str], as_of: Column) -> DataFr
     )
 
 
-def reconcile_tables(left: DataFrame, right: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+def reconcile_tables(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], values: Sequence[str], scale: int = C.SCALE
+) -> DataFrame:
     """Keys that differ between two systems, with the kind of difference.
 
-    Both sides shrink to one row per key and are merged by a grouped union, so
+    Values are compared to ``scale`` decimals, as exact sums that do not depend
+    on row order; only the sums shown are doubles. Both sides shrink to one row per key and are merged by a grouped union, so
     neither a full outer join nor a hot key's raw rows are needed.
     """
     def side(df: DataFrame, mine: str, other: str) -> DataFrame:
-        sums = [F.sum(F.col(name).cast(C.MONEY)).alias(f"{mine}_{name}") for name in values]
-        empty = [F.lit(None).cast("decimal(28,2)").alias(f"{other}_{name}") for name in values]
+        sums = [F.sum(C.exact(name, scale)).alias(f"{mine}_{name}") for name in values]
+        empty = [F.lit(None).cast(f"decimal(38,{scale})").alias(f"{other}_{name}") for name in values]
         return (
             df.groupBy(*keys)
             .agg(F.count("*").alias(f"{mine}_rows"), *sums)
@@ -354,9 +357,10 @@ def reconcile_tables(left: DataFrame, right: DataFrame, keys: Sequence[str], val
         .agg(
             F.sum("left_rows").alias("left_rows"),
             F.sum("right_rows").alias("right_rows"),
-            *[F.sum(f"{s}_{name}").cast("double").alias(f"{s}_{name}") for name in values for s in ("left", "right")],
+            *[F.sum(f"{s}_{name}").alias(f"{s}_{name}") for name in values for s in ("left", "right")],
         )
     )
+    shown = {f"{s}_{name}": F.col(f"{s}_{name}").cast("double") for name in values for s in ("left", "right")}
     same_values = C.all_of([F.col(f"left_{name}").eqNullSafe(F.col(f"right_{name}")) for name in values])
     status = (
         F.when(F.col("right_rows") == 0, "only_left")
@@ -364,7 +368,7 @@ def reconcile_tables(left: DataFrame, right: DataFrame, keys: Sequence[str], val
         .when(F.col("left_rows") != F.col("right_rows"), "count_differs")
         .when(~same_values, "value_differs")
     )
-    return merged.withColumn("status", status).filter(F.col("status").isNotNull())
+    return merged.withColumn("status", status).filter(F.col("status").isNotNull()).withColumns(shown)
 
 
 def _slice_number(value: Column, cuts: Sequence[float], first: int = 0) -> Column:
@@ -461,11 +465,10 @@ def value_histogram(df: DataFrame, column: str, width: float) -> DataFrame:
     )
 
 
-def daily_trend(df: DataFrame, date: Column, column: str) -> DataFrame:
-    """Rows and mean per day."""
-    return df.groupBy(date.cast("date").alias("date")).agg(
-        F.count("*").alias("row_count"), C.money_avg(column).alias("mean")
-    )
+def daily_trend(df: DataFrame, date: Column, column: str, scale: int = C.SCALE) -> DataFrame:
+    """Rows and mean per day; the mean is of an exact sum to ``scale`` decimals."""
+    mean = F.try_divide(F.sum(C.exact(column, scale)).cast("double"), F.count(column).cast("double"))
+    return df.groupBy(date.cast("date").alias("date")).agg(F.count("*").alias("row_count"), mean.alias("mean"))
 
 
 @dataclass(frozen=True)
@@ -589,7 +592,7 @@ def run_all_checks(
         if ranges:
             step += 1
             report = totals.selectExpr("inline(ranges)")
-            bad = F.col("out_of_range")
+            bad = F.col("out_of_range") + F.col("null_count")  # both leave the clean rows
             parts.append(_report_rows(report, step, "ranges", F.col("column"), bad, _verdict(bad > 0)))
             df = df.filter(C.all_of([F.col(name).between(low, high) for name, (low, high) in rules.items()]))
 

@@ -65,7 +65,8 @@ def customer_features(purchases: DataFrame, as_of: Column) -> DataFrame:
 
 
 def assembler(features: Sequence[str] = FEATURES) -> VectorAssembler:
-    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    """One vector per row; a row with a missing feature stops the job instead of vanishing."""
+    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
 
 
 def train_test_split(df: DataFrame, key: str, train_pct: int = TRAIN_SHARE_PCT) -> tuple[DataFrame, DataFrame]:

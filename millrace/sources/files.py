@@ -2,25 +2,15 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
-from pyarrow.fs import FileSystem
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.operators import joins
 from millrace.session import has_data
 from millrace.sources.batch import CORRUPT, scan_json_modes
-from millrace.sources.tables import partition_overwrite
-
-
-# Largest file hashed as one value, and the step in which larger ones are read.
-HASH_BYTES = 256 * 1024 * 1024
-CHUNK_BYTES = 8 * 1024 * 1024
 
 LEDGER = "source_file string, run int, rows_ok bigint, rows_bad bigint"
 
@@ -34,96 +24,70 @@ class Inbox:
     ledger: str
 
 
-def new_file_paths(spark: SparkSession, incoming: str, ledger: DataFrame | None) -> list[str]:
-    """Paths of the files the ledger lacks.
-
-    Only names are read, not content. The driver gets the new names, a part of
-    the listing Spark's file index keeps there anyway.
-    """
+def new_files(spark: SparkSession, incoming: str, ledger: DataFrame | None) -> DataFrame:
+    """``path`` and ``source_file`` of the files the ledger lacks; only names are read, not content."""
     listed = spark.read.format("binaryFile").load(incoming)
     names = listed.select("path", F.col("_metadata.file_path").alias("source_file"))
-    fresh = names if ledger is None else joins.anti_join_ledger(names, ledger, ["source_file"])
-    return [row.path for row in fresh.select("path").collect()]
+    return names if ledger is None else joins.anti_join_ledger(names, ledger, ["source_file"])
 
 
 def batch_file_ingest(spark: SparkSession, inbox: Inbox, schema: StructType, ingested_at: Column) -> DataFrame:
-    """Ingest new files; return the ledger rows of this run, one per file with rows.
+    """Ingest new files; return the ledger rows of this run, one per file.
 
-    Old files are not opened: one read covers all new ones, however many.
+    Old files are not opened: one read covers all new ones, whose names reach
+    the driver as a part of the listing Spark's file index keeps there anyway.
     One write separates good rows (``state=ok``) from malformed ones
-    (``state=error``). It replaces the run's own partitions, and the ledger is
-    written after it: a run that dies in between is simply repeated.
+    (``state=error``). The run is one folder that a write replaces as a whole,
+    and the ledger follows it: a run that died in between is repeated under its
+    number, on whatever date. Files without rows enter the ledger too.
     """
     ledger = spark.read.parquet(inbox.ledger) if has_data(spark, inbox.ledger) else None
     run = 0 if ledger is None else ledger.agg(F.max("run")).first()[0] + 1
-    paths = new_file_paths(spark, inbox.incoming, ledger)
-    if not paths:
+    names = new_files(spark, inbox.incoming, ledger)
+    listed = [(row.path, row.source_file) for row in names.collect()]
+    if not listed:
         return spark.createDataFrame([], LEDGER)
-    rows = scan_json_modes(spark, paths, schema).withColumns(
+    rows = scan_json_modes(spark, [path for path, _ in listed], schema).withColumns(
         {
             "source_file": F.col("_metadata.file_path"),
             "ingestion_time": ingested_at,
             "state": F.when(F.col(CORRUPT).isNull(), "ok").otherwise("error"),
             "ingestion_date": ingested_at.cast("date"),
-            "run": F.lit(run),
         }
     )
-    seen = Observation("ingest")
-    partition_overwrite(rows.observe(seen, F.count("*").alias("rows")), inbox.output, ["state", "ingestion_date", "run"])
-    if seen.get["rows"] == 0:
-        return spark.createDataFrame([], LEDGER)
-    done = (
-        spark.read.parquet(inbox.output)
-        .filter(F.col("run") == run)
-        .groupBy("source_file")
-        .agg(F.count_if(F.col("state") == "ok").alias("rows_ok"), F.count_if(F.col("state") == "error").alias("rows_bad"))
-        .select("source_file", F.lit(run).alias("run"), "rows_ok", "rows_bad")
-    )
+    own = f"{inbox.output}/run={run}"
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("state", "ingestion_date").parquet(own)
+    files = spark.createDataFrame([(name,) for _, name in listed], "source_file string")
+    counts = (F.lit(0).cast("bigint").alias("rows_ok"), F.lit(0).cast("bigint").alias("rows_bad"))
+    if has_data(spark, own):
+        states = spark.read.parquet(own).groupBy("source_file").agg(
+            F.count_if(F.col("state") == "ok").alias("rows_ok"), F.count_if(F.col("state") == "error").alias("rows_bad")
+        )
+        files = files.join(states, "source_file", "left")
+        counts = (F.coalesce("rows_ok", F.lit(0)).alias("rows_ok"), F.coalesce("rows_bad", F.lit(0)).alias("rows_bad"))
+    done = files.select("source_file", F.lit(run).alias("run"), *counts)
     done.write.mode("append").parquet(inbox.ledger)
     return spark.read.parquet(inbox.ledger).filter(F.col("run") == run)
 
 
-def _hash_in_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """SHA-256 of whole files, a few megabytes at a time."""
-    for batch in batches:
-        digests = []
-        for uri in batch["uri"]:
-            source, name = FileSystem.from_uri(uri)
-            digest = hashlib.sha256()
-            with source.open_input_stream(name) as stream:
-                while chunk := stream.read(CHUNK_BYTES):
-                    digest.update(chunk)
-            digests.append(digest.hexdigest())
-        yield pd.DataFrame({"path": batch["path"], "file_hash": digests})
-
-
-def file_hashes(spark: SparkSession, incoming: str, max_bytes: int = HASH_BYTES) -> DataFrame:
+def file_hashes(spark: SparkSession, incoming: str) -> DataFrame:
     """Path and content digest of every file.
 
-    Files up to ``max_bytes`` are hashed inside the JVM, where a file is one
-    value in memory. Larger ones, which a look at the lengths finds, are read
-    in chunks, one file at a time per task; the workers reach them through
-    Arrow's file systems.
+    Files of any size take the same way: Spark's own reader, on the file
+    systems the session is configured for, and a digest inside the JVM. A file
+    is one value there, so 2 GB is the most it can hold.
     """
-    files = spark.read.format("binaryFile").load(incoming)
-    small = files.filter(F.col("length") <= max_bytes).select("path", F.sha2("content", 256).alias("file_hash"))
-    large = files.filter(F.col("length") > max_bytes).select("path", F.col("_metadata.file_path").alias("uri"))
-    if large.isEmpty():
-        return small
-    hashed = large.repartition("path").mapInPandas(_hash_in_chunks, "path string, file_hash string")
-    return small.unionByName(hashed)
-
-
-def file_hash_ingest(
-    spark: SparkSession, incoming: str, ledger: DataFrame | None, max_bytes: int = HASH_BYTES
-) -> DataFrame:
+    return spark.read.format("binaryFile").load(incoming).select("path", F.sha2("content", 256).alias("file_hash"))
+
+
+def file_hash_ingest(spark: SparkSession, incoming: str, ledger: DataFrame | None) -> DataFrame:
     """Status of every file by path and SHA-256 of its content.
 
     ``processed`` files are new or changed, ``already_processed`` ones are in
     the ledger, a table of ``(path, file_hash)``. Only the digest leaves the
     scan.
     """
-    files = file_hashes(spark, incoming, max_bytes)
+    files = file_hashes(spark, incoming)
     if ledger is None:
         return files.withColumn("status", F.lit("processed"))
     seen = ledger.select("path", "file_hash").distinct().withColumn("_seen", F.lit(True))

@@ -70,6 +70,12 @@ class WatermarkLedger:
         rows = self.spark.read.parquet(self.path).filter(F.col("table") == table)
         return rows.agg(F.max("watermark")).first()[0]
 
+    def loads(self, table: str) -> int:
+        """How many loads of the table are recorded; the number of the next one."""
+        if not has_data(self.spark, self.path):
+            return 0
+        return self.spark.read.parquet(self.path).filter(F.col("table") == table).count()
+
     def record(self, table: str, watermark: object) -> None:
         row = self.spark.createDataFrame([(table, watermark)], ["table", "watermark"])
         row.coalesce(1).write.mode("append").parquet(self.path)
@@ -87,21 +93,24 @@ def run_incremental_load(
 ) -> int:
     """Append what is new and record the watermark; return the rows loaded.
 
-    Rows and watermark come from the one write, through an observation; an
-    empty batch writes nothing to the ledger. With ``keys`` the watermark is
+    A load is one folder (``load=<number>``) that its write replaces as a whole;
+    the ledger follows it, so a load that died in between is repeated and not
+    doubled. Rows and watermark come from the one write, through an observation;
+    an empty batch writes nothing to the ledger. With ``keys`` the watermark is
     inclusive and rows already in the target are left out.
     """
-    last = ledger.last(table)
+    last, number = ledger.last(table), ledger.loads(table)
     batch, _ = incremental_timestamp(source, column, None if last is None else F.lit(last), inclusive=bool(keys))
     if keys:
         batch = ranking.dedup_keep_latest(batch, keys, [column])
         if has_data(ledger.spark, path):
-            loaded = ledger.spark.read.parquet(path).select(*keys, column)
+            loaded = ledger.spark.read.parquet(path).filter(F.col("load") < number).select(*keys, column)
             loaded = loaded if last is None else loaded.filter(F.col(column) >= F.lit(last))
             batch = batch.join(loaded, [*keys, column], "left_anti")
     seen = Observation("load")
     observed = batch.observe(seen, F.count("*").alias("rows"), F.max(column).alias("watermark"))
-    observed.withColumn("ingestion_timestamp", loaded_at).write.mode("append").partitionBy(*partition_by).parquet(path)
+    own = observed.withColumn("ingestion_timestamp", loaded_at).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    own.partitionBy(*partition_by).parquet(f"{path}/load={number}")
     rows, watermark = seen.get["rows"], seen.get["watermark"]
     if rows:
         ledger.record(table, watermark)

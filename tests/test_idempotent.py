@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import values as V
-from millrace.operators import segments, idempotent, ranking, transitions, versions
+from millrace.operators import idempotent, ranking, segments, transitions, versions
 from millrace.sources.tables import VersionedTable, partition_overwrite
 
 
@@ -125,12 +125,20 @@ def test_segment_summaries_compose(seed):
 def test_one_update_per_record(spark, rows):
     target = spark.createDataFrame([(1, 1, "a"), (2, 5, "b"), (3, 0, "c")], "k int, version bigint, v string")
     updates = spark.createDataFrame([(1, 1, "x"), (2, 4, "x"), (3, 2, "x"), (4, 0, "x")], "k int, e bigint, v string")
-    got = idempotent.apply_one_update(target, updates, "k", "e", ["v"])
-    assert rows(got, "k", "version", "v", "verdict") == [
-        (1, 2, "x", "applied"), (2, 5, "b", "already_updated"), (3, 0, "c", "conflict"), (4, 1, "x", "applied"),
+    updates = updates.unionByName(spark.createDataFrame([(5, 3, "x")], updates.schema))
+    table, verdicts = idempotent.apply_one_update(target, updates, "k", "e", ["v"])
+    assert rows(table, "k", "version", "v") == [(1, 2, "x"), (2, 5, "b"), (3, 0, "c"), (4, 1, "x")]
+    assert rows(verdicts, "k", "verdict") == [
+        (1, "applied"), (2, "already_updated"), (3, "conflict"), (4, "applied"), (5, "conflict"),
     ]
 
 
+def test_null_keys_match_in_a_merge(spark, rows):
+    target = spark.createDataFrame([(None, "old", 1), (2, "b", 1)], "k int, v string, at int")
+    merged = idempotent.merge_upsert(target, spark.createDataFrame([(None, "new", 2)], target.schema), ["k"], ["at"])
+    assert rows(merged, "k", "v") == [(2, "b"), (None, "new")]
+
+
 def test_merge_creates_then_repeats_without_change(spark, folder):
     table = VersionedTable(spark, folder + "/table")
     source = spark.createDataFrame([(1, "old", 1), (1, "new", 2), (2, "b", 1)], "k int, v string, at int")

@@ -141,13 +141,32 @@ def test_changed_content_is_processed_again(spark, folder, rows):
     assert rows(second, F.substring_index("path", "/", -1), "status") == [("a.txt", "already_processed"), ("b.txt", "processed")]
 
 
-def test_large_files_hash_like_small_ones(spark, folder, rows):
-    write_lines(folder, "a b.txt", *["line"] * 5000)
-    write_lines(folder, "b.txt", "x")
-    whole = files.file_hashes(spark, folder + "/*.txt")
-    assert whole.count() == 2
-    assert rows(files.file_hashes(spark, folder + "/*.txt", max_bytes=0)) == rows(whole)
-    assert rows(files.file_hashes(spark, folder + "/*.txt", max_bytes=100)) == rows(whole)
+def test_a_run_that_died_before_its_ledger_is_repeated_on_another_date(spark, folder, schema, rows):
+    import os
+    import shutil
+
+    inbox = files.Inbox(folder + "/in", folder + "/out", folder + "/ledger")
+    os.mkdir(inbox.incoming)
+    write_lines(inbox.incoming, "one.json", '{"id":1,"v":1.0}', '{"id":2,"v":1.0}')
+    write_lines(inbox.incoming, "empty.json")
+    files.batch_file_ingest(spark, inbox, schema, stamp("2024-01-01 00:00:00"))
+    shutil.move(inbox.ledger, folder + "/lost")
+    again = files.batch_file_ingest(spark, inbox, schema, stamp("2024-01-02 00:00:00"))
+    assert rows(again, "rows_ok", "rows_bad") == [(0, 0), (2, 0)]
+    assert spark.read.parquet(inbox.output).count() == 2
+    assert files.batch_file_ingest(spark, inbox, schema, stamp()).count() == 0
+
+
+def test_a_load_that_died_before_its_ledger_is_repeated(spark, folder):
+    import shutil
+
+    source = spark.createDataFrame([(1, datetime(2024, 1, 1)), (2, datetime(2024, 1, 2))], "id int, at timestamp_ntz")
+    ledger = loads.WatermarkLedger(spark, folder + "/ledger")
+    args = ("at", ledger, "orders", folder + "/orders", stamp("2024-02-01 00:00:00"))
+    assert loads.run_incremental_load(source, *args) == 2
+    shutil.move(folder + "/ledger", folder + "/lost")
+    assert loads.run_incremental_load(source, *args) == 2
+    assert spark.read.parquet(folder + "/orders").count() == 2
 
 
 def test_snapshot_and_evolution(spark, rows):
