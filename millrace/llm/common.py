@@ -112,7 +112,8 @@ def attach(
     may_match = placed.where(marked).select(*rows.columns)
     renamed = found.select(F.col("key").alias(other_key), F.col("version").alias(other_version), *[F.col(o).alias(n) for o, n in zip(payload, names)])
     same = F.col(key).eqNullSafe(F.col(other_key)) & (version == F.col(other_version))
-    joined = may_match.join(renamed, same, "inner" if inner else "left").drop(other_key, other_version)
+    # Sort-merge at every size: a plan that turns with the size of what was found is hard to foresee, and it splits hot keys.
+    joined = may_match.join(renamed.hint("merge"), same, "inner" if inner else "left").drop(other_key, other_version)
     if inner:
         return joined, names
     nothing = [F.lit(None).cast(found.schema[o].dataType).alias(n) for o, n in zip(payload, names)]

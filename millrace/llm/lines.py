@@ -85,7 +85,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", window
     ).select("key", "version", "chunk.*")
     chunks = scratch.write("chunks", found)
     many = chunks.groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low != high")
-    suspects = chunks.join(scratch.write("many", many.select("hash")), "hash", "left_semi")
+    suspects = chunks.join(scratch.write("many", many.select("hash")).hint("merge"), "hash", "left_semi")
     by_row = scratch.write("suspects", suspects.groupBy("key", "version").agg(F.collect_set(F.struct("first", "last")).alias("chunks")))
 
     matched, (held,) = attach(rows, "key", F.col("version"), by_row, scratch, inner=True)
@@ -95,7 +95,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", window
     texts = scratch.write("texts", texts)
     equal = texts.groupBy("bytes").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low != high")
     equal = scratch.write("equal", equal.select("bytes", "low"))
-    removed = texts.join(equal, "bytes").where(place != F.col("low"))
+    removed = texts.join(equal.hint("merge"), "bytes").where(place != F.col("low"))
     removed = scratch.write("removed", removed.groupBy("key", "version").agg(F.collect_set(F.struct("first", "last")).alias("chunks")))
     joined, (gone,) = attach(docs, key, F.xxhash64(text), removed, scratch)
 
