@@ -268,8 +268,8 @@ def max_event_time(spark, sf):
     "collect_recent_items",
     f"""WITH e AS (SELECT *, time_bucket(INTERVAL 1 DAY, ts) AS w,
                    count(item) OVER (PARTITION BY user_id, time_bucket(INTERVAL 1 DAY, ts)) AS n FROM {T.ITEMS_SQL}),
-             p AS (SELECT *, CAST(('0x' || substr(sha256(CAST(event_id AS VARCHAR)), 1, 8)) AS BIGINT)
-                   % greatest(1, CAST(ceil(n / 4.0) AS BIGINT)) AS part FROM e)
+             p AS (SELECT *, CASE WHEN item IS NULL THEN 0 ELSE (row_number() OVER (
+                     PARTITION BY user_id, w, item IS NULL ORDER BY ts, event_id) - 1) // 4 END AS part FROM e)
         SELECT w AS window_start, user_id, part, array_to_string(list(item ORDER BY ts, event_id), ',') AS recent_items,
                n AS interaction_count FROM p GROUP BY w, user_id, part, n""",
 )

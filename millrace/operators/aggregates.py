@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import columns as C
-from millrace.operators import skew
+from millrace.operators import segments, skew
 
 
 def daily_sales_summary(
@@ -120,27 +120,27 @@ def max_event_time(df: DataFrame, column: str) -> DataFrame:
 def item_entries(
     events: DataFrame, ts: str, user: str, item: str, event: str, size: str = "30 minutes", part_rows: int = 10_000
 ) -> DataFrame:
-    """``(ts, event, item)`` entries per window and user, in numbered parts.
+    """``(ts, event, item)`` entries per window and user, in parts numbered from 0 in event order.
 
-    A group up to ``part_rows`` is one part. A larger one is spread over parts
-    of about that size by a hash of the event id, so no array grows with a hot
-    user and no item is dropped. Entries are in event order within a part.
+    A part holds ``part_rows`` entries, the last one fewer: contiguous, so the
+    recent ones are in the highest parts, and of a grain that does not change
+    with the group's size. A group without items has one empty part. Runs a job
+    that writes the ranged entries to the session's shared folder.
     """
     entry = F.struct(F.col(ts).alias("ts"), F.col(event).alias("event"), F.col(item).cast("string").alias("item"))
     windowed = events.select(
         F.window(ts, size)["start"].alias("window_start"),
         F.col(user).alias("user_id"),
-        F.col(event).alias("_event"),
         F.when(F.col(item).isNotNull(), entry).alias("_entry"),
     )
-    counts = windowed.groupBy("window_start", "user_id").agg(F.count("_entry").alias("interaction_count"))
-    parts = F.greatest(F.lit(1), F.ceil(F.col("interaction_count") / part_rows))
-    return (
-        skew.lookup_join(windowed, counts, ["window_start", "user_id"], null_safe=True)
-        .withColumn("part", C.hash_bucket("_event", parts))
-        .repartition("window_start", "user_id", "part")
-        .groupBy("window_start", "user_id", "part")
-        .agg(F.array_sort(F.collect_list("_entry")).alias("entries"), F.first("interaction_count").alias("interaction_count"))
+    group = ["window_start", "user_id"]
+    counts = windowed.groupBy(*group).agg(F.count("_entry").alias("interaction_count"))
+    cut = segments.cut_segments(windowed.where("_entry IS NOT NULL"), group, ["_entry"], part_rows, "item-entries")
+    listed = cut.groupBy(*group, F.col("_segment").alias("part")).agg(F.array_sort(F.collect_list("_entry")).alias("entries"))
+    joined = skew.keyed_join(counts, listed, group, "left", null_safe=True)
+    nothing = F.array().cast(listed.schema["entries"].dataType)
+    return joined.select(
+        *group, F.coalesce("part", F.lit(0).cast("bigint")).alias("part"), F.coalesce("entries", nothing).alias("entries"), "interaction_count"
     )
 
 

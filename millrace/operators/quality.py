@@ -371,54 +371,31 @@ def reconcile_tables(
     return merged.withColumn("status", status).filter(F.col("status").isNotNull()).withColumns(shown)
 
 
-def _slice_number(value: Column, cuts: Sequence[float], first: int = 0) -> Column:
-    """How many cuts lie below a value, by halving the cuts."""
-    if not cuts:
-        return F.lit(first)
-    middle = len(cuts) // 2
-    return F.when(value <= cuts[middle], _slice_number(value, cuts[:middle], first)).otherwise(
-        _slice_number(value, cuts[middle + 1 :], first + middle + 1)
-    )
+def _ranked_values(values: DataFrame, ranks: Sequence[int]) -> DataFrame:
+    """Values at the given zero-based ranks of a ``(value, copies)`` table of distinct values.
 
+    The table is dealt into ranges of values. A running sum inside each range,
+    plus one total per earlier range, is a value's last rank.
+    """
+    ranged = materialize(values.repartitionByRange("value").withColumn("_range", F.spark_partition_id()), "value-ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("_range").agg(F.sum("copies").alias("_copies"))
+    starts = totals.select("_range", F.coalesce(F.sum("_copies").over(before), F.lit(0)).alias("_start"))
+    within = F.sum("copies").over(Window.partitionBy("_range").orderBy("value"))
+    upto = ranged.withColumn("_upto", within).join(F.broadcast(starts), "_range").withColumn("_upto", F.col("_upto") + F.col("_start"))
+    held = F.filter(
+        F.array(*[F.lit(rank).cast("bigint") for rank in ranks]),
+        lambda rank: (rank < F.col("_upto")) & (rank >= F.col("_upto") - F.col("copies")),
+    )
+    return upto.select(F.explode(held).alias("rank"), "value")
 
-def _ranked_values(values: DataFrame, distinct: int, ranks: Sequence[int], slices: int, limit: int) -> DataFrame:
-    """Values at the given zero-based ranks of a ``(value, copies)`` table.
 
-    Up to ``limit`` distinct values are ranked by one running sum. More are
-    cut by approximate quantiles into slices; their totals, one row per slice,
-    tell the driver which slice holds a rank, and only that slice is ranked.
-    """
-    if distinct <= limit:
-        upto = F.sum("copies").over(Window.partitionBy(F.lit(0)).orderBy("value"))
-        held = F.filter(
-            F.array(*[F.lit(rank).cast("bigint") for rank in ranks]),
-            lambda rank: (rank < F.col("_upto")) & (rank >= F.col("_upto") - F.col("copies")),
-        )
-        return values.withColumn("_upto", upto).select(F.explode(held).alias("rank"), "value")
-    cuts = values.agg(F.percentile_approx("value", [i / slices for i in range(1, slices)], 10 * slices)).first()[0]
-    sliced = values.withColumn("_slice", _slice_number(F.col("value"), sorted(set(cuts))))
-    totals = sliced.groupBy("_slice").agg(F.sum("copies").alias("copies"), F.count("*").alias("distinct")).collect()
-    found, start = None, 0
-    for total in sorted(totals):
-        inside = [rank - start for rank in ranks if start <= rank < start + total.copies]
-        if inside:
-            part = sliced.filter(F.col("_slice") == total["_slice"]).select("value", "copies")
-            # A slice that did not shrink holds values the sketch cannot part.
-            room = max(limit, total.distinct) if total.distinct == distinct else limit
-            hits = _ranked_values(part, total.distinct, inside, slices, room).withColumn("rank", F.col("rank") + start)
-            found = hits if found is None else found.unionByName(hits)
-        start += total.copies
-    return found
-
-
-def distribution_profile(
-    df: DataFrame, column: str, quantiles: Sequence[float], slices: int = 64, limit: int = 1_000_000
-) -> DataFrame:
+def distribution_profile(df: DataFrame, column: str, quantiles: Sequence[float]) -> DataFrame:
     """Exact quantiles with linear interpolation, one row each.
 
-    Equal values are counted first, into a table in the session's shared
-    folder, as several small jobs read it. Only slice totals reach the driver,
-    and no task ranks more than about ``limit`` distinct values.
+    Equal values are counted first, into a table in the session's shared folder;
+    the counts are ranked range by range. Only one row per range is ordered as
+    a whole, and the number of rows alone reaches the driver.
     """
     spark = df.sparkSession
     values = materialize(
@@ -427,7 +404,7 @@ def distribution_profile(
         .agg(F.count("*").alias("copies")),
         "value-counts",
     )
-    size = values.agg(F.sum("copies").alias("rows"), F.count("*").alias("distinct")).first()
+    size = values.agg(F.sum("copies").alias("rows")).first()
     if not size["rows"]:
         return spark.createDataFrame([(float(q), None) for q in quantiles], "quantile double, value double")
     parts = []
@@ -436,7 +413,7 @@ def distribution_profile(
         low = math.floor(position)
         parts += [(float(quantile), low, 1 - (position - low)), (float(quantile), low + 1, position - low)]
     parts = [part for part in parts if part[2] > 0]
-    at_rank = _ranked_values(values, size["distinct"], sorted({part[1] for part in parts}), slices, limit)
+    at_rank = _ranked_values(values, sorted({part[1] for part in parts}))
     weights = spark.createDataFrame(parts, "quantile double, rank bigint, weight double")
     return (
         at_rank.join(F.broadcast(weights), "rank")

@@ -118,10 +118,8 @@ def _entry_states(maps: DataFrame, table: _Table, fanout: int) -> DataFrame:
     tree of ``fanout`` children; states then descend it. No group exceeds the
     fanout, however many segments a key has.
     """
-    place = F.row_number().over(Window.partitionBy("_key").orderBy("_segment")).cast("bigint") - 1
-    numbered = maps.withColumn("_place", place)
-    deepest = numbered.agg(F.max("_place")).first()[0] or 0
-    level, children = numbered.select("_key", "_place", "_map"), []
+    deepest = maps.agg(F.max("_segment")).first()[0] or 0
+    level, children = maps.select("_key", F.col("_segment").alias("_place"), "_map"), []
     while True:
         listed = F.array_sort(F.collect_list(F.struct("_place", "_map")))
         grouped = level.groupBy("_key", F.floor(F.col("_place") / fanout).alias("_parent")).agg(listed.alias("_children"))
@@ -146,8 +144,8 @@ def _entry_states(maps: DataFrame, table: _Table, fanout: int) -> DataFrame:
         start = F.struct(F.col("_state").alias("now"), F.array().cast(none).alias("list"))
         met = skew.keyed_join(grouped, parents, ["_key", "_parent"], null_safe=True)
         states = met.select("_key", F.explode(F.aggregate("_children", start, descend, lambda s: s["list"])).alias("_e")).select("_key", "_e.*")
-    return skew.keyed_join(numbered.select("_key", "_segment", "_place"), states, ["_key", "_place"], null_safe=True).select(
-        "_key", "_segment", table.name(F.col("_state.status")).alias("_status"), F.col("_state.held").alias("_held")
+    return states.select(
+        "_key", F.col("_place").alias("_segment"), table.name(F.col("_state.status")).alias("_status"), F.col("_state.held").alias("_held")
     )
 
 
@@ -222,7 +220,7 @@ def state_transition_check(
     own = ["_key", "_segment"]
     steps = F.array_sort(F.collect_list(F.struct("_at", "_to", "_number", "_token", "_row")))
     segments = cut.groupBy(*own).agg(steps.alias("_steps"))
-    pieces = cut.groupBy(*own).agg(F.lit(1).alias("_one")).groupBy("_key").agg(F.count("*").alias("_n")).where("_n > 1").select("_key")
+    pieces = cut.where("_segment > 0").select("_key").distinct()
     if pieces.isEmpty():
         entered = segments.withColumns({"_status": F.lit(initial), "_held": F.lit(None).cast("string")})
     else:

@@ -1,8 +1,8 @@
 """Optimistic locking: apply an update only at the version it expects.
 
 Whether an update applies depends on all earlier ones of its record, so each
-record is a fold over its updates in order. A record with many updates is cut
-into segments of bounded size. A segment acts on the version it is entered
+record is a fold over its updates in order. Records are cut by rank into segments of
+bounded size. A segment acts on the version it is entered
 with as a function, and such functions compose: entry versions follow from the
 segments' summaries, and then every segment folds on its own.
 """
@@ -15,9 +15,9 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
 from millrace.operators import skew
+from millrace.operators.segments import cut_segments
 
 
 def summarize_segment(expected: Sequence[int]) -> list[tuple[int, int, int]]:
@@ -91,16 +91,13 @@ def version_gated_update(
 
     ``applied`` raises the version by one; ``already_updated`` met a newer
     version, ``conflict`` an older one. ``current`` may give ``(key, version)``
-    of existing records. ``order[0]`` must be a number or a timestamp, and the
-    order unique within a key. One counting job finds the keys with more than
-    ``max_rows`` updates; only those are cut and summarised.
+    of existing records. The order is unique within a key. Runs jobs: the
+    updates are cut by rank into segments of ``max_rows``, whatever their
+    positions, and keys with several segments are looked up; those have their
+    segments summarised.
     """
-    first = order[0]
-    numeric = isinstance(updates.schema[first].dataType, NumericType)
-    position = F.col(first).cast("bigint") if numeric else F.unix_micros(F.col(first).cast("timestamp"))
     rows = updates.select(
         F.col(key).alias("_key"),
-        position.alias("_position"),
         F.col(expected).cast("bigint").alias("_expected"),
         *[F.col(name).alias(f"_o{i}") for i, name in enumerate(order)],
         F.struct(*updates.columns).alias("_row"),
@@ -111,18 +108,12 @@ def version_gated_update(
         versions = current.select(F.col(key).alias("_key"), F.col("version").cast("bigint").alias("_start"))
         rows = skew.lookup_join(rows, versions, ["_key"], "left", null_safe=True).withColumn("_start", F.coalesce("_start", F.lit(0).cast("bigint")))
 
-    hot = (
-        rows.groupBy("_key")
-        .agg(F.count("*").alias("_n"), F.min("_position").alias("_low"), F.max("_position").alias("_high"))
-        .filter(F.col("_n") > max_rows)
-    )
-    if hot.isEmpty():
-        rows = rows.withColumns({"_segment": F.lit(0).cast("bigint"), "_entry": F.col("_start")})
+    rows = cut_segments(rows, ["_key"], [f"_o{i}" for i in range(len(order))], max_rows, "versioned-updates")
+    several = rows.filter("_segment > 0").select("_key").distinct()
+    if several.isEmpty():
+        rows = rows.withColumn("_entry", F.col("_start"))
     else:
-        width = F.floor((F.col("_high") - F.col("_low")) / F.ceil(F.col("_n") / max_rows)) + 1
-        cut = F.floor((F.col("_position") - F.col("_low")) / width).cast("bigint")
-        rows = skew.lookup_join(rows, hot, ["_key"], "left", null_safe=True).withColumn("_segment", F.coalesce(cut, F.lit(0).cast("bigint")))
-        entries = _entry_versions(rows.filter(F.col("_n").isNotNull()))
+        entries = _entry_versions(skew.keyed_join(rows, several, ["_key"], "left_semi", null_safe=True))
         rows = skew.keyed_join(rows, entries, ["_key", "_segment"], "left", null_safe=True).withColumn("_entry", F.coalesce("_entry", "_start"))
 
     ordered = F.array_sort(F.collect_list(F.struct(*[f"_o{i}" for i in range(len(order))], "_expected", "_row")))

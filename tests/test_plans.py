@@ -104,7 +104,7 @@ def test_hot_group_is_collected_in_parts_and_whole(hot):
     got, expected = defaultdict(Counter), defaultdict(Counter)
     for row in parts:
         got[(row.window_start, row.user_id)].update(row.recent_items)
-        assert len(row.recent_items) <= 60
+        assert len(row.recent_items) <= 20
     for _, ts, user, item in data:
         expected[(ts.replace(minute=ts.minute // 30 * 30, second=0), user)][item] += 1
     assert got == expected
