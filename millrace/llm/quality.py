@@ -51,7 +51,7 @@ THRESHOLDS = (
     Threshold("n_symbols", "n_words", high=0.25),
     Threshold("n_stop_words", "n_words", low=0.02),
     Threshold("n_letter_words", "n_words", low=0.7),
-    Threshold("n_dup_lines", "n_lines", high=0.3),
+    Threshold("n_dup_lines", "n_lines", high=0.5),
 )
 
 
