@@ -1,7 +1,8 @@
 """Streaming queries run to the end over the given tables.
 
-Each reads its table as a file stream, drains it, and returns what the sink
-holds. Results are compared with the same computation in SQL over the table.
+Each stages its table as files that arrive slice after slice, drains them one
+slice per micro-batch, and returns what the sink holds. Results are compared
+with the same computation in SQL over the whole table.
 """
 
 from __future__ import annotations
@@ -10,17 +11,36 @@ from pyspark.sql import functions as F
 
 from millrace.catalog import tables as T
 from millrace.catalog.registry import query
-from millrace.catalog.writes import CDC_SQL
-from millrace.operators import ranking, transform
+from millrace.catalog.writes import ALLOWED, CDC_SQL, transition_sql
+from millrace.operators import transform
 from millrace.plans import serving
 from millrace.session import scratch_dir
 from millrace.sources.batch import scan_parquet
-from millrace.streaming import sinks, views
+from millrace.streaming import sinks, transitions, views
 
 
-def _stream(spark, sf, name="events"):
-    schema = T.table(spark, sf, name).schema
-    return sinks.file_stream(spark, f"{sf}/{name}.parque[t]", schema, "parquet")
+SLICES, SLICE_FILES = 3, 2
+
+
+def _stage(spark, sf, folder, name="events", order="ts", slices=range(SLICES)):
+    """Write slices of a table by an order column, each as its own files, one after the other."""
+    rows = T.table(spark, sf, name)
+    at = F.col(order).cast("bigint") if order == "event_id" else F.unix_micros(F.col(order).cast("timestamp"))
+    low, high = rows.agg(F.min(at), F.max(at)).first()
+    number = F.floor((at - low) * SLICES / (high - low + 1))
+    for n in slices:
+        rows.filter(number == n).repartition(SLICE_FILES).write.mode("append").parquet(folder)
+    return rows.schema
+
+
+def _read_slices(spark, folder, schema):
+    return sinks.file_stream(spark, folder, schema, "parquet", SLICE_FILES)
+
+
+def _stream(spark, sf, name="events", order="ts"):
+    """The table as a stream of several micro-batches, in the order of a column."""
+    folder = scratch_dir(spark, f"staged-{name}")
+    return _read_slices(spark, folder, _stage(spark, sf, folder, name, order))
 
 
 def _drain(df, write, checkpoint, mode="update"):
@@ -30,8 +50,8 @@ def _drain(df, write, checkpoint, mode="update"):
 @query("file_stream_ingest", "SELECT event_id, user_id, event_type, value, true AS has_file, true AS has_time FROM events")
 def file_stream_ingest(spark, sf):
     path = scratch_dir(spark, "file-stream")
-    schema = T.events(spark, sf).schema
-    arrived = sinks.file_stream_ingest(spark, f"{sf}/events.parque[t]", schema, "parquet")
+    schema = _stage(spark, sf, f"{path}/events")
+    arrived = sinks.file_stream_ingest(spark, f"{path}/events", schema, "parquet", SLICE_FILES)
     sinks.stream_file_sink(arrived, f"{path}/out", f"{path}/checkpoint", None).awaitTermination()
     return scan_parquet(spark, f"{path}/out").select(
         "event_id",
@@ -45,9 +65,11 @@ def file_stream_ingest(spark, sf):
 
 @query("checkpoint_resume", "SELECT event_type, count(*) AS row_count FROM events GROUP BY event_type")
 def checkpoint_resume(spark, sf):
+    """Drained in the middle, then again after more files arrived, then without any."""
     path = scratch_dir(spark, "resume")
-    for _ in range(2):
-        stream = _stream(spark, sf).select("event_id", "event_type")
+    for arriving in (range(2), range(2, SLICES), ()):
+        schema = _stage(spark, sf, f"{path}/in", slices=arriving)
+        stream = _read_slices(spark, f"{path}/in", schema).select("event_id", "event_type")
         sinks.stream_file_sink(stream, f"{path}/out", f"{path}/checkpoint", None).awaitTermination()
     return scan_parquet(spark, f"{path}/out").groupBy("event_type").agg(F.count("*").alias("row_count"))
 
@@ -190,13 +212,15 @@ def kappa_replay(spark, sf):
     return serving.replayed_totals(log)
 
 
-@query("stream_dedup", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
+@query("stream_dedup", "SELECT DISTINCT l_orderkey, l_linenumber, l_shipdate FROM lineitem")
 def stream_dedup(spark, sf):
+    """Every line arrives twice; repeats of a line carry its time, so the watermark holds its state until then."""
     path = scratch_dir(spark, "dedup")
-    lines = views.watermark(_stream(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate"), "l_shipdate", "1 day")
-    unique = views.stream_dedup(lines, ["l_orderkey", "l_linenumber"])
+    lines = views.watermark(_stream(spark, sf, "lineitem", "l_shipdate").select("l_orderkey", "l_linenumber", "l_shipdate"), "l_shipdate", "1 day")
+    twice = lines.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
+    unique = views.stream_dedup(twice, ["l_orderkey", "l_linenumber", "l_shipdate"])
     sinks.stream_file_sink(unique, f"{path}/out", f"{path}/checkpoint", None).awaitTermination()
-    return scan_parquet(spark, f"{path}/out").select("l_orderkey", "l_linenumber")
+    return scan_parquet(spark, f"{path}/out").select("l_orderkey", "l_linenumber", "l_shipdate")
 
 
 @query(
@@ -208,7 +232,7 @@ def cdc_apply_stream(spark, sf):
     log = sinks.ChangeLog(spark, f"{path}/log")
     image = F.struct(F.col("user_id").alias("id"), F.col("event_type").alias("name"), F.col("value").alias("email_score"))
     op = F.when(F.col("event_type") == "signup", "c").when(F.col("event_type") == "error", "d").otherwise("u")
-    envelopes = _stream(spark, sf).select(
+    envelopes = _stream(spark, sf, order="event_id").select(
         F.when(op != "c", image).alias("before"),
         F.when(op != "d", image).alias("after"),
         op.alias("op"),
@@ -228,7 +252,7 @@ def offset_ledger_stream(spark, sf):
     log = sinks.ChangeLog(spark, f"{path}/log")
     write = sinks.offset_writer(log, "event_id")
     for attempt in range(2):
-        messages = _stream(spark, sf).select(
+        messages = _stream(spark, sf, order="event_id").select(
             "event_id",
             F.lit("events").alias("topic"),
             (F.col("user_id") % 3).alias("partition"),
@@ -247,5 +271,23 @@ def upsert_sink(spark, sf):
     path = scratch_dir(spark, "upsert")
     table = sinks.VersionedTable(spark, f"{path}/table")
     write = sinks.upsert_writer(table, ["user_id"], ["event_id"])
-    _drain(_stream(spark, sf), write, f"{path}/checkpoint", "append")
+    _drain(_stream(spark, sf, order="event_id"), write, f"{path}/checkpoint", "append")
     return table.read().select("user_id", "event_type", "value")
+
+
+@query("transition_stream", transition_sql(ALLOWED))
+def transition_stream(spark, sf):
+    """The same verdicts as in batch, one slice after the other; the state store is RocksDB."""
+    path, name = scratch_dir(spark, "transitions"), "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        events = _stream(spark, sf, order="event_id").withColumn("wanted", T.wanted_status(F.col("event_type")))
+        requests = events.withColumn("token", F.concat(F.lit("k"), (F.col("event_id") % 3).cast("string")))
+        judged = transitions.transition_stream(requests, "user_id", "wanted", "event_id", "token")
+        sinks.stream_file_sink(judged, f"{path}/out", f"{path}/checkpoint", None).awaitTermination()
+    finally:
+        spark.conf.set(name, before)
+    asked = T.transitions(spark, sf).select("position", "wanted", F.col("entity").alias("asked_by"))
+    verdicts = scan_parquet(spark, f"{path}/out").join(asked, "position")
+    return verdicts.select(F.col("asked_by").alias("entity"), "position", "wanted", "current_status", "verdict")

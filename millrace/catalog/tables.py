@@ -169,20 +169,22 @@ TRANSITIONS_SQL = """(
   FROM events)"""
 
 
-def transitions(spark: SparkSession, sf: str) -> DataFrame:
-    """Events as requested status changes of their user's order."""
-    kind = F.col("event_type")
-    wanted = (
+def wanted_status(kind):
+    return (
         F.when(kind == "signup", "confirmed")
         .when(kind == "view", "shipped")
         .when(kind == "purchase", "delivered")
         .when(kind == "error", "cancelled")
         .otherwise("returned")
     )
+
+
+def transitions(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as requested status changes of their user's order."""
     return events(spark, sf).select(
         F.col("user_id").alias("entity"),
         F.col("event_id").alias("position"),
-        wanted.alias("wanted"),
+        wanted_status(F.col("event_type")).alias("wanted"),
         F.concat(F.lit("k"), (F.col("event_id") % 3).cast("string")).alias("token"),
     )
 

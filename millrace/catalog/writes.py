@@ -398,7 +398,7 @@ ALLOWED = {
 CYCLIC = ALLOWED | {"delivered": ["returned", "shipped"], "cancelled": ["confirmed"], "returned": ["confirmed"]}
 
 
-def _transition_sql(table):
+def transition_sql(table):
     pairs = ", ".join(f"('{a}','{b}')" for a, targets in table.items() for b in targets)
     return f"""WITH RECURSIVE e AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY position) AS rn FROM {T.TRANSITIONS_SQL}),
         allowed(a, b) AS (VALUES {pairs}),
@@ -423,18 +423,18 @@ def _judged_transitions(spark, sf, **options):
     return judged.drop("token")
 
 
-@query("state_transition_check", _transition_sql(ALLOWED))
+@query("state_transition_check", transition_sql(ALLOWED))
 def state_transition_check(spark, sf):
     return _judged_transitions(spark, sf)
 
 
-@query("state_transition_segments", _transition_sql(ALLOWED))
+@query("state_transition_segments", transition_sql(ALLOWED))
 def state_transition_segments(spark, sf):
     """Segments so small that entities span several, in a tree of several levels."""
     return _judged_transitions(spark, sf, max_rows=3, fanout=2)
 
 
-@query("state_transition_cycle", _transition_sql(CYCLIC))
+@query("state_transition_cycle", transition_sql(CYCLIC))
 def state_transition_cycle(spark, sf):
     return _judged_transitions(spark, sf, transitions=CYCLIC, max_rows=4, fanout=3)
 
