@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from millrace.operators import aggregates, idempotent, ranking
-from millrace.session import has_data
+from millrace.session import child_names, has_data, materialize, remove_dir
 from millrace.sources.tables import VersionedTable, partition_overwrite
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -90,6 +90,41 @@ class ChangeLog:
         newest = self.read().agg(F.max("batch_id").alias("b")).scalar()
         return self.read().filter(F.col("batch_id") == newest).drop("batch_id")
 
+    def drop_before(self, batch_id: int) -> None:
+        """Delete the batches before this one, for logs of which only newer ones are read."""
+        for name in child_names(self.spark, self.path):
+            if name.startswith("batch_id=") and int(name.removeprefix("batch_id=")) < batch_id:
+                remove_dir(self.spark, f"{self.path}/{name}")
+
+    def compact(self, keys: Sequence[str], latest_by: Sequence[str] = ("batch_id",)) -> None:
+        """Keep the newest row per key of all batches but the last.
+
+        They become the rows of the last but one. The last stays as it is: it
+        may be written again, those before it never. Dying in between leaves
+        older rows behind, which readers pass over.
+        """
+        batches = sorted(int(n.removeprefix("batch_id=")) for n in child_names(self.spark, self.path) if n.startswith("batch_id="))
+        if len(batches) < 3:
+            return
+        into = batches[-2]
+        older = self.read().filter(F.col("batch_id") <= into)
+        newest = ranking.dedup_keep_latest(older, keys, list(latest_by))
+        written = materialize(newest.withColumn("batch_id", F.lit(into).cast("bigint")), "compacted")
+        partition_overwrite(written, self.path, ["batch_id"])
+        self.drop_before(into)
+        for file in written.inputFiles()[:1]:
+            remove_dir(self.spark, file.rsplit("/", 1)[0])
+
+
+def compacting(log: ChangeLog, write: BatchWriter, keys: Sequence[str], latest_by: Sequence[str] = ("batch_id",), every: int = 100) -> BatchWriter:
+    """A writer that compacts its log after every so many batches, so that reading it does not grow with their number."""
+    def write_and_compact(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        if batch_id and batch_id % every == 0:
+            log.compact(keys, latest_by)
+
+    return write_and_compact
+
 
 def upsert_writer(table: VersionedTable, keys: Sequence[str], latest_by: Sequence[str]) -> BatchWriter:
     """Merge every batch into a versioned table; for tables worth rewriting."""

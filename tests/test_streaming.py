@@ -195,3 +195,17 @@ def test_streamed_transitions_equal_batch(spark, staged, folder, rows):
     expected = bounded.state_transition_check(shaped(events), "user_id", "wanted", ["event_id"], "token")
     got = spark.read.parquet(folder + "/out").filter("entity <> '-1'")
     assert rows(got, "position", "current_status", "verdict") == rows(expected, "event_id", "current_status", "verdict")
+
+
+def test_a_compacted_log_reads_the_same_and_holds_few_batches(spark, folder, rows):
+    log = sinks.ChangeLog(spark, folder + "/log")
+    write = sinks.compacting(log, log.write, ["k"], every=4)
+    state = {}
+    for n in range(10):
+        batch = [(n % 3, n), (n, -n)]
+        state |= dict(batch)
+        write(spark.createDataFrame(batch, "k int, v int").coalesce(1), n)
+        if n == 8:
+            write(spark.createDataFrame(batch, "k int, v int").coalesce(1), n)  # repeated after a failure
+    assert rows(log.current(["k"]), "k", "v") == sorted(state.items())
+    assert log.read().select("batch_id").distinct().count() <= 3
