@@ -16,6 +16,8 @@ RUNTIME_SETTINGS = {
     # where that costs one more exchange downstream.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows with whole texts are large: ten times fewer of them to an Arrow batch than by default.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
