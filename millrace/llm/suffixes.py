@@ -50,8 +50,8 @@ GRAM = 16
 SPREAD = 160  # n-grams among which a window's anchor is chosen
 STRETCH = 1 << 20
 GROUP_ROWS = 4096
-BUCKET_SYMBOLS = 1_500_000
-SHARD_SYMBOLS = 500_000
+BUCKET_SYMBOLS = 1_000_000
+SHARD_SYMBOLS = 250_000
 _TABLE = np.random.default_rng(42).integers(0, 2**64, 256, dtype=np.uint64)
 _FACTOR = 0x9E3779B97F4A7C15
 CORE_SYMBOLS = 4
