@@ -73,19 +73,14 @@ def op9_url_link_graph(spark: SparkSession, sf: str) -> DataFrame:
     return urls.url_filter(table(spark, sf, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``id``, ``text`` and ``label`` of the rows whose id is not held out."""
-    seen = labels.select(F.col("doc_id").alias("id"), F.col("toxic").alias("label")).where(~held_out(F.col("id")))
-    return docs.select(F.col("doc_id").alias("id"), "text").join(seen, "id")
-
-
 def held_out(key):
     return F.pmod(F.crc32(key.cast("string")), F.lit(5)) == 0
 
 
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf: str) -> toxicity.Model:
     """Fitted on the labelled documents of the table that are not held out."""
-    return toxicity.train(labelled_rows(docs, table(spark, sf, "labels")))
+    labels = table(spark, sf, "labels").select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))
+    return toxicity.train(docs.select(F.col("doc_id").alias("id"), "text"), labels.where(~held_out(F.col("id"))))
 
 
 @query

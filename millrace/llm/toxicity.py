@@ -5,14 +5,15 @@ sentence gets a probability from a linear model of its words; the document's is
 their noisy-or, ``1 - (1 - leak) * prod(1 - p)``, so one bad sentence is enough and
 the model learns from document labels which sentences those are.
 
-Features are words and their first letters, chosen by how much their document
-frequency differs between the labels, counted over all labelled rows in Spark.
-The weights are fitted on the driver over ``max_documents`` labelled rows at
-most (a documented bound; the ones with the smallest hash of their id), held as
-feature numbers only. Scoring is a pass over the documents in Arrow batches.
+The model is fitted on ``max_documents`` labelled documents at most, a
+documented bound: the ones with the smallest hash of their id. Their ids are
+broadcast, so that the corpus is scanned without moving a text. Features are
+words and their first letters, chosen by how much their document frequency
+differs between the labels; the weights are fitted on the driver, which holds
+feature numbers only. Scoring is a pass over all documents in Arrow batches.
 
 A NULL or empty text has no sentence and scores the leak, near 0. Labels that
-are NULL are ignored; with labels of a single kind every score is the leak.
+are NULL are ignored, ids that repeat are learned from once; with labels of a single kind every score is the leak.
 Equal texts score equally. Labels, ids and other columns never enter a score.
 """
 
@@ -27,13 +28,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fresh
+from millrace.llm.common import Scratch, fresh
 
 SENTENCE_END = r"[.!?\n]+"
 LETTERS = r"\p{L}+"
 STEM = 4
 MAX_FEATURES = 4096
-MAX_DOCUMENTS = 12_000
+MAX_DOCUMENTS = 20_000
 MIN_DOCUMENTS = 3
 ROUNDS = 200
 RATE = 0.15
@@ -82,10 +83,7 @@ def feature_lists(text):
 
 
 def choose_features(labelled: DataFrame, n: int = MAX_FEATURES, min_documents: int = MIN_DOCUMENTS) -> list[str]:
-    """The ``n`` features whose share of documents differs most between the labels.
-
-    Counts cover every labelled row; they combine before the exchange.
-    """
+    """The ``n`` features whose share of documents differs most between the labels."""
     sizes = labelled.agg(F.count_if(F.col("label") == 1).alias("bad"), F.count_if(F.col("label") == 0).alias("good")).first()
     if not sizes["bad"] or not sizes["good"]:
         return []
@@ -153,17 +151,17 @@ def _optimise(labels: np.ndarray, bags: list[np.ndarray], n_features: int) -> tu
     return weights, float(bias), float(1 / (1 + np.exp(-leak)))
 
 
-def train(labelled: DataFrame, max_documents: int = MAX_DOCUMENTS, max_features: int = MAX_FEATURES) -> Model:
-    """Fit on rows with ``id``, ``text`` and ``label`` (0 or 1). Runs jobs.
-
-    Feature counts use every row, the weights at most ``max_documents`` of them.
-    """
-    labelled = labelled.where("label IN (0, 1)")
+def train(docs: DataFrame, labels: DataFrame, max_documents: int = MAX_DOCUMENTS, max_features: int = MAX_FEATURES) -> Model:
+    """Fit on documents (``id``, ``text``) by their labels (``id``, ``label``, 0 or 1). Runs jobs."""
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    known = labels.where("label IN (0, 1) AND id IS NOT NULL").groupBy("id").agg(F.max("label").cast("int").alias("label"))
+    chosen = known.orderBy(F.xxhash64("id"), "id").limit(max_documents)
+    found = docs.select("id", "text").join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
+    labelled = scratch.write("sample", found)
     features = choose_features(labelled, max_features)
     if not features:
         return Model()
-    sample = labelled.orderBy(F.xxhash64("id"), "id").limit(max_documents)
-    bags = _bags(sample, features)
+    bags = _bags(labelled, features)
     labels = bags["label"].to_numpy(dtype=float)
     if labels.min() == labels.max():
         return Model()

@@ -6,6 +6,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from millrace.llm import decontaminate, simhash, toxicity
@@ -48,7 +49,7 @@ def test_substring_query_matches_brute_force(spark):
 def test_held_out_documents_are_told_apart(spark):
     sf = SF.replace("0.001", "0.01")
     docs = table(spark, sf, "documents")
-    labels = table(spark, sf, "labels").where(held_out(table(spark, sf, "labels").doc_id))
+    labels = table(spark, sf, "labels").where(held_out(F.col("doc_id")))
     scored = toxicity.score(docs.join(labels, "doc_id"), toxicity_model(spark, docs, sf)).select("toxic", "score", "predicted").collect()
     bad, good = [r.score for r in scored if r.toxic], [r.score for r in scored if not r.toxic]
     assert bad and sum(b > g for b in bad for g in good) >= 0.9 * len(bad) * len(good)

@@ -225,7 +225,8 @@ def toxic_rows(n, seed=3):
 
 def test_document_labels_teach_which_sentences_are_bad(spark, docs):
     train = spark.createDataFrame(toxic_rows(400), "id long, text string, label int")
-    model = toxicity.train(train.unionByName(spark.createDataFrame([(9999, "x", None)], train.schema)))
+    train = train.unionByName(spark.createDataFrame([(9999, "x", None), (None, "nastyone", 0)], train.schema))
+    model = toxicity.train(train.drop("label"), train.drop("text"))
     held = toxic_rows(200, seed=4)
     table = docs(*[(i, t) for i, t, _ in held], (1000, None), (1001, ""), (1002, "wordab " * 50000))
     got = {r.doc_id: r for r in toxicity.score(table, model).collect()}
@@ -239,7 +240,8 @@ def test_document_labels_teach_which_sentences_are_bad(spark, docs):
 
 
 def test_labels_of_one_kind_teach_nothing(spark):
-    model = toxicity.train(spark.createDataFrame([(1, "a b", 0), (2, "c", 0)], "id long, text string, label int"))
+    rows = spark.createDataFrame([(1, "a b", 0), (2, "c", 0)], "id long, text string, label int")
+    model = toxicity.train(rows.drop("label"), rows.drop("text"))
     assert not model.weights and model.score(model.sentence_scores("a. b", {})) < 0.1
 
 
