@@ -15,7 +15,6 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
 from millrace.catalog import QUERIES, streams  # noqa: E402
 from millrace.session import local_session  # noqa: E402
 
@@ -44,7 +43,7 @@ def main() -> None:
     print("mention of a subquery or shared exchange, which run once. Queries that write tables show the final read.\n")
     print("| query | " + " | ".join(COUNTED) + " |")
     print("| --- |" + " ---: |" * len(COUNTED))
-    for name, query in sorted(entry.queries().items()):
+    for name, query in sorted(QUERIES.items()):
         if name in streaming or name == "train_revenue_model":
             continue
         text = query(spark, args.sf)._jdf.queryExecution().executedPlan().toString()
