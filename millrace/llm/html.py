@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 WINDOW = 3
 SURGE = 80
+BETWEEN = "\n\n"  # what stands between two blocks of an extracted text
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -211,8 +212,8 @@ def surging(weights: list[int], window: int = WINDOW, surge: int = SURGE) -> lis
     return texts
 
 
-def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
-    """The page's main text, a line per block."""
+def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE, between: str = "\n") -> str:
+    """The page's main text, a line per block; ``between`` joins the blocks."""
     lines = blocks(page or "")
     marked: dict[int, int] = {}
     for line in lines:
@@ -228,14 +229,14 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
         while first and lines[first - 1].heading and lines[first - 1].text:
             first -= 1
         kept += [line.text for line in lines[first : last + 1] if line.text]
-    return "\n".join(kept)
+    return between.join(kept)
 
 
 def extract(pages: DataFrame, html: str = "html", window: int = WINDOW, surge: int = SURGE) -> DataFrame:
-    """The rows with ``text`` and ``n_chars``; columns of these names are replaced."""
+    """The rows with ``text``, blocks joined by ``BETWEEN``, and ``n_chars``; columns of these names are replaced."""
     def batches(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in values:
-            yield batch.map(lambda page: main_text(page, window, surge))
+            yield batch.map(lambda page: main_text(page, window, surge, BETWEEN))
 
     text = F.pandas_udf(batches, "string")(F.col(html))  # type: ignore[call-overload]
     return pages.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("bigint"))

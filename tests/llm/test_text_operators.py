@@ -159,6 +159,12 @@ def test_broken_pages_do_not_stop_the_reader(spark):
     assert html.extract(df.limit(0)).collect() == []
 
 
+def test_extracted_blocks_are_joined_by_two_newlines(spark):
+    page = PAGE % "<article><h1>Title</h1><p>One\n two.<p>Three.</article>"
+    row = html.extract(spark.createDataFrame([(1, page)], "page_id long, html string")).first()
+    assert (row.text, row.n_chars) == ("Title\n\nOne two.\n\nThree.", 23)
+
+
 # --- URL filters
 
 URLS = [
