@@ -20,6 +20,8 @@ Further columns are kept; ``n_lines`` and ``n_removed_lines`` are replaced.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,6 +64,18 @@ def line_chunks(lines: Column, window: int = WINDOW, divisor: int = DIVISOR) ->
     return let(F.transform(lines, line_hash), bounded)
 
 
+def line_pairs(lines: Column) -> Column:
+    """(first, last) of every two lines with a word that follow each other, blank lines between them included."""
+    numbered = F.transform(lines, lambda line, i: F.when(line.rlike(NOT_SPACE), i + 1))
+
+    def paired(worded: Column) -> Column:
+        return F.filter(
+            F.transform(worded, lambda first, k: F.struct(first.alias("first"), F.get(worded, k + 1).alias("last"))), lambda c: c["last"].isNotNull()
+        )
+
+    return let(F.filter(numbered, lambda i: i.isNotNull()), paired)
+
+
 def chunk_text(lines: Column, chunk: Column) -> Column:
     return F.array_join(F.slice(lines, chunk["first"], chunk["last"] - chunk["first"] + 1), "\n")
 
@@ -73,13 +87,28 @@ def _has_words(lines: Column, chunk: Column) -> Column:
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, divisor: int = DIVISOR) -> DataFrame:
     """The rows with repeated chunks taken out of ``text``, ``n_lines`` and ``n_removed_lines``. Runs jobs."""
+    return _without_repeats(docs, key, text, lambda lines: F.filter(line_chunks(lines, window, divisor), lambda c: _has_words(lines, c)))
+
+
+def dedup_runs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """As ``dedup_lines``, for whole runs: every repeated run of two or more lines with a word, whatever stands around it.
+
+    A run repeats where each two lines of it that follow each other do, so pairs
+    are compared and what they cover goes. A pair that overlaps its own first
+    place (a line repeated over and over) stays.
+    """
+    return _without_repeats(docs, key, text, line_pairs)
+
+
+def _without_repeats(docs: DataFrame, key: str, text: str, chunks_of: Callable[[Column], Column]) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "lines")
     place = F.struct("key", "version", "first")
+    whole = F.struct("key", "version", "first", "last")
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("version"), split_lines(F.col(text)).alias("lines"))
 
     found = rows.select(
         "key", "version", F.explode(let(F.col("lines"), lambda lines: F.transform(
-            F.filter(line_chunks(lines, window, divisor), lambda c: _has_words(lines, c)),
+            chunks_of(lines),
             lambda c: F.struct(c["first"].alias("first"), c["last"].alias("last"), F.xxhash64(chunk_text(lines, c)).alias("hash")),
         ))).alias("chunk"),
     ).select("key", "version", "chunk.*")
@@ -93,19 +122,20 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", window
         F.transform(held, lambda c: F.struct(c["first"].alias("first"), c["last"].alias("last"), chunk_text(F.col("lines"), c).alias("bytes")))
     ).alias("chunk")).select("key", "version", "chunk.*")
     texts = scratch.write("texts", texts)
-    equal = texts.groupBy("bytes").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low != high")
+    equal = texts.groupBy("bytes").agg(F.min(whole).alias("low"), F.max(whole).alias("high")).where("low != high")
     equal = scratch.write("equal", equal.select("bytes", "low"))
-    removed = texts.join(equal.hint("merge"), "bytes").where(place != F.col("low"))
+    own = F.col("key").eqNullSafe(F.col("low.key")) & (F.col("version") == F.col("low.version")) & (F.col("first") <= F.col("low.last"))
+    removed = texts.join(equal.hint("merge"), "bytes").where(~own)
     removed = scratch.write("removed", removed.groupBy("key", "version").agg(F.collect_set(F.struct("first", "last")).alias("chunks")))
     joined, (gone,) = attach(docs, key, F.xxhash64(text), removed, scratch)
 
+    numbers = F.flatten(F.transform(gone, lambda c: F.sequence(c["first"], c["last"])))
+
     def rest(lines: Column) -> Column:
-        numbers = F.flatten(F.transform(gone, lambda c: F.sequence(c["first"], c["last"])))
         left = F.array_except(F.sequence(F.lit(1), F.size(lines)), numbers)
         return F.array_join(F.transform(left, lambda i: F.get(lines, i - 1)), "\n")
 
-    none = F.array().cast("array<struct<first:int,last:int>>")
-    n_removed = F.aggregate(F.coalesce(gone, none), F.lit(0), lambda n, c: n + c["last"] - c["first"] + 1)
+    n_removed = F.coalesce(F.array_size(F.array_distinct(numbers)), F.lit(0))
     cut = F.when(F.col(gone).isNull(), F.col(text)).otherwise(let(split_lines(F.col(text)), rest))
     counts = {"n_lines": F.size(split_lines(F.col(text))).cast("bigint"), "n_removed_lines": n_removed.cast("bigint"), text: cut}
     return joined.withColumns(counts).drop(gone)

@@ -55,6 +55,19 @@ def test_line_dedup_edge_rows(docs):
     assert lines.dedup_lines(docs()).collect() == []
 
 
+def test_runs_go_whole_whatever_stands_around_them(docs):
+    runs = [[f"run {r} line {i}" for i in range(2 + r % 4)] for r in range(12)]
+    rows = [(i, "\n".join([f"before {i}", *run, f"after {i}"])) for i, run in enumerate(runs)]
+    rows += [(100 + i, "\n".join([f"other {i}", *run, f"end {i}"])) for i, run in enumerate(runs)]
+    rows += [(200, "x\n" * 9 + "last"), (201, "a\n\nb\nc one"), (202, "p\na\n\nb\nq"), (203, "a\nlone")]
+    got = {r.doc_id: r for r in lines.dedup_runs(docs(*rows)).collect()}
+    for i, run in enumerate(runs):
+        assert got[i].text == rows[i][1]
+        assert (got[100 + i].text, got[100 + i].n_removed_lines) == (f"other {i}\nend {i}", len(run))
+    assert got[200].text == "x\nx\nlast" and got[200].n_removed_lines == 7
+    assert got[201].text == "a\n\nb\nc one" and got[202].text == "p\nq" and got[203].text == "a\nlone"
+
+
 # --- quality rules
 
 
