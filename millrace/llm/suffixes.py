@@ -24,6 +24,11 @@ bytes they reach to the left, in steps that double from either side, and each
 piece is grouped by core and the bytes that its windows share. Equal pieces
 collapse as contexts do; the merge is the same.
 
+A piece that still has more than ``group_rows`` contexts (its windows lie inside
+a passage that as many documents quote, with different text after it) does not
+go to a merge: each of its windows becomes a 128-bit hash, and Spark counts
+those. So a bucket holds at most ``group_rows`` contexts of any core or piece.
+
 Contexts are compared by 128-bit hashes. NULL counts as an empty text. Every row
 is a document: rows equal in key and text repeat each other. Texts shorter than
 ``LENGTH`` have no window. Very long texts are read in stretches. An empty table
@@ -175,6 +180,23 @@ def _pieces(strings: DataFrame, layout: Layout) -> DataFrame:
     )
 
 
+def _counted_windows(strings: DataFrame, layout: Layout, scratch: Scratch) -> DataFrame:
+    """``key``, ``version``, ``lo``, ``hi`` of the windows of once-occurring contexts that repeat, by counting hashes."""
+    reach = F.explode(F.sequence(F.col("least").cast("int"), F.col("most").cast("int"))).alias("reach")
+    each = strings.select("key", "version", "at", "n", "core", "most", "left", "right", reach)
+    before = F.substr(F.col("left"), (F.length("left") - F.col("reach") + 1).cast("int"), F.col("reach"))
+    after = F.substr(F.col("right"), F.lit(1), F.lit(layout.free) - F.col("reach"))
+    # Core and reach are keys of their own: only the bytes around the core are hashed.
+    digest = F.md5(F.concat(before, after))
+    hashed = each.select("key", "version", "at", "n", "core", "reach", F.unhex(digest).alias("digest"))
+    windows = scratch.write("windows", hashed)
+    same = ["core", "reach", "digest"]
+    often = scratch.write("windows-often", windows.groupBy(*same).agg(F.sum("n").alias("total")).where("total > 1").select(*same))
+    found = windows.where("n = 1").join(often.hint("merge"), same, "left_semi")
+    lo = F.col("at") - F.col("reach")
+    return found.select("key", "version", lo.alias("lo"), lo.alias("hi"))
+
+
 def _repeated_windows(strings: DataFrame, layout: Layout, bucket_symbols: int, shard_symbols: int) -> DataFrame:
     """``key``, ``version``, ``lo``, ``hi`` of the windows of once-occurring contexts that repeat.
 
@@ -253,9 +275,12 @@ def repeated_runs(
     shared = pieces.where("n = 1").join(alike.where("n > 1").select(*same), same, "left_semi")
     shared = shared.select("key", "version", (F.col("at") - F.col("most")).alias("lo"), (F.col("at") - F.col("least")).alias("hi"))
     single = alike.select("place.key", "place.version", "core", "place.at", F.least("n", F.lit(2)).cast("int").alias("n"), "least", "most", "left", "right")
-    open_strings = scratch.write("open", calm.unionByName(single))
+    crowded = single.groupBy("core").agg(F.count("*").alias("m")).where(F.col("m") > group_rows)
+    crowded = scratch.write("crowded", crowded.select("core")).hint("merge")
+    counted = _counted_windows(single.join(crowded, "core", "left_semi"), layout, scratch)
+    open_strings = scratch.write("open", calm.unionByName(single.join(crowded, "core", "left_anti")))
     found = scratch.write("found", _repeated_windows(open_strings, layout, bucket_symbols, shard_symbols))
-    return sure.unionByName(shared).unionByName(found)
+    return sure.unionByName(shared).unionByName(counted).unionByName(found)
 
 
 def dedup_substrings(

@@ -213,6 +213,22 @@ def test_crowded_cores_are_cut_without_loss(docs):
     assert [got[i] for i in range(len(texts))] == brute.substrings(texts, 32)
 
 
+def test_no_bucket_holds_a_whole_crowded_piece(docs, monkeypatch):
+    rng = random.Random(10)
+    common = "".join(rng.choice("xyz") for _ in range(50))
+    texts = ["".join(rng.choice("abc") for _ in range(20)) + common + "".join(rng.choice("abc") for _ in range(40)) for _ in range(100)]
+    most, merge = [], suffixes._repeated_windows
+
+    def watched(strings, *sizes):
+        most.append(max([0, *(r["count"] for r in strings.groupBy("core").count().collect())]))
+        return merge(strings, *sizes)
+
+    monkeypatch.setattr(suffixes, "_repeated_windows", watched)
+    got = {r.doc_id: tuple(r)[1:] for r in suffixes.dedup_substrings(docs(*enumerate(texts)), length=32, gram=4, spread=16, group_rows=8).collect()}
+    assert [got[i] for i in range(len(texts))] == brute.substrings(texts, 32)
+    assert most and max(most) <= 8
+
+
 def test_stretches_of_long_texts_and_repeated_rows(docs, monkeypatch):
     monkeypatch.setattr(suffixes, "STRETCH", 50)
     layout = suffixes.Layout(32, 4, 16)
