@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, html, lines, oracles, packing, pii, quality, simhash, suffixes, toxicity, urls
+from millrace.llm import decontaminate, exact, html, lines, merkle, oracles, packing, periodic, pii, quality, simhash, suffixes, toxicity, urls
+from millrace.llm.common import lower_ascii
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = oracles.SQL
@@ -88,3 +89,39 @@ def op10_toxicity_mil(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     scored = toxicity.score(docs, toxicity_model(spark, docs, sf))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "worst_sentence", "n_offending")
+
+
+@query
+def op11_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = exact.exact_dedup(table(spark, sf, "documents"))
+    return found.select("doc_id", F.col("keep_key").alias("keep_id"), "group_size", "kept", "text_sha256")
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    lowered = [lower_ascii(F.col(name)) if name == "text" else F.col(name) for name in fields]
+    tampered = F.when(F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")), F.lit(3)) == 0, merkle.leaf_hash(lowered))
+    rows = merkle.manifest(table(spark, sf, "documents"), fields, "lang", "doc_id", carry={"tampered": tampered})
+    proved = rows.select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root",
+        merkle.path_digest(F.col("path")).alias("proof_sha256"),
+        merkle.fold(F.coalesce("tampered", "leaf"), F.col("path")).alias("folded_root"),
+    )
+    return proved.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", periodic.with_repeats(F.col("text"), F.col("doc_id")).alias("text"))
+    found = periodic.collapse_runs(docs)
+    best = F.get("runs", F.col("strongest"))
+    line = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        *[best[name].alias(name) for name in ("start", "length", "period")],
+        F.expr("get(runs, strongest).length * 1000 div get(runs, strongest).period").alias("exponent_milli"),
+        F.sha2(F.encode(F.array_join(line, ""), "utf-8"), 256).alias("runs_sha256"),
+        F.sha2(F.encode("text", "utf-8"), 256).alias("collapsed_sha256"),
+    )

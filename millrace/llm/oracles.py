@@ -112,7 +112,70 @@ hits AS (
 
 DECONTAMINATION = f"WITH {decontamination('documents')} SELECT doc_id, n_words, n_hit, n_items, items_sha256, contaminated FROM hits"
 
+EXACT = r"""
+WITH normal AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS text_sha256
+  FROM documents)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+       row_number() OVER best = 1 AS kept, text_sha256
+FROM normal WINDOW best AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id NULLS LAST)
+"""
+
+
+def _leaf(text: str) -> str:
+    fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(f"CASE WHEN {f} IS NULL THEN '-' ELSE strlen({f})::VARCHAR || ':' || {f} END" for f in fields) + ")"
+
+
+# crc32 of the decimal number, bit by bit.
+CRC = """xor(4294967295, list_reduce(
+  [4294967295::BIGINT] || flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: list_transform(range(8), lambda k: (ascii(c) >> k::INTEGER)::BIGINT & 1))),
+  lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))))"""
+
+MERKLE = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, {_leaf("text")} AS leaf,
+         CASE WHEN {CRC} % 3 = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS tampered
+  FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n,
+         dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS part FROM leaves),
+up AS (
+  SELECT part, 0 AS lvl, pos, n, leaf AS node FROM placed
+  UNION ALL
+  SELECT part, lvl + 1, pos // 8, (n + 7) // 8, sha256(string_agg(node, '' ORDER BY pos)) FROM up WHERE n > 1 GROUP BY part, lvl, pos // 8, n),
+subroots AS (SELECT part, node AS subroot FROM up WHERE n = 1),
+over AS (
+  SELECT 0 AS lvl, part AS pos, (SELECT count(*) FROM subroots) AS n, subroot AS node FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 8, (n + 7) // 8, sha256(string_agg(node, '' ORDER BY pos)) FROM over WHERE n > 1 GROUP BY lvl, pos // 8, n),
+steps AS (
+  SELECT part, lvl, pos, coalesce(string_agg(node, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+         coalesce(string_agg(node, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM up WHERE n > 1 WINDOW run AS (PARTITION BY part, lvl, pos // 8 ORDER BY pos)),
+over_steps AS (
+  SELECT lvl, pos, coalesce(string_agg(node, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+         coalesce(string_agg(node, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM over WHERE n > 1 WINDOW run AS (PARTITION BY lvl, pos // 8 ORDER BY pos)),
+walk AS (
+  SELECT doc_id, part, leaf, 0 AS lvl, pos AS at, '' AS proof, coalesce(tampered, leaf) AS folded FROM placed
+  UNION ALL
+  SELECT w.doc_id, w.part, w.leaf, w.lvl + 1, w.at // 8, w.proof || s.before || s.after, sha256(s.before || w.folded || s.after)
+  FROM walk w JOIN steps s ON s.part = w.part AND s.lvl = w.lvl AND s.pos = w.at),
+inner_walk AS (SELECT * FROM walk QUALIFY row_number() OVER (PARTITION BY doc_id, leaf ORDER BY lvl DESC) = 1),
+over_walk AS (
+  SELECT doc_id, part, leaf, 0 AS lvl, part AS at, proof, folded FROM inner_walk
+  UNION ALL
+  SELECT w.doc_id, w.part, w.leaf, w.lvl + 1, w.at // 8, w.proof || s.before || s.after, sha256(s.before || w.folded || s.after)
+  FROM over_walk w JOIN over_steps s ON s.lvl = w.lvl AND s.pos = w.at),
+ended AS (SELECT * FROM over_walk QUALIFY row_number() OVER (PARTITION BY doc_id, leaf ORDER BY lvl DESC) = 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM ended JOIN subroots USING (part) CROSS JOIN (SELECT node AS root FROM over WHERE n = 1)
+"""
+
 SQL = {
+    "op11_exact_dedup": EXACT,
+    "op12_merkle_manifest": MERKLE,
     "op1_line_dedup": LINE_DEDUP,
     "op4_benchmark_decontamination": DECONTAMINATION,
     "op7_quality_rules": QUALITY,
