@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, lines, nearcopies, packing, toxicity
+from millrace.llm import decontaminate, lines, packing, simhash, toxicity
 from millrace.llm.catalog import table, toxicity_model
 from millrace.llm.common import Scratch
 from millrace.session import configure
@@ -24,17 +24,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the runs of two or more lines that stand earlier; ``n_chars`` follows the text."""
+    """Every document, without the runs of lines that stand earlier; ``n_chars`` follows the text."""
     configure(spark)
-    cut = lines.dedup_runs(docs)
+    cut = lines.dedup_lines(docs)
     n_chars = F.when(F.col("n_removed_lines") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return cut.withColumn("n_chars", n_chars).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of the smallest id, of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    """One document, the one of the smallest id, of each group of linked fingerprints."""
     configure(spark)
-    return nearcopies.keep_one(docs)
+    return simhash.keep_one(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
