@@ -1,6 +1,6 @@
 """DuckDB SQL for the operators that SQL can express."""
 
-from millrace.llm.lines import BASE, DIVISOR, MODULUS, WINDOW
+from millrace.llm.lines import BASE, DIVISOR, MODULUS, REACH, WINDOW
 from millrace.llm.quality import STOP_WORDS, THRESHOLDS
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -54,25 +54,33 @@ def line_dedup(source: str) -> str:
     """Line dedup of a table with ``doc_id`` (unique) and ``text``, as common table expressions up to ``deduped``."""
     return rf"""
 line_rows AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM {source}),
+line_worded AS (
+  SELECT doc_id, lines, list_filter(range(1, len(lines) + 1), lambda i: regexp_matches(lines[i], '[^\x20\x09-\x0D]')) AS pos FROM line_rows),
 line_hashes AS (
-  SELECT doc_id, lines, list_transform(lines, lambda x: ('0x' || substr(md5(x), 1, 7))::BIGINT) AS hashes FROM line_rows),
+  SELECT doc_id, lines, pos, list_transform(pos, lambda i: ('0x' || substr(md5(lines[i]), 1, 7))::BIGINT) AS hashes FROM line_worded WHERE len(pos) > 1),
 line_ends AS (
-  SELECT doc_id, lines, list_filter(range(1, len(lines) + 1), lambda i: i = len(lines) OR {_rolling()} % {DIVISOR} = 0) AS ends
+  SELECT doc_id, lines, pos,
+         list_filter(range(1, len(pos) + 1), lambda i: i = len(pos) OR {_rolling()} % {DIVISOR} = 0 OR (i > 1 AND hashes[i] = hashes[i - 1])) AS ends
   FROM line_hashes),
 line_chunks AS (
-  SELECT doc_id, unnest(list_transform(range(1, len(ends) + 1), lambda k: {{
-           'first': CASE WHEN k = 1 THEN 1 ELSE ends[k - 1] + 1 END, 'last': ends[k],
-           'held': lines[(CASE WHEN k = 1 THEN 1 ELSE ends[k - 1] + 1 END):ends[k]]}})) AS c FROM line_ends),
+  SELECT doc_id, lines, pos, ends[k] AS e, CASE WHEN k = 1 THEN 1 ELSE ends[k - 1] + 1 END AS s, coalesce(ends[k + 1], ends[k] + 1) AS q
+  FROM (SELECT *, unnest(range(1, len(ends) + 1)) AS k FROM line_ends)),
+line_bounds AS (
+  SELECT doc_id, lines, pos, unnest(range(greatest(1, least(s, e) - 1, e - {REACH}), e)) AS f, e AS l FROM line_chunks
+  UNION ALL SELECT doc_id, lines, pos, s, e FROM line_chunks WHERE s < e - {REACH}
+  UNION ALL SELECT doc_id, lines, pos, greatest(e - 1, 1), unnest(range(e + 1, least(q, e + {REACH} + 1))) FROM line_chunks),
 line_places AS (
-  SELECT doc_id, c.first AS first, c.last AS last, array_to_string(c.held, chr(10)) AS bytes FROM line_chunks
-  WHERE len(list_filter(c.held, lambda x: regexp_matches(x, '[^ 	-
-]'))) >= 2),
+  SELECT doc_id, pos[f] AS first, pos[l] AS last, array_to_string(lines[pos[f]:pos[l]], chr(10)) AS bytes FROM line_bounds),
+line_judged AS (
+  SELECT *, row_number() OVER (PARTITION BY bytes ORDER BY doc_id, first) AS n, count(*) OVER (PARTITION BY bytes) AS total FROM line_places),
 line_removed AS (
-  SELECT doc_id, flatten(list(range(first, last + 1))) AS gone FROM (
-    SELECT *, row_number() OVER (PARTITION BY bytes ORDER BY doc_id, first) AS n FROM line_places) WHERE n > 1 GROUP BY doc_id),
+  SELECT doc_id, list_filter(gone, lambda i: NOT coalesce(list_contains(stay, i), false)) AS gone FROM (
+    SELECT doc_id, list_distinct(flatten(list(range(first, last + 1)) FILTER (WHERE n > 1))) AS gone,
+           list_distinct(flatten(list(range(first, last + 1)) FILTER (WHERE n = 1))) AS stay
+    FROM line_judged WHERE total > 1 GROUP BY doc_id)),
 deduped AS (
   SELECT line_rows.doc_id, len(lines)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_removed_lines,
-         CASE WHEN gone IS NULL THEN text ELSE array_to_string(list_transform(
+         CASE WHEN coalesce(len(gone), 0) = 0 THEN text ELSE array_to_string(list_transform(
            list_filter(range(1, len(lines) + 1), lambda i: NOT list_contains(gone, i)), lambda i: lines[i]), chr(10)) END AS text
   FROM line_rows LEFT JOIN line_removed USING (doc_id))"""
 

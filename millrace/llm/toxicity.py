@@ -9,11 +9,13 @@ The model is fitted on ``max_documents`` labelled documents at most, a
 documented bound: the ones with the smallest hash of their id. Their ids are
 broadcast, so that the corpus is scanned without moving a text. Features are
 words and their first letters, chosen by how much their document frequency
-differs between the labels; the weights are fitted on the driver, which holds
-feature numbers only. Scoring is a pass over all documents in Arrow batches.
+differs between the labels. The sample's feature numbers are written once and stay
+in their table: a round sends the weights out and adds up a gradient per
+partition, so the driver holds weights, however long the documents are.
+Scoring is a pass over all documents in Arrow batches.
 
 A NULL or empty text has no sentence and scores the leak, near 0. Labels that
-are NULL are ignored, ids that repeat are learned from once; with labels of a single kind every score is the leak.
+are NULL are ignored, ids that repeat are learned from once; with labels of a single kind, or none, or an empty table, every score is the leak.
 Equal texts score equally. Labels, ids and other columns never enter a score.
 """
 
@@ -25,6 +27,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +39,8 @@ STEM = 4
 MAX_FEATURES = 4096
 MAX_DOCUMENTS = 20_000
 MIN_DOCUMENTS = 3
-ROUNDS = 200
-RATE = 0.15
+ROUNDS = 100
+RATE = 0.25
 PENALTY = 2e-4
 
 _sentence_end = re.compile(SENTENCE_END)
@@ -99,56 +102,88 @@ def choose_features(labelled: DataFrame, n: int = MAX_FEATURES, min_documents: i
     return [row["feature"] for row in counts.orderBy(statistic.desc(), "feature").select("feature").limit(n).collect()]
 
 
-def _bags(labelled: DataFrame, features: list[str]) -> pd.DataFrame:
+def _bags(labelled: DataFrame, features: list[str]) -> DataFrame:
     """Label and chosen features of each document, sentence by sentence; -1 ends a sentence."""
     numbers = {name: i for i, name in enumerate(features)}
 
-    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model()
         for batch in batches:
             bags = []
-            for text in batch["text"]:
+            for text in batch.column("text").to_pylist():
                 bag: list[int] = []
                 for sentence in model.sentences((text or "").lower()):
                     for word in _letters.findall(sentence):
                         bag += [numbers[f] for f in (word, word[:STEM] + "*") if f in numbers]
                     bag.append(-1)
                 bags.append(np.array(bag, dtype=np.int16))
-            yield pd.DataFrame({"label": batch["label"], "bag": bags})
-
-    return labelled.select("text", "label").mapInPandas(listed, "label int, bag array<smallint>").toPandas()
-
-
-def _optimise(labels: np.ndarray, bags: list[np.ndarray], n_features: int) -> tuple[np.ndarray, float, float]:
-    """Adam on the noisy-or likelihood; the gradient of a sentence is its responsibility."""
-    flat = np.concatenate([np.asarray(b, dtype=np.int64) for b in bags]) if bags else np.empty(0, np.int64)
-    ends = flat < 0
-    n_sentences = int(ends.sum())
-    sentence_of = np.cumsum(ends) - ends
-    used, at = flat[~ends], sentence_of[~ends]
-    per_doc = np.array([int((np.asarray(b) < 0).sum()) for b in bags])
-    doc_of = np.repeat(np.arange(len(bags)), per_doc)
-    share = labels.mean()
-    weights, bias, leak = np.zeros(n_features), np.log(share / (1 - share)) - np.log(max(1.0, per_doc.mean())), -6.0
+            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(bags, pa.list_(pa.int16()))], names=["label", "bag"])
+
+    return labelled.select("text", "label").mapInArrow(listed, "label int, bag array<smallint>")
+
+
+@dataclass
+class Point:
+    """Where the fit stands: weights, bias, and the leak's log-odds; ``balance`` are the label weights, ``n`` the documents."""
+
+    weights: np.ndarray
+    bias: float
+    leak: float
+    balance: tuple[float, float]
+    n: int
+
+
+def slope(at: Point, labels: np.ndarray, flat: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The gradient of the noisy-or likelihood over some documents; a sentence's share is its responsibility.
+
+    ``flat`` are the documents' features one after the other, -1 at the end of each sentence; ``ends`` is where each document ends.
+    """
+    breaks = flat < 0
+    closing, used = np.flatnonzero(breaks), flat[~breaks]
+    sentence_of = (np.cumsum(breaks, dtype=np.int32) - breaks)[~breaks]
+    doc_of = np.searchsorted(ends, closing, side="right")
+    z = np.bincount(sentence_of, at.weights[used], len(closing)) + at.bias
+    p = np.clip(1 / (1 + np.exp(-np.clip(z, -30, 30))), 1e-12, 1 - 1e-12)
+    p_leak = 1 / (1 + np.exp(-at.leak))
+    log_good = np.bincount(doc_of, np.log1p(-p), len(labels)) + np.log1p(-p_leak)
+    bad = np.clip(-np.expm1(log_good), 1e-9, 1)
+    # d(-log likelihood)/dz of a sentence: p for a good document, -p * (1 - bad) / bad for a bad one.
+    outer = np.where(labels == 1, -at.balance[1] * (1 - bad) / bad, at.balance[0]) / at.n
+    by_sentence = p * outer[doc_of]
+    return np.concatenate([np.bincount(used, by_sentence[sentence_of], len(at.weights)), [by_sentence.sum(), p_leak * outer.sum()]])
+
+
+def _gradient(bags: DataFrame, at: Point) -> np.ndarray:
+    """One pass over the bags: partitions sum theirs, and the driver adds a row per partition, in their order."""
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(at.weights) + 2)
+        for batch in batches:
+            bag = batch.column("bag")
+            total += slope(at, batch.column("label").to_numpy(), bag.flatten().to_numpy(), np.cumsum(bag.value_lengths().to_numpy()))
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["gradient"])
+
+    rows = bags.mapInArrow(summed, "gradient binary").collect()
+    return np.sum([np.frombuffer(row["gradient"]) for row in rows], axis=0)
+
+
+def _optimise(bags: DataFrame, n_features: int) -> tuple[np.ndarray, float, float] | None:
+    """Adam over passes of the bags, which stay in their table: the driver holds the weights. None with labels of a single kind."""
+    sentences = F.size(F.filter("bag", lambda f: f < 0))
+    n, n_bad, n_sentences = bags.agg(F.count("*"), F.sum("label"), F.sum(sentences)).first()
+    if not n_bad or n_bad == n:
+        return None
+    share = n_bad / n
+    balance = ((0.5 / (1 - share)) ** 0.5, (0.5 / share) ** 0.5)
+    at = Point(np.zeros(n_features), np.log(share / (1 - share)) - np.log(max(1.0, n_sentences / n)), -6.0, balance, n)
     moment = [np.zeros(n_features + 2), np.zeros(n_features + 2)]
-    balance = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)) ** 0.5
     for step in range(1, ROUNDS + 1):
-        z = np.bincount(at, weights[used], n_sentences) + bias
-        p = np.clip(1 / (1 + np.exp(-np.clip(z, -30, 30))), 1e-12, 1 - 1e-12)
-        p_leak = 1 / (1 + np.exp(-leak))
-        log_good = np.bincount(doc_of, np.log1p(-p), len(bags)) + np.log1p(-p_leak)
-        bad = np.clip(-np.expm1(log_good), 1e-9, 1)
-        # d(-log likelihood)/dz of a sentence: p for a good document, -p * (1 - bad) / bad for a bad one.
-        outer = balance * np.where(labels == 1, -(1 - bad) / bad, 1.0) / len(bags)
-        by_sentence = p * outer[doc_of]
-        gradient = np.concatenate([
-            np.bincount(used, by_sentence[at], n_features) + PENALTY * weights / 10, [by_sentence.sum()], [p_leak * outer.sum()]
-        ])
+        gradient = _gradient(bags, at)
+        gradient[:-2] += PENALTY * at.weights / 10
         moment[0] = 0.9 * moment[0] + 0.1 * gradient
         moment[1] = 0.99 * moment[1] + 0.01 * gradient**2
         move = RATE * (moment[0] / (1 - 0.9**step)) / (np.sqrt(moment[1] / (1 - 0.99**step)) + 1e-8)
-        weights, bias, leak = weights - move[:-2], bias - move[-2], leak - move[-1]
-    return weights, float(bias), float(1 / (1 + np.exp(-leak)))
+        at = Point(at.weights - move[:-2], at.bias - move[-2], at.leak - move[-1], balance, n)
+    return at.weights, float(at.bias), float(1 / (1 + np.exp(-at.leak)))
 
 
 def train(docs: DataFrame, labels: DataFrame, max_documents: int = MAX_DOCUMENTS, max_features: int = MAX_FEATURES) -> Model:
@@ -161,11 +196,10 @@ def train(docs: DataFrame, labels: DataFrame, max_documents: int = MAX_DOCUMENTS
     features = choose_features(labelled, max_features)
     if not features:
         return Model()
-    bags = _bags(labelled, features)
-    labels = bags["label"].to_numpy(dtype=float)
-    if labels.min() == labels.max():
+    fitted = _optimise(scratch.write("bags", _bags(labelled, features)), len(features))
+    if fitted is None:
         return Model()
-    weights, bias, leak = _optimise(labels, list(bags["bag"]), len(features))
+    weights, bias, leak = fitted
     return Model({name: float(w) for name, w in zip(features, weights) if abs(w) > 1e-3}, bias, leak)
 
 

@@ -55,17 +55,34 @@ def test_line_dedup_edge_rows(docs):
     assert lines.dedup_lines(docs()).collect() == []
 
 
+def pairs_of(text):
+    worded = [line for line in (text or "").split("\n") if line.strip(" \t\r\v\f")]
+    return list(zip(worded, worded[1:]))
+
+
 def test_runs_go_whole_whatever_stands_around_them(docs):
-    runs = [[f"run {r} line {i}" for i in range(2 + r % 4)] for r in range(12)]
+    runs = [[f"run {r} line {i}" for i in range(8 + r % 4)] for r in range(12)]
     rows = [(i, "\n".join([f"before {i}", *run, f"after {i}"])) for i, run in enumerate(runs)]
     rows += [(100 + i, "\n".join([f"other {i}", *run, f"end {i}"])) for i, run in enumerate(runs)]
-    rows += [(200, "x\n" * 9 + "last"), (201, "a\n\nb\nc one"), (202, "p\na\n\nb\nq"), (203, "a\nlone")]
-    got = {r.doc_id: r for r in lines.dedup_runs(docs(*rows)).collect()}
+    rows += [(200, "x\n" * 9 + "last"), (203, "a\nlone")]
+    got = {r.doc_id: r for r in lines.dedup_lines(docs(*rows)).collect()}
     for i, run in enumerate(runs):
         assert got[i].text == rows[i][1]
         assert (got[100 + i].text, got[100 + i].n_removed_lines) == (f"other {i}\nend {i}", len(run))
     assert got[200].text == "x\nx\nlast" and got[200].n_removed_lines == 7
-    assert got[201].text == "a\n\nb\nc one" and got[202].text == "p\nq" and got[203].text == "a\nlone"
+    assert got[203].text == "a\nlone"
+
+
+def test_one_whole_copy_of_every_repeated_pair_stays(docs):
+    rng = random.Random(5)
+    blocks = [[f"block {b} line {i}" for i in range(rng.randint(2, 6))] for b in range(8)]
+    texts = ["\n".join(line for _ in range(rng.randint(1, 6)) for line in rng.choice(blocks)) for _ in range(60)]
+    texts += ["A\nB", "A\nB\nC", "B\nC", "A\n\nB", "A\n\nB"]
+    kept = [r.text for r in lines.dedup_lines(docs(*enumerate(texts))).collect()]
+    left = {pair for text in kept for pair in pairs_of(text)}
+    inside = {pair for block in blocks for pair in zip(block, block[1:])} | {("A", "B"), ("B", "C")}
+    assert inside & {pair for text in texts for pair in pairs_of(text)} <= left
+    assert sum(len(pairs_of(t)) for t in kept) < 0.5 * sum(len(pairs_of(t)) for t in texts)
 
 
 # --- quality rules
