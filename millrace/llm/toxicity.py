@@ -42,6 +42,7 @@ MIN_DOCUMENTS = 3
 ROUNDS = 100
 RATE = 0.25
 PENALTY = 2e-4
+CACHED_WORDS = 1 << 16  # weights that a scoring task remembers
 
 _sentence_end = re.compile(SENTENCE_END)
 _letters = re.compile(r"[^\W\d_]+")
@@ -67,7 +68,7 @@ class Model:
                 weight = cache.get(word)
                 if weight is None:
                     weight = self.weights.get(word, 0.0) + self.weights.get(word[:STEM] + "*", 0.0)
-                    if len(cache) < 1_000_000:
+                    if len(cache) < CACHED_WORDS:
                         cache[word] = weight
                 value += weight
             totals.append(value)
