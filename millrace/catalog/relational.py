@@ -379,3 +379,42 @@ def late_data_split(spark, sf):
     rows = T.events(spark, sf).select("event_id", moved.alias("ts"))
     on_time, late = lateness.late_data_split(rows, "ts", "event_id", "10 minutes")
     return on_time.withColumn("late", F.lit(False)).unionByName(late.withColumn("late", F.lit(True)))
+
+
+LATE_SQL = """WITH e AS (SELECT event_id, user_id, value, event_id // 5 AS arrived,
+                         CASE WHEN event_id % 31 = 0 THEN ts - INTERVAL 1 HOUR ELSE ts END AS ts FROM events)"""
+
+
+def _arriving(spark, sf):
+    """Events that arrive five at a time; some are an hour older than they look."""
+    moved = F.when(F.col("event_id") % 31 == 0, F.col("ts") - F.expr("interval 1 hour")).otherwise(F.col("ts"))
+    return T.events(spark, sf).select("event_id", "user_id", "value", F.floor(F.col("event_id") / 5).alias("arrived"), moved.alias("ts"))
+
+
+@query(
+    "late_data_split_ties",
+    LATE_SQL + """, p AS (SELECT arrived, max(ts) AS peak FROM e GROUP BY arrived),
+       w AS (SELECT arrived, max(peak) OVER (ORDER BY arrived ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 10 MINUTE AS watermark FROM p)
+       SELECT event_id, ts, watermark, coalesce(ts < watermark, false) AS late FROM e JOIN w USING (arrived)""",
+)
+def late_data_split_ties(spark, sf):
+    """Rows that arrive together do not make each other late."""
+    on_time, late = lateness.late_data_split(_arriving(spark, sf), "ts", "arrived", "10 minutes")
+    both = on_time.withColumn("late", F.lit(False)).unionByName(late.withColumn("late", F.lit(True)))
+    return both.select("event_id", "ts", "watermark", "late")
+
+
+@query(
+    "late_corrections",
+    LATE_SQL + """ SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, user_id, count(*) AS txn_count,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_amount FROM e GROUP BY ALL""",
+)
+def late_corrections(spark, sf):
+    """Windows over the rows on time, and the late rows' differences folded in: the result over all rows."""
+    on_time, late = lateness.late_data_split(_arriving(spark, sf), "ts", "arrived", "10 minutes")
+    keys = [F.window("ts", "1 hour")["start"].alias("window_start"), "user_id"]
+    measures = [F.count("*").alias("txn_count"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total_amount")]
+    closed = on_time.groupBy(*keys).agg(*measures)
+    deltas = lateness.corrections(late, keys, measures)
+    folded = lateness.fold_corrections(closed, deltas, ["window_start", "user_id"], ["txn_count", "total_amount"], rows="txn_count")
+    return folded.withColumn("total_amount", F.col("total_amount").cast("double"))

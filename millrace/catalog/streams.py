@@ -7,17 +7,19 @@ with the same computation in SQL over the whole table.
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from millrace.catalog import tables as T
 from millrace.catalog.registry import query
 from millrace.catalog.writes import ALLOWED, CDC_SQL, transition_sql
-from millrace.operators import transform
+from millrace.operators import idempotent, transform
 from millrace.plans import serving
 from millrace.session import scratch_dir
 from millrace.sources.batch import scan_parquet
-from millrace.streaming import sinks, transitions, views
-
+from millrace.sources.buckets import BucketTable
+from millrace.streaming import health, sinks, transitions, views
+from millrace.streaming.logs import LeveledLog, newest
 
 SLICES, SLICE_FILES = 3, 2
 
@@ -47,6 +49,32 @@ def _drain(df, write, checkpoint, mode="update"):
     sinks.foreach_batch_sink(df, write, checkpoint, mode, processing_time=None).awaitTermination()
 
 
+class _DyingLog(LeveledLog):
+    """A log whose writer dies once, after its first merge and before it has cleaned up."""
+
+    died = False
+
+    def sweep(self, keep):
+        if not self.died and any(segment.level for segment in self.segments()):
+            self.died = True
+            raise OSError("the writer died")
+        super().sweep(keep)
+
+
+def _dying(log):
+    """The log with merges of two and a writer that dies; its queries are started again."""
+    return _DyingLog(log.spark, log.path, log.reduce, fan_in=2)
+
+
+def _restarted(start, log):
+    """Run a draining query until it ends: a micro-batch that failed is repeated from the checkpoint."""
+    try:
+        start().awaitTermination()
+    except StreamingQueryException:
+        start().awaitTermination()
+    assert log.died and any(segment.level for segment in log.segments())
+
+
 @query("file_stream_ingest", "SELECT event_id, user_id, event_type, value, true AS has_file, true AS has_time FROM events")
 def file_stream_ingest(spark, sf):
     path = scratch_dir(spark, "file-stream")
@@ -83,10 +111,10 @@ VELOCITY_SQL = """
 @query("foreach_batch_sink", VELOCITY_SQL)
 def foreach_batch_sink(spark, sf):
     path = scratch_dir(spark, "velocity")
-    log = sinks.ChangeLog(spark, f"{path}/log")
+    log = LeveledLog(spark, f"{path}/log", newest(["window_start", "user_id"]))
     windows = views.tumbling_velocity(views.watermark(_stream(spark, sf), "ts", "10 minutes"), "ts", "user_id", "value")
     _drain(views.window_columns(windows), log.write, f"{path}/checkpoint")
-    return log.current(["window_start", "user_id"])
+    return log.current().drop("batch_id")
 
 
 @query(
@@ -120,7 +148,7 @@ def fraud_alert_stream(spark, sf):
 
 def _dashboard(spark, sf):
     path = scratch_dir(spark, "dashboard")
-    activity, pages = sinks.ChangeLog(spark, f"{path}/activity"), sinks.ChangeLog(spark, f"{path}/pages")
+    activity, pages = serving.activity_log(spark, f"{path}/activity"), serving.pages_log(spark, f"{path}/pages")
     for started in serving.start_dashboard(
         _stream(spark, sf), activity, pages, f"{path}/checkpoints", "ts", "user_id", "event_type", processing_time=None
     ):
@@ -131,12 +159,12 @@ def _dashboard(spark, sf):
 @query(
     "dashboard_activity_stream",
     """SELECT time_bucket(INTERVAL 10 SECOND, ts) - i * INTERVAL 10 SECOND AS window_start, count(*) AS event_count,
-       count(DISTINCT user_id) > 0 AS has_users FROM events, range(6) r(i) GROUP BY window_start""",
+       count(DISTINCT user_id) AS unique_users FROM events, range(6) r(i) GROUP BY window_start""",
 )
 def dashboard_activity_stream(spark, sf):
+    """The users of a window come from its panes' sketches, which count a few dozen values exactly."""
     activity, _ = _dashboard(spark, sf)
-    current = activity.current(["window_start"])
-    return current.select("window_start", "event_count", (F.col("unique_users") > 0).alias("has_users"))
+    return serving.dashboard_activity(activity).select("window_start", "event_count", "unique_users")
 
 
 @query(
@@ -157,11 +185,11 @@ def dashboard_pages_stream(spark, sf):
 )
 def recommendation_stream(spark, sf):
     path = scratch_dir(spark, "recommendations")
-    log = sinks.ChangeLog(spark, f"{path}/log")
+    log = _dying(serving.items_log(spark, f"{path}/log"))
     stream = _stream(spark, sf).withColumn("item", F.get_json_object("props", "$.k"))
-    serving.start_recommendations(
+    _restarted(lambda: serving.start_recommendations(
         stream, log, f"{path}/checkpoint", "ts", "user_id", "item", "event_id", processing_time=None
-    ).awaitTermination()
+    ), log)
     served = serving.served_recommendations(log)
     return served.select(
         "window_start", "user_id", "interaction_count", F.array_join("recommended_items", ",").alias("recommended")
@@ -175,10 +203,10 @@ DAY_SQL = """SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, user_id,
 @query("speed_layer_view", DAY_SQL)
 def speed_layer_view(spark, sf):
     path = scratch_dir(spark, "speed")
-    log = sinks.ChangeLog(spark, f"{path}/log")
-    serving.start_speed_layer(
-        _stream(spark, sf), log, f"{path}/checkpoint", "ts", "user_id", "value", "event_id", processing_time=None
-    ).awaitTermination()
+    log, stream = _dying(serving.speed_log(spark, f"{path}/log")), _stream(spark, sf)
+    _restarted(lambda: serving.start_speed_layer(
+        stream, log, f"{path}/checkpoint", "ts", "user_id", "value", "event_id", processing_time=None
+    ), log)
     return serving.speed_view(log).drop("window_end")
 
 
@@ -191,10 +219,10 @@ def lambda_serving(spark, sf):
     path = scratch_dir(spark, "lambda")
     cutoff = F.lit("2024-01-25").cast("date")
     serving.write_batch_view(T.events(spark, sf), f"{path}/batch", "user_id", F.col("ts").cast("date"), "value", "event_id")
-    log = sinks.ChangeLog(spark, f"{path}/log")
-    serving.start_speed_layer(
-        _stream(spark, sf), log, f"{path}/checkpoint", "ts", "user_id", "value", "event_id", processing_time=None
-    ).awaitTermination()
+    log, stream = _dying(serving.speed_log(spark, f"{path}/log")), _stream(spark, sf)
+    _restarted(lambda: serving.start_speed_layer(
+        stream, log, f"{path}/checkpoint", "ts", "user_id", "value", "event_id", processing_time=None
+    ), log)
     return serving.serve(scan_parquet(spark, f"{path}/batch"), log, cutoff)
 
 
@@ -205,13 +233,31 @@ def lambda_serving(spark, sf):
 )
 def kappa_replay(spark, sf):
     path = scratch_dir(spark, "kappa")
-    log = sinks.ChangeLog(spark, f"{path}/log")
-    serving.start_replay(
-        _stream(spark, sf), log, f"{path}/checkpoint", "ts", "user_id", "value", "event_id"
-    ).awaitTermination()
+    log, stream = _dying(serving.speed_log(spark, f"{path}/log")), _stream(spark, sf)
+    _restarted(lambda: serving.start_replay(stream, log, f"{path}/checkpoint", "ts", "user_id", "value", "event_id"), log)
     return serving.replayed_totals(log)
 
 
+@query("stream_health_history", "SELECT count(*) AS input_rows, 3 AS batches, true AS complete FROM events")
+def stream_health_history(spark, sf):
+    """Every micro-batch of a drained stream, though Spark itself is told to remember one."""
+    path, name = scratch_dir(spark, "health"), "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(name)
+    listener = health.ProgressLog(LeveledLog(spark, f"{path}/log"), every=2)
+    spark.streams.addListener(listener)
+    try:
+        spark.conf.set(name, "1")
+        stream = _stream(spark, sf)
+        ended = sinks.stream_file_sink(stream, f"{path}/out", f"{path}/checkpoint", None)
+        ended.awaitTermination()
+        complete = listener.wait(ended)
+    finally:
+        spark.conf.set(name, before)
+        spark.streams.removeListener(listener)
+    with_input = listener.history().filter("input_rows > 0")
+    return with_input.agg(F.sum("input_rows").alias("input_rows"), F.count("*").cast("int").alias("batches"), F.lit(complete).alias("complete"))
+
+
 @query("stream_dedup", "SELECT DISTINCT l_orderkey, l_linenumber, l_shipdate FROM lineitem")
 def stream_dedup(spark, sf):
     """Every line arrives twice; repeats of a line carry its time, so the watermark holds its state until then."""
@@ -229,7 +275,7 @@ def stream_dedup(spark, sf):
 )
 def cdc_apply_stream(spark, sf):
     path = scratch_dir(spark, "cdc")
-    log = sinks.ChangeLog(spark, f"{path}/log")
+    log = _dying(sinks.cdc_log(spark, f"{path}/log", ["ts_ms", "offset"]))
     image = F.struct(F.col("user_id").alias("id"), F.col("event_type").alias("name"), F.col("value").alias("email_score"))
     op = F.when(F.col("event_type") == "signup", "c").when(F.col("event_type") == "error", "d").otherwise("u")
     envelopes = _stream(spark, sf, order="event_id").select(
@@ -239,8 +285,9 @@ def cdc_apply_stream(spark, sf):
         F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"),
         F.col("event_id").alias("offset"),
     )
-    _drain(envelopes, sinks.cdc_writer(log, "id", ["ts_ms", "offset"]), f"{path}/checkpoint", "append")
-    return sinks.cdc_current(log, ["ts_ms", "offset"])
+    write = sinks.cdc_writer(log, "id", ["ts_ms", "offset"])
+    _restarted(lambda: sinks.foreach_batch_sink(envelopes, write, f"{path}/checkpoint", "append", None), log)
+    return sinks.cdc_current(log)
 
 
 @query(
@@ -248,18 +295,18 @@ def cdc_apply_stream(spark, sf):
     """SELECT event_id, 'events' AS topic, user_id % 3 AS "partition", event_id AS "offset", true AS inserted FROM events""",
 )
 def offset_ledger_stream(spark, sf):
+    """Every slice is delivered twice; the second time its offsets are in the stream's state."""
     path = scratch_dir(spark, "offsets")
-    log = sinks.ChangeLog(spark, f"{path}/log")
-    write = sinks.offset_writer(log, "event_id")
-    for attempt in range(2):
-        messages = _stream(spark, sf, order="event_id").select(
-            "event_id",
-            F.lit("events").alias("topic"),
-            (F.col("user_id") % 3).alias("partition"),
-            F.col("event_id").alias("offset"),
-        )
-        replayed = (lambda shift: lambda df, batch_id: write(df, batch_id + shift))(attempt * 1_000)
-        _drain(messages, replayed, f"{path}/checkpoint-{attempt}", "append")
+    log = LeveledLog(spark, f"{path}/log", fan_in=2)
+    schema = _stage(spark, sf, f"{path}/in", order="event_id", slices=[n for n in range(SLICES) for _ in range(2)])
+    messages = _read_slices(spark, f"{path}/in", schema).select(
+        "event_id",
+        F.lit("events").alias("topic"),
+        (F.col("user_id") % 3).alias("partition"),
+        F.col("event_id").alias("offset"),
+    )
+    unseen = views.unseen_messages(messages, "event_id", idempotent.OFFSET_KEYS)
+    _drain(unseen, sinks.offset_writer(log, "event_id"), f"{path}/checkpoint", "append")
     return log.read().drop("batch_id")
 
 
@@ -269,9 +316,8 @@ def offset_ledger_stream(spark, sf):
 )
 def upsert_sink(spark, sf):
     path = scratch_dir(spark, "upsert")
-    table = sinks.VersionedTable(spark, f"{path}/table")
-    write = sinks.upsert_writer(table, ["user_id"], ["event_id"])
-    _drain(_stream(spark, sf, order="event_id"), write, f"{path}/checkpoint", "append")
+    table = BucketTable(spark, f"{path}/table", ["user_id"], ["event_id"], buckets=16)
+    _drain(_stream(spark, sf, order="event_id"), sinks.upsert_writer(table), f"{path}/checkpoint", "append")
     return table.read().select("user_id", "event_type", "value")
 
 

@@ -470,6 +470,34 @@ def version_gated_update(spark, sf):
     return versions.version_gated_update(_version_updates(spark, sf), "user_id", "expected", ["event_id"])
 
 
+def _version_walk_sql(expected):
+    """Every update in turn, each seeing the version the earlier ones of its record left."""
+    return f"""WITH RECURSIVE e AS (
+         SELECT user_id, event_id, {expected} AS expected, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events),
+       v AS (
+         SELECT user_id, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS event_id, CAST(NULL AS BIGINT) AS expected,
+                CAST(0 AS BIGINT) AS current_version, CAST(0 AS BIGINT) AS version FROM (SELECT DISTINCT user_id FROM e)
+         UNION ALL
+         SELECT e.user_id, e.rn, e.event_id, e.expected, v.version,
+                CASE WHEN v.version = e.expected THEN v.version + 1 ELSE v.version END
+         FROM v JOIN e ON e.user_id = v.user_id AND e.rn = v.rn + 1)
+       SELECT user_id, event_id, expected, current_version,
+              CASE WHEN current_version > expected THEN 'already_updated' WHEN current_version < expected THEN 'conflict'
+                   ELSE 'applied' END AS verdict FROM v WHERE rn > 0"""
+
+
+@query(
+    "version_gated_update_segments",
+    _version_walk_sql("CASE WHEN event_id % 3 = 0 THEN event_id * 7919 % 1000 ELSE event_id * 31 % 7 END"),
+)
+def version_gated_update_segments(spark, sf):
+    """Small segments and scattered versions: every record's maps are composed over several levels."""
+    n = F.col("event_id")
+    expected = F.when(n % 3 == 0, n * 7919 % 1000).otherwise(n * 31 % 7)
+    updates = T.events(spark, sf).select("user_id", "event_id", expected.alias("expected"))
+    return versions.version_gated_update(updates, "user_id", "expected", ["event_id"], max_rows=8)
+
+
 ONE_UPDATE_SQL = """WITH t AS (SELECT c_custkey AS id, c_name AS name, CAST(c_nationkey % 3 AS BIGINT) AS version FROM customer),
             u AS (SELECT user_id AS id, event_type AS name, event_id % 3 AS expected FROM events
                   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1),

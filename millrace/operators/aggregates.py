@@ -153,22 +153,34 @@ def collect_recent_items(
     return parts.withColumn("entries", items).withColumnRenamed("entries", "recent_items")
 
 
-def first_of_entries(parts: DataFrame, limit: int = 5) -> DataFrame:
-    """Per window and user, the first items over all parts and their count.
+def first_entries(events: DataFrame, ts: str, user: str, item: str, event: str, size: str, keep: int) -> DataFrame:
+    """Item count and the first ``keep`` ``(ts, event, item)`` entries per window and user.
 
-    Every part offers its first ``limit`` entries, and ranking keeps ``limit``
-    per group before the exchange.
+    Ranking stops at ``keep`` before the exchange, so a hot group ships at most
+    ``keep`` rows per task. A group without items has none.
     """
-    counts = parts.groupBy("window_start", "user_id").agg(F.sum(F.size("entries")).alias("interaction_count"))
-    offered = parts.select("window_start", "user_id", F.explode(F.slice("entries", 1, limit)).alias("_entry"))
-    rank = F.row_number().over(Window.partitionBy("window_start", "user_id").orderBy("_entry"))
-    first = (
-        offered.withColumn("_rank", rank)
-        .filter(F.col("_rank") <= limit)
-        .groupBy("window_start", "user_id")
-        .agg(F.transform(F.array_sort(F.collect_list("_entry")), lambda entry: entry["item"]).alias("items"))
+    entry = F.struct(F.col(ts).alias("ts"), F.col(event).alias("event"), F.col(item).cast("string").alias("item"))
+    group = ["window_start", "user_id"]
+    windowed = events.select(
+        F.window(ts, size)["start"].alias("window_start"), F.col(user).alias("user_id"), F.when(F.col(item).isNotNull(), entry).alias("_entry")
+    )
+    counts = windowed.groupBy(*group).agg(F.count("_entry").alias("interaction_count"))
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy("_entry"))
+    kept = windowed.where("_entry IS NOT NULL").withColumn("_rank", rank).filter(F.col("_rank") <= keep)
+    listed = kept.groupBy(*group).agg(F.array_sort(F.collect_list("_entry")).alias("entries"))
+    joined = skew.keyed_join(counts, listed, group, "left", null_safe=True)
+    return joined.withColumn("entries", F.coalesce("entries", F.array().cast(listed.schema["entries"].dataType)))
+
+
+def merge_entries(parts: DataFrame, keep: int) -> DataFrame:
+    """Total count and first ``keep`` entries of the parts of each window and user.
+
+    A part holds ``keep`` entries at most, so a group gathers ``keep`` per part that it is in.
+    """
+    together = F.array_sort(F.flatten(F.collect_list("entries")))
+    return parts.groupBy("window_start", "user_id").agg(
+        F.sum("interaction_count").alias("interaction_count"), F.slice(together, 1, keep).alias("entries"), F.max("batch_id").alias("batch_id")
     )
-    return skew.keyed_join(counts, first, ["window_start", "user_id"], "left", null_safe=True)
 
 
 def first_items(events: DataFrame, ts: str, user: str, item: str, event: str, size: str, limit: int = 5) -> DataFrame:

@@ -113,22 +113,20 @@ def apply_one_update(
     return table, judged.filter(F.col("verdict") != "untouched").select(key, "verdict")
 
 
-def offset_ledger_apply(
-    messages: DataFrame, ledger: DataFrame | None, event_key: str, offset_keys: Sequence[str] = ("topic", "partition", "offset")
-) -> DataFrame:
+OFFSET_KEYS = ("topic", "partition", "offset")
+
+
+def offset_ledger_apply(messages: DataFrame, ledger: DataFrame | None, event_key: str, offset_keys: Sequence[str] = OFFSET_KEYS) -> DataFrame:
     """Messages to record: unseen offsets, flagged where the event is new.
 
     ``ledger`` is the table this appends to, so data and offsets are one
-    write: rows with ``inserted`` are the data, all rows are the ledger. The
-    last offset key is a number; ledger rows below the batch's smallest one
-    cannot match and are left to the scan's statistics to skip. The unseen
+    write: rows with ``inserted`` are the data, all rows are the ledger. For bounded loads: the whole ledger's
+    keys are read, as an event may have come at any offset before. Streams keep
+    them as state (``streaming.views.unseen_messages``). The unseen
     messages, needed twice, are written once to the session's shared folder.
     """
     offsets = list(offset_keys)
-    fresh = messages
-    if ledger is not None:
-        smallest = messages.agg(F.min(offsets[-1])).scalar()
-        fresh = joins.anti_join_ledger(messages, ledger.filter(F.col(offsets[-1]) >= smallest), offsets)
+    fresh = messages if ledger is None else joins.anti_join_ledger(messages, ledger, offsets)
     fresh = materialize(ranking.dedup_keep_first(fresh, offsets, [event_key]), "fresh-messages")
     firsts = ranking.dedup_keep_first(fresh.select(event_key, *offsets), [event_key], offsets)
     if ledger is not None:
@@ -137,6 +135,18 @@ def offset_ledger_apply(
     return fresh.join(winners, offsets, "left").fillna({"inserted": False})
 
 
+def inserted_once(marked: DataFrame, event_key: str, offset_keys: Sequence[str] = OFFSET_KEYS) -> DataFrame:
+    """Unseen messages with ``inserted``: the first, by offset, of an event that has a ``_new`` row.
+
+    ``marked`` holds every unseen message with ``_new`` false and one more row,
+    ``_new`` true, per unseen event; whichever message that row repeats.
+    """
+    at = F.struct(*offset_keys)
+    events = marked.groupBy(event_key).agg(F.bool_or("_new").alias("_fresh"), F.min(at).alias("_first"))
+    joined = skew.lookup_join(marked.filter(~F.col("_new")), events, [event_key], null_safe=True)
+    return joined.withColumn("inserted", F.col("_fresh") & (at == F.col("_first"))).drop("_new", "_fresh", "_first")
+
+
 def process_order_once(
     stock: DataFrame,
     order_lines: DataFrame,

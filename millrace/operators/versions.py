@@ -4,13 +4,12 @@ Whether an update applies depends on all earlier ones of its record, so each
 record is a fold over its updates in order. Records are cut by rank into segments of
 bounded size. A segment acts on the version it is entered
 with as a function, and such functions compose: entry versions follow from the
-segments' summaries, and then every segment folds on its own.
+segments' maps, composed in a tree, and then every segment folds on its own.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -18,6 +17,9 @@ from pyspark.sql import functions as F
 
 from millrace.operators import skew
 from millrace.operators.segments import cut_segments
+from millrace.session import materialize
+
+WIDTH = 1024  # versions per bucket of a map
 
 
 def summarize_segment(expected: Sequence[int]) -> list[tuple[int, int, int]]:
@@ -39,22 +41,62 @@ def summarize_segment(expected: Sequence[int]) -> list[tuple[int, int, int]]:
     return runs
 
 
-def enter_segments(version: int, segments: Iterator[list[tuple[int, int, int]]]) -> Iterator[int]:
-    """Entry version of each segment in turn, starting from ``version``."""
-    for runs in segments:
-        yield version
-        at = bisect_right([run[0] for run in runs], version) - 1
-        if at >= 0 and runs[at][0] <= version <= runs[at][1]:
-            version = runs[at][2]
+def _in_buckets(runs: DataFrame) -> DataFrame:
+    """Runs cut at multiples of ``WIDTH``: a bucket of a map holds ``WIDTH`` runs at most, as they do not overlap."""
+    each = F.explode(F.sequence(F.floor(F.col("low") / WIDTH), F.floor(F.col("high") / WIDTH)))
+    cut = runs.withColumn("bucket", each)
+    begin, end = F.col("bucket") * WIDTH, F.col("bucket") * WIDTH + (WIDTH - 1)
+    return cut.withColumns({"low": F.greatest("low", begin), "high": F.least("high", end)})
+
+
+def _leave_by(early: DataFrame, late: DataFrame) -> DataFrame:
+    """The early runs with ``leave`` as the later map takes it on.
+
+    Each run asks at the version it leaves at. Versions that different runs of a map
+    leave at are different, so a bucket is asked ``WIDTH`` times at most.
+    """
+    asked = early.select("_key", "parent", F.floor(F.col("leave") / WIDTH).alias("at_bucket"), F.col("leave").alias("at"),
+                         F.struct("bucket", "low", "high").alias("run"), F.lit(None).cast("struct<high: bigint, leave: bigint>").alias("known"))
+    known = late.select("_key", "parent", F.col("bucket").alias("at_bucket"), F.col("low").alias("at"),
+                        F.lit(None).cast("struct<bucket: bigint, low: bigint, high: bigint>").alias("run"), F.struct("high", "leave").alias("known"))
+    so_far = Window.partitionBy("_key", "parent", "at_bucket").orderBy("at", F.col("run").isNotNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = asked.unionByName(known).withColumn("met", F.last("known", ignorenulls=True).over(so_far)).where("run IS NOT NULL")
+    leave = F.when(F.col("met.high") >= F.col("at"), F.col("met.leave")).otherwise(F.col("at"))
+    return met.select("_key", "parent", "run.*", leave.alias("leave"))
+
+
+def _overlay(early: DataFrame, late: DataFrame) -> DataFrame:
+    """Runs of both maps; where early ones lie, the late ones do not count. Touching runs that leave alike become one."""
+    def edges(runs: DataFrame, name: str, other: str) -> DataFrame:
+        kind = "struct<leave: bigint>"
+        starts = F.struct(F.col("low").alias("at"), F.lit(True).alias("starts"), F.struct("leave").alias("piece"))
+        ends = F.struct((F.col("high") + 1).alias("at"), F.lit(False).alias("starts"), F.struct(F.lit(None).cast("bigint").alias("leave")).alias("piece"))
+        edge = runs.select("_key", "parent", "bucket", F.explode(F.array(starts, ends)).alias("edge"))
+        return edge.select("_key", "parent", "bucket", "edge.at", "edge.starts", F.col("edge.piece").alias(name), F.lit(None).cast(kind).alias(other))
+
+    bucket = Window.partitionBy("_key", "parent", "bucket").orderBy("at", "starts")
+    so_far = bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    leave = F.coalesce(F.last("early", ignorenulls=True).over(so_far)["leave"], F.last("late", ignorenulls=True).over(so_far)["leave"])
+    pieces = edges(early, "early", "late").unionByName(edges(late, "late", "early")).select(
+        "_key", "parent", "bucket", F.col("at").alias("low"), (F.lead("at").over(bucket) - 1).alias("high"), leave.alias("leave"), "starts"
+    ).where("leave IS NOT NULL AND high >= low")
+    # The pieces of a bucket stay in its task: these windows need no exchange.
+    in_order = Window.partitionBy("_key", "parent", "bucket").orderBy("low")
+    goes_on = (F.lag("high").over(in_order) == F.col("low") - 1) & (F.lag("leave").over(in_order) == F.col("leave"))
+    marked = pieces.withColumn("new", F.when(goes_on, 0).otherwise(1))
+    numbered = marked.withColumn("island", F.sum("new").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return numbered.groupBy("_key", "parent", "bucket", "island").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.first("leave").alias("leave")).drop("island")
 
 
 def _entry_versions(rows: DataFrame) -> DataFrame:
     """Entry version per key and segment, for keys cut into segments.
 
-    Segments are summarised in parallel from three narrow columns. One record
-    then walks its summaries in order; clients that mostly expect consecutive
-    versions leave one run or a few per segment, so that walk is about as long
-    as the record has segments.
+    A segment is a map of versions, summarised from three narrow columns. Maps of
+    neighbours are composed, level by level, to the map of the whole record;
+    then entry versions go down the levels: the first half of a node is entered
+    as the node is, the second where the first half's map leads. A map is rows
+    (key, node, bucket of versions, run), so a record's maps are spread over
+    tasks however many runs they have, and no group exceeds a few ``WIDTH``.
     """
     key_type = rows.schema["_key"].dataType.simpleString()
     order = [name for name in rows.columns if name.startswith("_o")]
@@ -62,21 +104,30 @@ def _entry_versions(rows: DataFrame) -> DataFrame:
     def summarize(pdf: pd.DataFrame) -> pd.DataFrame:
         runs = summarize_segment(pdf.sort_values(order)["_expected"].tolist())
         head = pdf.iloc[0]
-        return pd.DataFrame(runs, columns=["low", "high", "leave"]).assign(
-            _key=head["_key"], _segment=head["_segment"], _start=head["_start"]
-        )
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        groups = list(pdf.sort_values("low").groupby("_segment"))
-        runs = (list(zip(g["low"], g["high"], g["leave"], strict=True)) for _, g in groups)
-        entries = list(enter_segments(int(pdf["_start"].iloc[0]), runs))
-        return pd.DataFrame({"_key": pdf["_key"].iloc[0], "_segment": [s for s, _ in groups], "_entry": entries})
-
-    known = rows.filter(F.col("_expected").isNotNull()).select("_key", "_segment", "_start", "_expected", *order)
-    summaries = known.groupBy("_key", "_segment").applyInPandas(
-        summarize, f"low bigint, high bigint, leave bigint, _key {key_type}, _segment bigint, _start bigint"
-    )
-    return summaries.groupBy("_key").applyInPandas(walk, f"_key {key_type}, _segment bigint, _entry bigint")
+        return pd.DataFrame(runs, columns=["low", "high", "leave"]).assign(_key=head["_key"], node=head["_segment"])
+
+    known = rows.filter(F.col("_expected").isNotNull()).select("_key", "_segment", "_expected", *order)
+    runs = known.groupBy("_key", "_segment").applyInPandas(summarize, f"low bigint, high bigint, leave bigint, _key {key_type}, node bigint")
+    records = materialize(rows.groupBy("_key").agg(F.max("_segment").alias("last"), F.first("_start").alias("version")), "versioned-records")
+    largest = records.agg(F.max("last")).scalar()
+    levels, last = [materialize(_in_buckets(runs), "version-maps")], records.select(largest).first()[0]
+    while last >> len(levels) - 1:
+        halves = levels[-1].withColumns({"parent": F.floor(F.col("node") / 2), "late": F.col("node") % 2 == 1}).drop("node")
+        early, late = halves.where(~F.col("late")).drop("late"), halves.where("late").drop("late")
+        composed = _overlay(_leave_by(early, late), late).withColumnRenamed("parent", "node")
+        levels.append(materialize(composed, "version-maps"))
+    entries = records.select("_key", F.lit(0).cast("bigint").alias("node"), "last", "version")
+    for depth in range(len(levels) - 2, -1, -1):
+        first = entries.withColumn("node", F.col("node") * 2)
+        second = first.where(F.col("node") + 1 <= F.floor(F.col("last") / 2**depth)).withColumn("bucket", F.floor(F.col("version") / WIDTH))
+        asked = second.select("_key", "node", "bucket", "version").withColumnsRenamed({"_key": "_asked", "node": "_of", "bucket": "_in", "version": "_at"})
+        inside = F.col("_at").between(F.col("low"), F.col("high"))
+        same = F.col("_key").eqNullSafe(F.col("_asked")) & (F.col("node") == F.col("_of")) & (F.col("bucket") == F.col("_in")) & inside
+        led = levels[depth].join(asked, same).select("_key", "node", "leave")
+        moved = skew.keyed_join(second.drop("bucket"), led, ["_key", "node"], "left", null_safe=True)
+        moved = moved.select("_key", (F.col("node") + 1).alias("node"), "last", F.coalesce("leave", "version").alias("version"))
+        entries = materialize(first.unionByName(moved), "version-entries")
+    return entries.select("_key", F.col("node").alias("_segment"), F.col("version").alias("_entry"))
 
 
 def version_gated_update(

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -85,6 +87,38 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+@contextlib.contextmanager
+def temporary(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """As ``materialize``, removed again at the end of the block."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    try:
+        yield df.sparkSession.read.parquet(path)
+    finally:
+        remove_dir(df.sparkSession, path)
+
+
+def publish_text(spark: SparkSession, path: str, content: str) -> None:
+    """Create a small file that readers see as a whole or not at all, by a rename; it must not exist."""
+    final, draft = (spark._jvm.org.apache.hadoop.fs.Path(name) for name in (path, f"{path}.{uuid.uuid4().hex}.tmp"))
+    fs = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(draft, True)
+    out.write(bytearray(content.encode()))
+    out.close()
+    if not fs.rename(draft, final):
+        raise OSError(f"cannot publish {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder; empty when it does not exist."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

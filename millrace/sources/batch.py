@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -32,14 +34,19 @@ def scan_json_modes(
     one parses only the columns a query asks for, so whether a row counts as
     malformed would change with the query.
     """
+    return parse_json_lines(spark.read.text(path), schema, mode)
+
+
+def parse_json_lines(lines: DataFrame, schema: StructType, mode: str = "PERMISSIVE", keep: Sequence[str] = ()) -> DataFrame:
+    """Rows of JSON lines in ``value``, bounded or streaming, with the columns of the lines named in ``keep``."""
     if mode not in JSON_MODES:
         raise ValueError(f"mode must be one of {JSON_MODES}")
-    lines = spark.read.text(path).filter(F.trim("value") != "")
+    lines = lines.filter(F.trim("value") != "")
     if mode == "FAILFAST":
-        return lines.select(F.from_json("value", schema, {"mode": mode}).alias("_row")).select("_row.*")
+        return lines.select(*keep, F.from_json("value", schema, {"mode": mode}).alias("_row")).select("_row.*", *keep)
     read_schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    rows = lines.select(F.from_json("value", read_schema, options).alias("_row")).select("_row.*")
+    rows = lines.select(*keep, F.from_json("value", read_schema, options).alias("_row")).select("_row.*", *keep)
     return rows if mode == "PERMISSIVE" else rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from millrace.operators import aggregates, idempotent, ranking
-from millrace.session import child_names, has_data, materialize, remove_dir
-from millrace.sources.tables import VersionedTable, partition_overwrite
+from millrace.operators import aggregates, idempotent
+from millrace.session import temporary
+from millrace.sources.buckets import BucketTable
+from millrace.streaming.logs import LeveledLog, newest
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -57,112 +58,42 @@ def foreach_batch_sink(
     return writer.trigger(**trigger).start()
 
 
-class ChangeLog:
-    """Keyed rows a stream emitted, one partition per micro-batch.
+def upsert_writer(table: BucketTable) -> BatchWriter:
+    """Merge every batch into a table of buckets; only the buckets its keys fall in are rewritten."""
+    return lambda batch, batch_id: table.upsert(batch, batch_id)
 
-    Writing a batch again replaces its own partition, so retries change
-    nothing, and its cost is the batch and not the table. The current table is
-    the newest row per key. The log belongs to one query and its checkpoint.
-    """
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
-
-    def write(self, batch: DataFrame, batch_id: int) -> None:
-        partition_overwrite(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")), self.path, ["batch_id"])
-
-    def exists(self) -> bool:
-        return has_data(self.spark, self.path)
-
-    def read(self) -> DataFrame:
-        return self.spark.read.option("basePath", self.path).parquet(self.path)
-
-    def before(self, batch_id: int) -> DataFrame | None:
-        """What batches other than this one wrote."""
-        return self.read().filter(F.col("batch_id") != batch_id) if self.exists() else None
-
-    def current(self, keys: Sequence[str]) -> DataFrame:
-        return ranking.dedup_keep_latest(self.read(), keys, ["batch_id"]).drop("batch_id")
-
-    def newest_batch(self) -> DataFrame:
-        """The last batch's rows, which is the whole result in complete mode."""
-        newest = self.read().agg(F.max("batch_id").alias("b")).scalar()
-        return self.read().filter(F.col("batch_id") == newest).drop("batch_id")
-
-    def drop_before(self, batch_id: int) -> None:
-        """Delete the batches before this one, for logs of which only newer ones are read."""
-        for name in child_names(self.spark, self.path):
-            if name.startswith("batch_id=") and int(name.removeprefix("batch_id=")) < batch_id:
-                remove_dir(self.spark, f"{self.path}/{name}")
-
-    def compact(self, keys: Sequence[str], latest_by: Sequence[str] = ("batch_id",)) -> None:
-        """Keep the newest row per key of all batches but the last.
-
-        They become the rows of the last but one. The last stays as it is: it
-        may be written again, those before it never. Dying in between leaves
-        older rows behind, which readers pass over.
-        """
-        batches = sorted(int(n.removeprefix("batch_id=")) for n in child_names(self.spark, self.path) if n.startswith("batch_id="))
-        if len(batches) < 3:
-            return
-        into = batches[-2]
-        older = self.read().filter(F.col("batch_id") <= into)
-        newest = ranking.dedup_keep_latest(older, keys, list(latest_by))
-        written = materialize(newest.withColumn("batch_id", F.lit(into).cast("bigint")), "compacted")
-        partition_overwrite(written, self.path, ["batch_id"])
-        self.drop_before(into)
-        for file in written.inputFiles()[:1]:
-            remove_dir(self.spark, file.rsplit("/", 1)[0])
-
-
-def compacting(log: ChangeLog, write: BatchWriter, keys: Sequence[str], latest_by: Sequence[str] = ("batch_id",), every: int = 100) -> BatchWriter:
-    """A writer that compacts its log after every so many batches, so that reading it does not grow with their number."""
-    def write_and_compact(batch: DataFrame, batch_id: int) -> None:
-        write(batch, batch_id)
-        if batch_id and batch_id % every == 0:
-            log.compact(keys, latest_by)
-
-    return write_and_compact
-
-
-def upsert_writer(table: VersionedTable, keys: Sequence[str], latest_by: Sequence[str]) -> BatchWriter:
-    """Merge every batch into a versioned table; for tables worth rewriting."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        table.publish(idempotent.merge_upsert(table.read(), batch, keys, latest_by))
 
-    return write
-
-
-def items_writer(log: ChangeLog, ts: str, user: str, item: str, event: str, size: str, part_rows: int = 10_000) -> BatchWriter:
-    """Log every batch's items per window and user, in parts.
+def items_writer(log: LeveledLog, ts: str, user: str, item: str, event: str, size: str, keep: int) -> BatchWriter:
+    """Log every batch's item count and first ``keep`` items per window and user.
 
     What accumulates is in the log and not in the stream's state, where the
-    list of a hot user would be one value.
+    list of a hot user would be one value; merges keep ``keep`` items of it.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        log.write(aggregates.item_entries(batch, ts, user, item, event, size, part_rows), batch_id)
+    return lambda batch, batch_id: log.write(aggregates.first_entries(batch, ts, user, item, event, size, keep), batch_id)
 
-    return write
 
+def cdc_log(spark: SparkSession, path: str, order: Sequence[str], fan_in: int = 8) -> LeveledLog:
+    """A log of changes of which merges keep the last per key, deletes included."""
+    return LeveledLog(spark, path, newest(["_key"], [*order, "batch_id"]), fan_in)
 
-def cdc_writer(log: ChangeLog, key: str, order: Sequence[str]) -> BatchWriter:
-    """Log the last change of every key in the batch."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        log.write(idempotent.latest_changes(batch, key, order), batch_id)
 
-    return write
+def cdc_writer(log: LeveledLog, key: str, order: Sequence[str]) -> BatchWriter:
+    """Log the last change of every key in the batch."""
+    return lambda batch, batch_id: log.write(idempotent.latest_changes(batch, key, order), batch_id)
 
 
-def cdc_current(log: ChangeLog, order: Sequence[str]) -> DataFrame:
+def cdc_current(log: LeveledLog) -> DataFrame:
     """The table the logged changes add up to."""
-    last = ranking.dedup_keep_latest(log.read(), ["_key"], [*order, "batch_id"])
-    return last.filter(F.col("op") != "d").select("after.*")
+    return log.current().filter(F.col("op") != "d").select("after.*")
+
 
+def offset_writer(log: LeveledLog, event_key: str, offset_keys: Sequence[str] = idempotent.OFFSET_KEYS) -> BatchWriter:
+    """Log the unseen messages that ``views.unseen_messages`` marks; data and offsets are the same rows.
 
-def offset_writer(log: ChangeLog, event_key: str, offset_keys: Sequence[str] = ("topic", "partition", "offset")) -> BatchWriter:
-    """Insert unseen messages once; data and offsets are the same rows."""
+    A batch reads nothing but itself: what was seen is in the stream's state.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        log.write(idempotent.offset_ledger_apply(batch, log.before(batch_id), event_key, offset_keys), batch_id)
+        with temporary(batch, "unseen-messages") as marked:
+            log.write(idempotent.inserted_once(marked, event_key, offset_keys), batch_id)
 
     return write

@@ -110,16 +110,59 @@ def test_version_updates_agree_with_brute_force_when_one_record_is_hot(spark, ma
 
 
 @pytest.mark.parametrize("seed", range(20))
-def test_segment_summaries_compose(seed):
+def test_segment_summaries_say_where_a_version_leads(seed):
     rng = random.Random(seed)
     expected = [rng.randrange(8) for _ in range(40)]
-    cut = rng.randrange(40)
-    parts = [versions.summarize_segment(expected[:cut]), versions.summarize_segment(expected[cut:]), []]
+    runs = versions.summarize_segment(expected)
+    assert all(a[1] < b[0] for a, b in zip(runs, runs[1:]))
     for start in range(10):
         version = start
         for value in expected:
             version += version == value
-        assert list(versions.enter_segments(start, iter(parts)))[-1] == version
+        assert version == next((out for low, high, out in runs if low <= start <= high), start)
+
+
+@pytest.mark.parametrize("width", [3, 1024])
+def test_maps_of_one_record_compose_over_many_levels(spark, monkeypatch, width):
+    """Scattered versions, NULL keys and expectations, and segments of a few rows: six levels of maps."""
+    monkeypatch.setattr(versions, "WIDTH", width)
+    rng, updates, guess = random.Random(width), [], {}
+    for position in range(400):
+        key = rng.choice([1, 1, 1, 1, None, 2])
+        at = guess.setdefault(key, 0)
+        expected = rng.choice([at, at, at + rng.randrange(-2, 4), rng.randrange(3000), None])
+        guess[key] = at + (expected == at)
+        updates.append((key, position, expected))
+    df = spark.createDataFrame(updates, "k int, p bigint, expected bigint").repartition(3)
+    judged = versions.version_gated_update(df, "k", "expected", ["p"], max_rows=5)
+    known = judge_versions([u for u in updates if u[2] is not None], {})
+    got = {(r.k, r.p): (r.current_version, r.verdict) for r in judged.collect()}
+    assert len(got) == 400
+    assert {at: verdict for at, verdict in got.items() if at in known} == known
+    assert all(verdict == "conflict" for at, (_, verdict) in got.items() if at not in known)
+
+
+def test_no_group_of_a_composition_follows_the_record(spark, monkeypatch):
+    """A record with 6,000 scattered versions: what a bucket of any of its maps holds stays below the bucket's width."""
+    monkeypatch.setattr(versions, "WIDTH", 64)
+    kept, largest = versions.materialize, []
+
+    def measured(df, label):
+        written = kept(df, label)
+        if label == "version-maps":
+            counts = written.groupBy("_key", "node", "bucket").count().agg({"count": "max", "*": "count"}).first()
+            largest.append((counts[0], counts[1]))
+        return written
+
+    monkeypatch.setattr(versions, "materialize", measured)
+    rng = random.Random(3)
+    updates = [("hot", p, rng.randrange(40_000)) for p in range(6000)]
+    df = spark.createDataFrame(updates, "k string, p bigint, expected bigint")
+    judged = versions.version_gated_update(df, "k", "expected", ["p"], max_rows=400)
+    got = {(r.k, r.p): (r.current_version, r.verdict) for r in judged.collect()}
+    assert got == judge_versions(updates, {})
+    assert len(largest) == 5 and all(group <= 64 for group, _ in largest)
+    assert largest[-1][1] > 500  # the whole record's map lies in as many groups
 
 
 def test_one_update_per_record(spark, rows):

@@ -140,6 +140,33 @@ def test_rows_without_an_arrival_are_kept(spark, rows):
     assert len(rows(on_time, "arrival", "watermark")) == 3 and (None, None) in rows(on_time, "arrival", "watermark")
 
 
+def test_rows_that_arrive_together_spread_over_tasks_and_are_judged_alike(spark):
+    """A coarse clock: half of all rows arrive at once, and the order inside an arrival does not count."""
+    data = [(n // 10 if n < 500 else 50, 1000 * (n // 10 if n < 500 else 50) - (4000 if n % 7 == 0 else n % 10)) for n in range(1000)]
+    df = spark.createDataFrame(data, "arrival int, at int").withColumn("ts", F.timestamp_seconds("at"))
+    on_time, late = lateness.late_data_split(df, "ts", "arrival", "10 minutes")
+    peaks, mark, expected = {}, None, []
+    for arrival, at in data:
+        peaks[arrival] = max(peaks.get(arrival, at), at)
+    for arrival in sorted(peaks):
+        expected += [(a, at) for a, at in data if a == arrival and mark is not None and at < mark - 600]
+        mark = peaks[arrival] if mark is None else max(mark, peaks[arrival])
+    assert sorted((r.arrival, r.at) for r in late.collect()) == sorted(expected) and expected
+    assert on_time.count() == 1000 - len(expected)
+
+
+def test_corrections_fold_into_closed_windows_and_out_again(spark, rows):
+    closed = spark.createDataFrame([(1, 10, 3), (2, 5, 1), (None, 1, 1)], "w int, total long, n long")
+    late = spark.createDataFrame([(1, 4), (1, -2), (3, 7), (None, 2)], "w int, v int")
+    sums = [F.sum("v").alias("total"), F.count("*").alias("n")]
+    deltas = lateness.corrections(late, ["w"], sums)
+    folded = lateness.fold_corrections(closed, deltas, ["w"], ["total", "n"], rows="n")
+    assert rows(folded) == sorted([(1, 12, 5), (2, 5, 1), (3, 7, 1), (None, 3, 2)], key=repr)
+    again = lateness.corrections(late, ["w"], sums, retract=True)
+    assert rows(lateness.fold_corrections(folded, again, ["w"], ["total", "n"], rows="n")) == rows(closed)
+    assert rows(lateness.fold_corrections(closed, deltas.limit(0), ["w"], ["total", "n"])) == rows(closed)
+
+
 def test_orphans_with_a_hot_null_key(spark, rows):
     child = spark.createDataFrame([(None if n % 2 else n % 5,) for n in range(100)], "fk int")
     parent = spark.createDataFrame([(0,), (2,), (2,), (None,)], "pk int")

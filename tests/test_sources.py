@@ -131,6 +131,21 @@ def test_new_files_are_ingested_once(spark, folder, schema, rows):
     assert rows(out.filter("state = 'error'"), batch.CORRUPT) == [("broken",)]
 
 
+def test_new_files_come_in_runs_of_bounded_size(spark, folder, schema, rows):
+    import os
+
+    inbox = files.Inbox(folder + "/in", folder + "/out", folder + "/ledger")
+    os.mkdir(inbox.incoming)
+    for n in range(5):
+        write_lines(inbox.incoming, f"{n}.json", f'{{"id":{n},"v":1.0}}')
+    assert files.batch_file_ingest(spark, inbox, schema, stamp(), max_files=2).count() == 5
+    assert rows(files.read_ledger(spark, inbox).groupBy("run").count()) == [(0, 2), (1, 2), (2, 1)]
+    os.remove(inbox.incoming + "/0.json")
+    write_lines(inbox.incoming, "5.json", '{"id":5,"v":1.0}')
+    assert rows(files.batch_file_ingest(spark, inbox, schema, stamp(), max_files=2), "run", "rows_ok") == [(3, 1)]
+    assert rows(spark.read.parquet(inbox.output), "id") == [(n,) for n in range(6)]
+
+
 def test_changed_content_is_processed_again(spark, folder, rows):
     write_lines(folder, "a.txt", "x")
     write_lines(folder, "b.txt", "y")
@@ -150,7 +165,10 @@ def test_a_run_that_died_before_its_ledger_is_repeated_on_another_date(spark, fo
     write_lines(inbox.incoming, "one.json", '{"id":1,"v":1.0}', '{"id":2,"v":1.0}')
     write_lines(inbox.incoming, "empty.json")
     files.batch_file_ingest(spark, inbox, schema, stamp("2024-01-01 00:00:00"))
-    shutil.move(inbox.ledger, folder + "/lost")
+    # The run's rows are there; its part of the ledger and the mark that the run is done are not.
+    shutil.move(inbox.ledger + "/run=0", folder + "/lost")
+    for name in ("0", ".0.crc"):
+        os.remove(f"{inbox.checkpoint}/commits/{name}")
     again = files.batch_file_ingest(spark, inbox, schema, stamp("2024-01-02 00:00:00"))
     assert rows(again, "rows_ok", "rows_bad") == [(0, 0), (2, 0)]
     assert spark.read.parquet(inbox.output).count() == 2
