@@ -9,6 +9,9 @@ as one table of a row per host, and every round is a join and a sum in Spark.
 A URL that is NULL or has no ``://`` has an empty host and path, fits no rule
 and takes part in no link. Repeated pages count once per row as seeds, links
 once per pair of hosts. Pages without a single edge keep the default verdict.
+Of fitting rules the longest wins, of equally long ones the last listed. An empty table
+gives an empty result. Other columns are kept; ``host``, ``path``, ``rule``, ``ruled``
+and ``verdict`` of the input are replaced, ``ruled`` by nothing.
 """
 
 from __future__ import annotations
@@ -36,6 +39,8 @@ class Rule:
         return ((host == self.host) | host.endswith(f".{self.host}")) & path.startswith(self.path)
 
 
+TOLERANCE = 1e-6  # of all trust and distrust
+
 RULES = (
     Rule("allow", "com", "/"),
     Rule("block", "example.com", "/en/"),
@@ -81,12 +86,15 @@ def host_links(pages: DataFrame) -> DataFrame:
 
 
 def link_scores(
-    links: DataFrame, seeds: DataFrame, rounds: int = 12, damping: float = 0.85, scratch: Scratch | None = None
+    links: DataFrame, seeds: DataFrame, rounds: int | None = None, damping: float = 0.85, scratch: Scratch | None = None,
+    threshold: float = 1.0, tolerance: float = TOLERANCE,
 ) -> DataFrame:
-    """``host``, ``trust`` and ``distrust`` of every host that is linked or a seed.
+    """``host``, ``trust`` and ``distrust`` of every host that a seed reaches.
 
     ``seeds`` has ``host``, ``trust0`` and ``distrust0``, the shares of a jump
-    that land there. Runs a job per round; each round is written to the shared folder.
+    that land there. Rounds go on until no further host is reached and no host can still cross ``threshold`` (all
+    that may yet change is less than what it is away from it), or until all that changed in a round is
+    ``tolerance`` at most; ``rounds`` asks for so many instead. A round is a table in the shared folder, two numbers and two counts for the driver.
     """
     scratch = scratch or Scratch(links.sparkSession, "urls")
     out_degree = links.groupBy("src").agg(F.count("*").alias("n_out"))
@@ -97,22 +105,35 @@ def link_scores(
     moves = forward.unionByName(backward).groupBy("host", "to").agg(F.sum("t").alias("t"), F.sum("d").alias("d"))
     moves = scratch.write("moves", moves)
     jump = seeds.select("host", (F.col("trust0") * (1 - damping)).alias("trust"), (F.col("distrust0") * (1 - damping)).alias("distrust"))
-    scores = seeds.select("host", F.col("trust0").alias("trust"), F.col("distrust0").alias("distrust"))
-    for _ in range(rounds):
+    scores = seeds.select("host", F.col("trust0").cast("double").alias("trust"), F.col("distrust0").cast("double").alias("distrust"))
+    reached, done = None, 0
+    while rounds is None or done < rounds:
         moved = moves.join(scores, "host").select(
             F.col("to").alias("host"),
             (F.col("t") * F.col("trust") * damping).alias("trust"),
             (F.col("d") * F.col("distrust") * damping).alias("distrust"),
         )
         summed = moved.unionByName(jump).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
-        scores = scratch.replace("scores", summed)
-    return scores
+        before = scores.select("host", F.col("trust").alias("trust1"), F.col("distrust").alias("distrust1"))
+        scores = scratch.replace("scores", summed.join(before, "host", "left").fillna(0.0))
+        done += 1
+        if rounds is not None:
+            continue
+        gaps = [F.sum(F.abs(F.col(name) - F.col(f"{name}1"))) for name in ("trust", "distrust")]
+        trust, distrust, *now = scores.agg(*gaps, F.count_if(F.col("trust") > 0), F.count_if(F.col("distrust") > 0)).first()
+        # What is still to come sums up to a geometric series of the last change.
+        ahead = ((distrust or 0.0) + threshold * (trust or 0.0)) * damping / (1 - damping)
+        margin = F.abs(F.col("distrust") - F.col("trust") * threshold)
+        if now == reached and ((trust or 0.0) + (distrust or 0.0) <= tolerance or scores.where(margin <= ahead).isEmpty()):
+            break
+        reached = now
+    return scores.select("host", "trust", "distrust")
 
 
 def url_filter(
-    pages: DataFrame, rules: Sequence[Rule] = RULES, rounds: int = 12, damping: float = 0.85, threshold: float = 1.0
+    pages: DataFrame, rules: Sequence[Rule] = RULES, rounds: int | None = None, damping: float = 0.85, threshold: float = 1.0
 ) -> DataFrame:
-    """The pages with ``host``, ``path``, ``rule`` and ``verdict``.
+    """The pages with ``host``, ``path``, ``rule`` and ``verdict``. Runs jobs.
 
     A page without a rule is blocked where its host's distrust exceeds
     ``threshold`` times its trust, and allowed otherwise.
@@ -131,7 +152,7 @@ def url_filter(
         (F.col("allowed") / float(sums["allowed"] or 1)).alias("trust0"),
         (F.col("blocked") / float(sums["blocked"] or 1)).alias("distrust0"),
     )
-    scores = link_scores(host_links(ruled), scratch.write("seeds", seeds), rounds, damping, scratch)
+    scores = link_scores(host_links(ruled), scratch.write("seeds", seeds), rounds, damping, scratch, threshold)
     doubted = scratch.write("doubted", scores.where(F.col("distrust") > F.col("trust") * threshold).select("host"))
     (mark,) = fresh(ruled, "_doubted")
     verdicts = ruled.join(doubted.withColumn(mark, F.lit(True)), "host", "left")
