@@ -85,6 +85,7 @@ def reprocess_counts(fixed: DataFrame, still_failing: DataFrame) -> DataFrame:
 
 def required_field_failures(fields: Sequence[str], metadata: tuple[tuple[str, str], ...] = ()) -> list[Failure]:
     """A validation failure for each required field that is absent."""
+    # The message and the kind of error.
     return [
         Failure(F.col(name).isNull(), F.lit(f"Missing required field: {name}"), "ValueError", V.VALIDATION_ERRORS, metadata)
         for name in fields

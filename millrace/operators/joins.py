@@ -17,7 +17,7 @@ from millrace.operators import skew
 
 
 def join_back_aggregate(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:
-    """Attach each key's aggregates to its rows.
+    """Attach each key's aggregates to its rows. Runs a job: a sketch over the keys finds hot ones.
 
     A join and not a window: the aggregate combines map-side and hot keys can
     be spread, where a window would sort a hot key within one task.
@@ -34,7 +34,7 @@ def fraud_interval_join(
     size: str = "5 minutes",
     min_count: int = 5,
 ) -> DataFrame:
-    """Suspicious rows whose user has more than ``min_count`` rows in the window.
+    """Suspicious rows whose user has more than ``min_count`` rows in the window. Runs a job: a sketch finds hot keys.
 
     Windows are half-open, so "ts inside [start, end)" is equality of the
     window a row falls in: an equi-join, with no range comparison left.

@@ -81,7 +81,7 @@ def test_segments_are_cut_by_rank(spark, rows):
 
 def judge_versions(updates, start):
     out, current = {}, {}
-    for key, position, expected in sorted(updates, key=lambda u: (u[0], u[1])):
+    for key, position, expected in sorted(updates, key=lambda u: (str(u[0]), u[1])):
         version = current.get(key, start.get(key, 0))
         if version > expected:
             verdict = "already_updated"
