@@ -243,13 +243,6 @@ def test_who_links_to_a_blocked_host_is_doubted(spark):
     assert got == {1: "block", 2: "block", 3: "allow", 4: "allow"}
 
 
-def test_distrust_reaches_hosts_many_links_away(spark):
-    pages = [(i, f"http://h{i}.org/", f'<a href="http://h{i + 1}.org/">x</a>') for i in range(20)] + [(20, "http://h20.org/", '<a href="http://bad.net/es/1">x</a>')]
-    pages += [(21, "http://bad.net/es/1", ""), (22, "http://far.org/", '<a href="http://good.com/">x</a>'), (23, "http://good.com/", "")]
-    got = {r.page_id: r.verdict for r in urls.url_filter(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
-    assert got == {i: "block" for i in range(22)} | {22: "allow", 23: "allow"}
-
-
 def test_the_last_of_equally_long_rules_wins(spark):
     pages = spark.createDataFrame([(1, "http://a.b/x", "")], "page_id long, url string, html string")
     for verdicts in (("allow", "block"), ("block", "allow")):
