@@ -3,15 +3,19 @@
 A page is read once into blocks: the lines of text that block elements delimit.
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments are told by element, role, class or id; they leave an empty
-line each. A block weighs its characters outside links. Weights are summed
-over a sliding window of ``WINDOW`` lines. Where the sum surges to ``SURGE`` a
-text begins, where it dives to nothing the text ends, and every block between
-is kept. Inside an ``article`` or ``main`` element any weight is a surge: what
-the page itself marks as its text is not judged by length.
+line each. A block weighs its characters outside links; on pages that mark their
+text, one inside an ``article`` or ``main`` element weighs ``MARK`` more and
+any other ``MARK`` less. Weights are summed over a sliding window of ``WINDOW``
+lines. Where the sum surges to ``SURGE`` a text begins, where it dives to
+nothing, or a line weighs less than nothing, the text ends, and every block
+between is kept. A heading directly before a text belongs to it, and so do the
+short lines between the two. On a page where nothing surges the fullest window
+counts as the surge, so short texts are found too.
 
 NULL, empty and broken pages give an empty text or what their text holds;
 unclosed tags, attributes and comments do not stop the reader. Pages are read
-one by one in Arrow batches: repeated ids and further columns do not matter.
+one by one in Arrow batches, whole however long they are: repeated ids and
+further columns do not matter. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ from pyspark.sql import functions as F
 
 WINDOW = 3
 SURGE = 80
+MARK = 1000  # what the page's own mark of its text weighs, in characters
 BETWEEN = "\n\n"  # what stands between two blocks of an extracted text
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
@@ -192,19 +197,29 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
+def line_weights(lines: list[Block], mark: int = MARK) -> list[int]:
+    """Characters outside links, moved by ``mark`` where the page marks its text; empty lines weigh nothing."""
+    if not any(line.inside and line.weight for line in lines):
+        return [line.weight for line in lines]
+    return [line.weight + (mark if line.inside else -mark) if line.text else 0 for line in lines]
+
+
 def surging(weights: list[int], window: int = WINDOW, surge: int = SURGE) -> list[tuple[int, int]]:
     """(first, last) lines of the texts: from a surge of the window's sum to its dive.
 
-    The window starts at its line. A text begins where the window reaches
-    ``surge`` at a line that brings a quarter of it or more, so a short line
-    before the text stays outside. It ends before the first window that holds nothing.
+    The window starts at its line; lines below nothing add nothing to it. A text
+    begins where the window reaches ``surge`` at a line that brings a quarter of
+    it or more, so a short line before the text stays outside; if none does, the
+    fullest window that starts at such a line is the surge. It ends before the first window that holds nothing
+    and before a line below nothing.
     """
+    ahead = [sum(max(0, w) for w in weights[i : i + window]) for i in range(len(weights))]
+    least = max((reach for w, a in zip(weights, ahead) if w >= max(1, (reach := min(a, surge)) // 4)), default=surge)
     texts, begin = [], None
     for i, weight in enumerate(weights):
-        ahead = sum(weights[i : i + window])
-        if begin is None and ahead >= surge and weight >= max(1, surge // 4):
+        if begin is None and ahead[i] >= least and weight >= max(1, least // 4):
             begin = i
-        elif begin is not None and not ahead:
+        elif begin is not None and (weight < 0 or not ahead[i]):
             texts.append((begin, i - 1))
             begin = None
     if begin is not None:
@@ -212,23 +227,31 @@ def surging(weights: list[int], window: int = WINDOW, surge: int = SURGE) -> lis
     return texts
 
 
-def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE, between: str = "\n") -> str:
+def _with_heading(lines: list[Block], weights: list[int], first: int, window: int) -> int:
+    """Where a text begins with the headings before it; ``window`` short lines may stand between."""
+    def joins(i: int) -> bool:
+        return i >= 0 and bool(lines[i].text) and weights[i] >= 0
+
+    at = first - 1
+    while joins(at) and not lines[at].heading and first - at < window:
+        at -= 1
+    if not joins(at) or not lines[at].heading:
+        return first
+    while joins(at - 1) and lines[at - 1].heading:
+        at -= 1
+    return at
+
+
+def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE, between: str = "\n", mark: int = MARK) -> str:
     """The page's main text, a line per block; ``between`` joins the blocks."""
     lines = blocks(page or "")
-    marked: dict[int, int] = {}
-    for line in lines:
-        if line.inside:
-            marked[line.inside] = marked.get(line.inside, 0) + line.weight
-    if any(marked.values()):
-        lines = [line for line in lines if line.inside]
-        weights, least = [max(line.weight, 1 if line.text else 0) for line in lines], 1
-    else:
-        weights, least = [line.weight for line in lines], surge
+    weights = line_weights(lines, mark)
     kept: list[str] = []
-    for first, last in surging(weights, window, least):
-        while first and lines[first - 1].heading and lines[first - 1].text:
-            first -= 1
+    done = 0
+    for first, last in surging(weights, window, surge):
+        first = max(done, _with_heading(lines, weights, first, window))
         kept += [line.text for line in lines[first : last + 1] if line.text]
+        done = last + 1
     return between.join(kept)
 
 

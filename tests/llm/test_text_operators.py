@@ -6,6 +6,8 @@ import hashlib
 import random
 from itertools import combinations
 
+from hypothesis import given
+from hypothesis import strategies as st
 import pytest
 from pyspark.sql import functions as F
 
@@ -181,6 +183,49 @@ def test_unmarked_text_is_found_by_its_surge():
     assert "Side words" not in "".join(text) and "First!" not in "".join(text)
 
 
+def test_short_unmarked_text_is_found_with_its_byline():
+    page = "<html><body><div>menu</div><nav>a</nav><h1>Title</h1><p>By me</p><p>Forty characters of a story that is short.</p><p>End.</p></body></html>"
+    assert html.main_text(page) == "Title\nBy me\nForty characters of a story that is short.\nEnd."
+    assert html.main_text("<p>Only this.</p>") == "Only this."
+    assert html.main_text("<p><a href=x>only a link</a></p>") == ""
+
+
+def test_the_mark_is_a_weight_that_much_text_outweighs():
+    story = "Words of a paragraph outside of the marked text, " * 4
+    body = f"<h2>Site</h2><p>{story}</p><article><p>One.</p></article><p>{story}</p><article><p><a href=x>Two</a></p></article><p>{story}</p>"
+    assert html.main_text(body) == "One.\nTwo"
+    assert html.main_text(body, mark=50).split("\n") == [story.strip(), "One.", story.strip(), "Two", story.strip()]
+    assert html.line_weights(html.blocks(body))[:3] == [4 - html.MARK, len(story.strip()) - html.MARK, 4 + html.MARK]
+
+
+def plain_surging(weights, window, surge):
+    """The lines of the texts by the definition: each line asks for the last begin and dive before it."""
+    def ahead(i):
+        return sum(max(0, w) for w in weights[i : i + window])
+
+    def may_begin(i, least):
+        return ahead(i) >= least and weights[i] >= 1 and weights[i] >= least // 4
+
+    possible = [least for least in range(surge, 0, -1) if any(may_begin(i, least) for i in range(len(weights)))]
+    least = possible[0] if possible else surge
+    kept, inside = set(), False
+    for i, w in enumerate(weights):
+        if inside:
+            inside = w >= 0 and ahead(i) > 0
+        else:
+            inside = may_begin(i, least)
+        if inside:
+            kept.add(i)
+    return kept
+
+
+@given(st.lists(st.integers(-100, 200) | st.just(0), max_size=40), st.integers(1, 5), st.integers(1, 300))
+def test_surge_and_dive_equal_the_plain_version(weights, window, surge):
+    spans = html.surging(weights, window, surge)
+    assert {i for a, b in spans for i in range(a, b + 1)} == plain_surging(weights, window, surge)
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_broken_pages_do_not_stop_the_reader(spark):
     pages = [None, "", "<", "<p", "<article><p>open", "<!-- never closed <p>x</p>", '<div class="ad>x', "<script>let a = 1", "a < b && c", "<p>" * 3000 + "deep"]
     df = spark.createDataFrame([(i, p, "t") for i, p in enumerate(pages)], "page_id long, html string, text string")
