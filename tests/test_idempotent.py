@@ -273,6 +273,38 @@ def test_tables_equal_counts_copies(spark):
     assert not result.equal and result.differing_rows == 2
 
 
+def test_tables_equal_tells_nulls_places_and_zeros(spark):
+    def pair(*values):
+        return spark.createDataFrame(values, "a double, b double")
+
+    assert ranking.tables_equal(pair((0.0, None)), pair((-0.0, None))).first().equal
+    assert ranking.tables_equal(pair((float("nan"), 1.0)), pair((float("nan"), 1.0))).first().equal
+    moved = ranking.tables_equal(pair((None, 1.0)), pair((1.0, None))).first()
+    assert not moved.equal and moved.differing_rows == 2
+    empty = pair().limit(0)
+    assert ranking.tables_equal(empty, empty).first().equal
+    assert ranking.tables_equal(empty, pair((None, None))).first().differing_rows == 1
+
+
+def test_tables_equal_finds_each_changed_row(spark, folder):
+    spark.range(20000).selectExpr("id", "id % 7 AS v").write.parquet(folder + "/a")
+    one = spark.read.parquet(folder + "/a")
+    other = one.withColumn("v", F.expr("CASE WHEN id IN (3, 19999) THEN -v - 1 ELSE v END"))
+    assert ranking.tables_equal(one, one.orderBy(F.desc("id")), other).first().differing_rows == 4
+    assert ranking.differing_buckets(one, other).count() <= 4
+    assert ranking.differing_buckets(one, one.repartition(5)).count() == 0
+
+
+def test_equal_tables_are_read_once_each(spark, folder):
+    for name in "ab":
+        spark.range(20000).selectExpr("id", "id % 7 AS v").write.parquet(f"{folder}/{name}")
+    result = ranking.tables_equal(*[spark.read.parquet(f"{folder}/{name}") for name in "ab"])
+    assert result.first().equal
+    assert result.collect()[0].differing_rows == 0
+    final = result._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Scan parquet" not in final and "EmptyRelation" in final  # the row comparison was left out
+
+
 def test_three_runs_of_a_job_agree_or_not(spark, folder):
     df = spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "k int, at int")
     assert ranking.runs_agree(lambda: ranking.dedup_keep_latest(df, ["k"], ["at"]), folder + "/same").first().equal
