@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +41,12 @@ def summarize_segment(expected: Sequence[int]) -> list[tuple[int, int, int]]:
     return runs
 
 
+def _segment_runs(segments: pa.Array) -> pa.Array:
+    """The runs of every segment of an Arrow batch."""
+    runs = [[dict(zip(("low", "high", "leave"), run, strict=True)) for run in summarize_segment(expected)] for expected in segments.to_pylist()]
+    return pa.array(runs, pa.list_(pa.struct([(name, pa.int64()) for name in ("low", "high", "leave")])))
+
+
 def _in_buckets(runs: DataFrame) -> DataFrame:
     """Runs cut at multiples of ``WIDTH``: a bucket of a map holds ``WIDTH`` runs at most, as they do not overlap."""
     each = F.explode(F.sequence(F.floor(F.col("low") / WIDTH), F.floor(F.col("high") / WIDTH)))
@@ -98,16 +104,12 @@ def _entry_versions(rows: DataFrame) -> DataFrame:
     (key, node, bucket of versions, run), so a record's maps are spread over
     tasks however many runs they have, and no group exceeds a few ``WIDTH``.
     """
-    key_type = rows.schema["_key"].dataType.simpleString()
     order = [name for name in rows.columns if name.startswith("_o")]
-
-    def summarize(pdf: pd.DataFrame) -> pd.DataFrame:
-        runs = summarize_segment(pdf.sort_values(order)["_expected"].tolist())
-        head = pdf.iloc[0]
-        return pd.DataFrame(runs, columns=["low", "high", "leave"]).assign(_key=head["_key"], node=head["_segment"])
-
-    known = rows.filter(F.col("_expected").isNotNull()).select("_key", "_segment", "_expected", *order)
-    runs = known.groupBy("_key", "_segment").applyInPandas(summarize, f"low bigint, high bigint, leave bigint, _key {key_type}, node bigint")
+    known = rows.filter(F.col("_expected").isNotNull()).select("_key", "_segment", F.struct(*order, "_expected").alias("step"))
+    steps = known.groupBy("_key", F.col("_segment").alias("node")).agg(F.array_sort(F.collect_list("step"))["_expected"].alias("expected"))
+    # Batches of segments go to Python: a group of its own for each would cost milliseconds.
+    summaries = F.arrow_udf(_segment_runs, "array<struct<low: bigint, high: bigint, leave: bigint>>")
+    runs = steps.select("_key", "node", F.inline(summaries("expected")))
     records = materialize(rows.groupBy("_key").agg(F.max("_segment").alias("last"), F.first("_start").alias("version")), "versioned-records")
     largest = records.agg(F.max("last")).scalar()
     levels, last = [materialize(_in_buckets(runs), "version-maps")], records.select(largest).first()[0]
