@@ -11,7 +11,7 @@ from millrace.functions import columns as C
 from millrace.operators import aggregates
 from millrace.operators.quality import split_valid, user_event_rules
 from millrace.plans import layers, serving, training
-from millrace.session import materialize
+from millrace.session import materialize, spread_shuffles
 
 AS_OF = "2000-01-01"
 
@@ -36,6 +36,8 @@ def features_sql(as_of: str) -> str:
 
 
 def purchases(spark, sf):
+    """Every line with its order and part: the settings hold for what is made of it, too."""
+    spread_shuffles(spark)
     lines, orders, parts = (T.table(spark, sf, n) for n in ("lineitem", "orders", "part"))
     return (
         lines.join(orders, lines.l_orderkey == orders.o_orderkey)

@@ -12,6 +12,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from millrace import session
+from millrace.catalog import models
 from millrace.functions import columns as C
 from millrace.operators import aggregates, joins, lateness, quality, ranking, skew
 from millrace.sources import batch
@@ -207,3 +209,21 @@ def test_spread_join_across_key_types(spark, left, right):
     lookup = spark.range(5).select(F.col("id").cast(right).alias("k"), F.lit("x").alias("w"))
     assert skew.hot_keys(facts, ["k"], min_rows=20) is not None
     assert skew.lookup_join(facts, lookup, ["k"], min_rows=20).count() == 300
+
+
+def test_tasks_of_feature_joins_do_not_grow_with_the_tables(spark, folder):
+    """The number of shuffle partitions is enough for large tables; the caller's settings come back with the next query."""
+    tables = {
+        "lineitem": "id AS l_orderkey, id % 3 AS l_partkey, 2.5D AS l_extendedprice",
+        "orders": "id AS o_orderkey, id % 2 AS o_custkey, timestamp_ntz'1999-05-01' AS o_orderdate",
+        "part": "id AS p_partkey, 'kind' AS p_type",
+    }
+    for name, columns in tables.items():
+        spark.range(4).selectExpr(*columns.split(", ")).write.parquet(f"{folder}/{name}.parquet")
+    session.configure(spark)
+    before = {key: spark.conf.get(key, None) for key in session.SPREAD_SETTINGS}
+    df = models.assemble_features(spark, folder)
+    assert ", 960)" in plan(df)
+    assert {tuple(r) for r in df.select("customer_id", "purchase_frequency", "num_categories_purchased").collect()} == {(0, 2, 1), (1, 2, 1)}
+    session.configure(spark)
+    assert {key: spark.conf.get(key, None) for key in session.SPREAD_SETTINGS} == before
