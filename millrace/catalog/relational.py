@@ -9,6 +9,7 @@ from millrace.catalog.registry import query
 from millrace.functions import columns as C
 from millrace.functions import values as V
 from millrace.operators import aggregates, joins, lateness, ranking, transform
+from millrace.session import spread_shuffles
 from millrace.streaming import views
 
 
@@ -330,6 +331,7 @@ def duplicate_groups(spark, sf):
                (SELECT count(*) FROM events WHERE event_id % 10 = 0) = 0 AS equal""",
 )
 def tables_equal(spark, sf):
+    spread_shuffles(spark)
     rows = T.retried_events(spark, sf)
     runs = [ranking.dedup_keep_latest(rows, ["event_id"], ["ts"]) for _ in range(2)]
     return ranking.tables_equal(*runs, ranking.dedup_keep_first(rows, ["event_id"], ["ts"]))
