@@ -15,34 +15,48 @@ from millrace.catalog.registry import query
 from millrace.catalog.writes import ALLOWED, CDC_SQL, transition_sql
 from millrace.operators import idempotent, transform
 from millrace.plans import serving
-from millrace.session import scratch_dir
+from millrace.session import child_names, scratch_dir
 from millrace.sources.batch import scan_parquet
 from millrace.sources.buckets import BucketTable
 from millrace.streaming import health, sinks, transitions, views
 from millrace.streaming.logs import LeveledLog, newest
 
 SLICES, SLICE_FILES = 3, 2
+FILE_ROWS = 1_000_000  # rows of a staged file
 
 
 def _stage(spark, sf, folder, name="events", order="ts", slices=range(SLICES)):
-    """Write slices of a table by an order column, each as its own files, one after the other."""
+    """Write slices of a table by an order column, each as its own files, one after the other.
+
+    Returns the schema and the number of files of a slice, which grows with the largest slice. Every slice
+    has as many, empty ones if need be: so many files are a slice to the stream that reads them.
+    """
     rows = T.table(spark, sf, name)
     at = F.col(order).cast("bigint") if order == "event_id" else F.unix_micros(F.col(order).cast("timestamp"))
     low, high = rows.agg(F.min(at), F.max(at)).first()
     number = F.floor((at - low) * SLICES / (high - low + 1))
+    largest = rows.groupBy(number.alias("slice")).count().agg(F.max("count")).first()[0] or 0
+    files = max(SLICE_FILES, -(-largest // FILE_ROWS))
     for n in slices:
-        rows.filter(number == n).repartition(SLICE_FILES).write.mode("append").parquet(folder)
-    return rows.schema
+        earlier = _files(spark, folder)
+        rows.filter(number == n).repartition(files).write.mode("append").parquet(folder)
+        for _ in range(earlier + files - _files(spark, folder)):
+            spark.createDataFrame([], rows.schema).write.mode("append").parquet(folder)
+    return rows.schema, files
+
+
+def _files(spark, folder):
+    return sum(child.endswith(".parquet") for child in child_names(spark, folder))
 
 
-def _read_slices(spark, folder, schema):
-    return sinks.file_stream(spark, folder, schema, "parquet", SLICE_FILES)
+def _read_slices(spark, folder, schema, files):
+    return sinks.file_stream(spark, folder, schema, "parquet", files)
 
 
 def _stream(spark, sf, name="events", order="ts"):
     """The table as a stream of several micro-batches, in the order of a column."""
     folder = scratch_dir(spark, f"staged-{name}")
-    return _read_slices(spark, folder, _stage(spark, sf, folder, name, order))
+    return _read_slices(spark, folder, *_stage(spark, sf, folder, name, order))
 
 
 def _drain(df, write, checkpoint, mode="update"):
@@ -78,8 +92,8 @@ def _restarted(start, log):
 @query("file_stream_ingest", "SELECT event_id, user_id, event_type, value, true AS has_file, true AS has_time FROM events")
 def file_stream_ingest(spark, sf):
     path = scratch_dir(spark, "file-stream")
-    schema = _stage(spark, sf, f"{path}/events")
-    arrived = sinks.file_stream_ingest(spark, f"{path}/events", schema, "parquet", SLICE_FILES)
+    schema, files = _stage(spark, sf, f"{path}/events")
+    arrived = sinks.file_stream_ingest(spark, f"{path}/events", schema, "parquet", files)
     sinks.stream_file_sink(arrived, f"{path}/out", f"{path}/checkpoint", None).awaitTermination()
     return scan_parquet(spark, f"{path}/out").select(
         "event_id",
@@ -96,8 +110,8 @@ def checkpoint_resume(spark, sf):
     """Drained in the middle, then again after more files arrived, then without any."""
     path = scratch_dir(spark, "resume")
     for arriving in (range(2), range(2, SLICES), ()):
-        schema = _stage(spark, sf, f"{path}/in", slices=arriving)
-        stream = _read_slices(spark, f"{path}/in", schema).select("event_id", "event_type")
+        schema, files = _stage(spark, sf, f"{path}/in", slices=arriving)
+        stream = _read_slices(spark, f"{path}/in", schema, files).select("event_id", "event_type")
         sinks.stream_file_sink(stream, f"{path}/out", f"{path}/checkpoint", None).awaitTermination()
     return scan_parquet(spark, f"{path}/out").groupBy("event_type").agg(F.count("*").alias("row_count"))
 
@@ -298,8 +312,8 @@ def offset_ledger_stream(spark, sf):
     """Every slice is delivered twice; the second time its offsets are in the stream's state."""
     path = scratch_dir(spark, "offsets")
     log = LeveledLog(spark, f"{path}/log", fan_in=2)
-    schema = _stage(spark, sf, f"{path}/in", order="event_id", slices=[n for n in range(SLICES) for _ in range(2)])
-    messages = _read_slices(spark, f"{path}/in", schema).select(
+    schema, files = _stage(spark, sf, f"{path}/in", order="event_id", slices=[n for n in range(SLICES) for _ in range(2)])
+    messages = _read_slices(spark, f"{path}/in", schema, files).select(
         "event_id",
         F.lit("events").alias("topic"),
         (F.col("user_id") % 3).alias("partition"),

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from millrace.catalog import streams
 from millrace.operators import joins, transform
 from millrace.operators import transitions as bounded
 from millrace.plans import serving
@@ -429,3 +430,16 @@ def test_transitions_reach_python_as_rows_and_unchanged_state_is_not_written():
     assert judged((3, "shipped", "a"), (2, "confirmed", "a"), (4, "shipped", "b")) == [
         (2, "pending", "applied"), (3, "confirmed", "same_key"), (4, "confirmed", "applied")]
     assert (judge.state.value, judge.state.written) == (("shipped", "b"), 1)
+
+
+def test_files_of_a_slice_follow_its_rows(spark, folder, monkeypatch):
+    """Nearly all rows lie in the first slice and none in the second: no file is large, and every slice has as many."""
+    monkeypatch.setattr(streams, "FILE_ROWS", 100)
+    early = spark.range(700).select(F.col("id").alias("event_id"), (F.col("id") % 50).alias("at"))
+    early.union(spark.createDataFrame([(700, 3000), (701, 3000)], early.schema)).selectExpr("event_id", "timestamp_seconds(at) AS ts").write.parquet(folder + "/events.parquet")
+    schema, files = streams._stage(spark, folder, folder + "/staged")
+    staged = spark.read.schema(schema).parquet(folder + "/staged").select("event_id", F.col("_metadata.file_name").alias("file"))
+    assert files == 7
+    assert sum(name.endswith(".parquet") for name in os.listdir(folder + "/staged")) == 21
+    assert staged.count() == staged.select("event_id").distinct().count() == 702
+    assert staged.groupBy("file").count().agg(F.max("count")).first()[0] <= 150
