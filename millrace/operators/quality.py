@@ -338,17 +338,15 @@ def reconcile_tables(
     """Keys that differ between two systems, with the kind of difference.
 
     Values are compared to ``scale`` decimals, as exact sums that do not depend
-    on row order; only the sums shown are doubles. Both sides shrink to one row per key and are merged by a grouped union, so
-    neither a full outer join nor a hot key's raw rows are needed.
+    on row order; only the sums shown are doubles. One grouped union of both
+    sides: it combines map-side, so neither a full outer join nor a hot key's
+    raw rows are needed, and adaptive execution sizes its single exchange.
     """
     def side(df: DataFrame, mine: str, other: str) -> DataFrame:
-        sums = [F.sum(C.exact(name, scale)).alias(f"{mine}_{name}") for name in values]
+        own = [C.exact(name, scale).alias(f"{mine}_{name}") for name in values]
         empty = [F.lit(None).cast(f"decimal(38,{scale})").alias(f"{other}_{name}") for name in values]
-        return (
-            df.groupBy(*keys)
-            .agg(F.count("*").alias(f"{mine}_rows"), *sums)
-            .select("*", F.lit(0).cast("bigint").alias(f"{other}_rows"), *empty)
-        )
+        rows = [F.lit(int(name == mine)).cast("bigint").alias(f"{name}_rows") for name in ("left", "right")]
+        return df.select(*keys, *rows, *own, *empty)
 
     merged = (
         side(left, "left", "right")

@@ -227,3 +227,12 @@ def test_tasks_of_feature_joins_do_not_grow_with_the_tables(spark, folder):
     assert {tuple(r) for r in df.select("customer_id", "purchase_frequency", "num_categories_purchased").collect()} == {(0, 2, 1), (1, 2, 1)}
     session.configure(spark)
     assert {key: spark.conf.get(key, None) for key in session.SPREAD_SETTINGS} == before
+
+
+def test_reconciling_exchanges_once_so_that_partitions_can_be_sized(spark, folder):
+    for name in ("left", "right"):
+        spark.range(10).withColumn("v", F.col("id") * 1.5).write.parquet(f"{folder}/{name}")
+    left, right = (spark.read.parquet(f"{folder}/{name}") for name in ("left", "right"))
+    df = quality.reconcile_tables(left, right.filter("id > 0"), ["id"], ["v"])
+    assert plan(df, "simple").count("Exchange hashpartitioning") == 1
+    assert [(r.id, r.left_rows, r.right_rows, r.right_v, r.status) for r in df.collect()] == [(0, 1, 0, None, "only_left")]
