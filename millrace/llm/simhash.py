@@ -26,10 +26,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.llm.common import Scratch, attach
 from millrace.llm.components import connected_components
@@ -60,14 +61,20 @@ def fingerprint_of(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
-    """The fingerprint as a signed 64-bit number."""
-    def batches(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            found = [fingerprint_of(value, shingle) for value in batch]
-            yield pd.Series(np.array(found, dtype=np.uint64).view(np.int64))
+def fingerprints(docs: DataFrame, key: str, text: str, shingle: int = SHINGLE) -> DataFrame:
+    """``id`` and ``fingerprint``, a signed 64-bit number, of every row.
 
-    return F.pandas_udf(batches, "bigint")(text)  # type: ignore[call-overload]
+    Not a UDF: Spark 4.1 cannot run one whose text is computed on both sides of a union, as after ``attach``.
+    """
+    held = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    schema = StructType(held.select("id").schema.fields).add("fingerprint", "long")
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = [fingerprint_of(value, shingle) for value in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.array(prints, dtype=np.uint64).view(np.int64))], names=schema.names)
+
+    return held.mapInArrow(found, schema)
 
 
 def _syndrome(value: Column) -> Column:
@@ -133,7 +140,7 @@ def _compared_links(prints: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """``key``, ``fingerprint`` (16 hex digits) and ``component_id``, one row per row of the input. Runs jobs."""
     scratch = Scratch(docs.sparkSession, "simhash")
-    rows = scratch.write("rows", docs.select(F.col(key).alias("id"), fingerprints(F.col(text), shingle).alias("fingerprint")))
+    rows = scratch.write("rows", fingerprints(docs, key, text, shingle))
     prints = scratch.write("prints", rows.groupBy("fingerprint").agg(F.min("id").alias("id")))
     sure = connected_components(_sure_links(prints, scratch), Scratch(docs.sparkSession, "simhash-sure"))
     sure = scratch.write("sure", sure)

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import bwt, decontaminate, simhash, suffixes
+from millrace.llm import bwt, decontaminate, lines, simhash, suffixes
 from millrace.llm.common import Scratch
 from millrace.llm.components import connected_components
 from tests.llm import brute
@@ -82,6 +82,15 @@ def test_links_across_halves_are_found(spark):
     assert linked == expected
 
 
+def test_texts_that_another_operator_computes_need_not_be_written_first(docs):
+    cut = lines.dedup_lines(docs((1, "a b c\nd e f"), (2, "g h i"), (3, "a b c\nd e f\ng h i"), (4, None)))
+    texts = {r.doc_id: r.text for r in cut.collect()}
+    assert texts[3] == "g h i"
+    got = {r.doc_id: int(r.fingerprint, 16) for r in simhash.near_duplicates(cut).collect()}
+    assert got == {i: brute.fingerprint(t) for i, t in texts.items()}
+    assert sorted(r.doc_id for r in simhash.keep_one(cut).collect()) == [1, 2, 4]
+
+
 def test_simhash_edge_rows(docs):
     table = docs((5, "a b c d"), (None, "a b c d"), (3, "a b c d"), (3, "other words entirely here"), (None, None))
     got = sorted(((r.doc_id, r.component_id) for r in simhash.near_duplicates(table).collect()), key=repr)
